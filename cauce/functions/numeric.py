@@ -41,9 +41,9 @@ def money(c, prefix: str = "$") -> Column:
     return F.concat(F.lit(prefix), F.format_string("%.2f", _c(c)))
 
 
-def pct_label(c, signed: bool = False) -> Column:
+def pct_label(c, signed: bool = False, decimals: int = 2) -> Column:
     """'12.50%' and, when signed, '+12.50%' for positive values."""
-    s = F.concat(F.format_string("%.2f", _c(c)), F.lit("%"))
+    s = F.concat(F.format_string(f"%.{decimals}f", _c(c)), F.lit("%"))
     if signed:
         s = F.when(_c(c) > 0, F.concat(F.lit("+"), s)).otherwise(s)
     return s

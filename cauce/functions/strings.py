@@ -16,6 +16,9 @@ URL_TOKEN = "[URL]"
 EMAIL_PATTERN = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_.-]+\.[A-Za-z]{2,}"
 URL_PATTERN = r"https?://\S+|www\.\S+"
 WORD = r"[\p{L}\p{N}_]"
+# Python's str.isspace() set, written so Java regex and RE2 read it the same way.
+PY_WS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 TOKEN_PATTERN = WORD + r"+|[^\p{L}\p{N}_\s]"
 SUSPICIOUS_PATTERN = (r"ignora.{0,30}(instrucciones|reglas)|revela.{0,25}(secreto|contraseña)"
                       r"|ignore.{0,25}instructions")
@@ -99,19 +102,19 @@ def words(c, min_len: int = 1) -> Column:
 
 def whitespace_tokens(c) -> Column:
     """plain whitespace split, empty pieces dropped."""
-    return F.filter(F.split(F.trim(_c(c)), r"\s+"), lambda t: t != "")
+    return F.filter(F.split(_c(c), PY_WS + "+"), lambda t: t != "")
 
 
 def sentences(c) -> Column:
-    """sentence split after . ! ? (delimiter kept), trimmed, empties dropped."""
-    parts = F.split(_c(c), r"(?<=[.!?])\s+")
+    """pieces between runs of . ! ? followed by whitespace; empties dropped."""
+    parts = F.split(_c(c), r"[.!?]+" + PY_WS + "+")
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def rule_label(c, rules, default: str) -> Column:
-    """ordered (pattern, label) rules; the first match wins."""
+    """ordered (label, pattern) rules; the first match wins."""
     out = None
-    for pattern, label in rules:
+    for label, pattern in rules:
         cond = _c(c).rlike(pattern)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return out.otherwise(F.lit(default)) if out is not None else F.lit(default)
@@ -131,7 +134,7 @@ def canonical_key(c) -> Column:
 
     Callers pass NFC text (``text.normalize``) when the source may be decomposed.
     """
-    s = F.lower(F.trim(F.regexp_replace(_c(c), r"\s+", " ")))
+    s = F.lower(F.trim(F.regexp_replace(_c(c), PY_WS + "+", " ")))
     return F.btrim(s, F.lit(EDGE_CHARS))
 
 

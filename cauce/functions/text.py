@@ -51,7 +51,8 @@ def nfc(s: pd.Series) -> pd.Series:
 
 def normalize(c) -> Column:
     """NFC, whitespace runs -> one space, trimmed.  Case and accents kept."""
-    return F.trim(F.regexp_replace(nfc(_c(c)), r"\s+", " "))
+    from cauce.functions.strings import PY_WS
+    return F.trim(F.regexp_replace(nfc(_c(c)), PY_WS + "+", " "))
 
 
 def changed_by_nfc(c) -> Column:
@@ -138,8 +139,17 @@ def bio_tags(tokens, spans) -> Column:
 
 
 def ngrams(tokens, n: int) -> Column:
-    """contiguous n-grams of a token array joined by one space."""
+    """contiguous n-grams of a token array joined by one space.
+
+    Built as a zip of ``n`` shifted slices: linear in the array length.  (A
+    ``transform`` over positions that re-reads the token expression inside the
+    lambda would re-run the tokenizer once per position.)
+    """
     toks = _c(tokens)
-    idx = F.sequence(F.lit(0), F.size(toks) - n)
-    return F.when(F.size(toks) >= n, F.transform(
-        idx, lambda i: F.array_join(F.slice(toks, i + 1, n), " "))).otherwise(F.array())
+    if n == 1:
+        return toks
+    m = F.greatest(F.size(toks) - n + 1, F.lit(0))
+    shifted = [F.slice(toks, k + 1, m).alias(str(k)) for k in range(n)]
+    z = F.arrays_zip(*shifted)
+    return F.when(m > 0, F.transform(z, lambda s: F.concat_ws(" ", *[s[str(k)] for k in range(n)]))) \
+        .otherwise(F.array().cast("array<string>"))

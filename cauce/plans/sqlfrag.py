@@ -7,7 +7,8 @@ def R(expr: str, d: int = 2) -> str:
     DuckDB's ``round(DOUBLE)`` rounds some ties down (1.005 -> 1.0); going
     through DECIMAL gives Spark's result.
     """
-    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,10)), {d}) AS DOUBLE)"
+    scale = min(d + 8, 30)   # wide enough that the cast itself never decides the tie
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(38,{scale})), {d}) AS DOUBLE)"
 
 
 def MONEY(expr: str) -> str:
