@@ -36,9 +36,15 @@ def trend_label(pct: Column, up: str = "Aumento", down: str = "Disminución",
 
 
 def moving_range(df: DataFrame, order, value: str, part=(), name: str = "moving_range") -> DataFrame:
-    """|x_t - x_{t-1}|."""
-    w = Window.partitionBy(*part).orderBy(order) if part else Window.orderBy(order)
-    return df.withColumn(name, F.abs(F.col(value) - F.lag(value).over(w)))
+    """|x_t - x_{t-1}| along ``order`` (a total order) within ``part``.
+
+    Uses the range-partitioned lag, so neither a whole-table series nor a hot
+    ``part`` key is processed by a single task.
+    """
+    from cauce.operators.sequential import ordered_lag
+    order = [order] if isinstance(order, str) else list(order)
+    lagged = ordered_lag(df, list(part), order, value, "_prev")
+    return lagged.withColumn(name, F.abs(F.col(value) - F.col("_prev"))).drop("_prev")
 
 
 def count_levels(df: DataFrame, key) -> DataFrame:
