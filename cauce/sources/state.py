@@ -126,9 +126,19 @@ def append_keyed(spark: SparkSession, path: str, rows: DataFrame, key) -> int:
     return n
 
 
+AUDIT_COLUMNS = ("run_id", "started_at", "finished_at", "watermark_before", "watermark_after", "source_rows",
+                 "valid_rows", "quarantined", "inserted", "updated", "quality_status", "status", "error_message")
+
+
 def audit_run(spark: SparkSession, path: str, run: dict) -> None:
-    """One row per run id, insert-or-replace (S15 on the runs table)."""
-    upsert(spark, path, spark.createDataFrame([run]), "run_id")
+    """One row per run id, insert-or-replace (S15 on the runs table).
+
+    All fields are stored as text with a fixed column list, so every status
+    (including an early failure with most fields unset) has the same schema.
+    """
+    row = tuple(None if run.get(c) is None else str(run.get(c)) for c in AUDIT_COLUMNS)
+    schema = ", ".join(f"{c} string" for c in AUDIT_COLUMNS)
+    upsert(spark, path, spark.createDataFrame([row], schema), "run_id")
 
 
 def newest(df: DataFrame, order_col: str, n: int) -> DataFrame:
