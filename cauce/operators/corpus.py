@@ -152,8 +152,17 @@ def text_leakage(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
 
 # ---------------------------------------------------------------- features
 def terms(text: Column, ngram_max: int = 1, min_len: int = 2) -> Column:
-    """Lower-cased word tokens (at least ``min_len`` characters) plus n-grams up to ``ngram_max``."""
+    """Lower-cased word tokens (at least ``min_len`` characters) plus n-grams up to ``ngram_max``.
+
+    Pass a column that already holds the tokens' source text; :func:`term_counts`
+    tokenizes once in its own projection so the regex is not re-run per n-gram.
+    """
     toks = S.words(text, min_len=min_len)
+    return ngram_terms(toks, ngram_max)
+
+
+def ngram_terms(toks: Column, ngram_max: int) -> Column:
+    """Tokens followed by their n-grams up to ``ngram_max``."""
     if ngram_max == 1:
         return toks
     out = toks
@@ -165,7 +174,10 @@ def terms(text: Column, ngram_max: int = 1, min_len: int = 2) -> Column:
 def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 1,
                 min_len: int = 2) -> DataFrame:
     """``(id, term, tf)`` postings (one hash aggregate)."""
-    t = docs.select(F.col(id_col).alias("id"), terms(F.col(text_col), ngram_max, min_len).alias("_t"))
+    # tokens first, in their own projection: the n-gram expression reads the
+    # token column several times and must not re-run the tokenizer each time
+    tok = docs.select(F.col(id_col).alias("id"), S.words(F.col(text_col), min_len=min_len).alias("_w"))
+    t = tok.select("id", ngram_terms(F.col("_w"), ngram_max).alias("_t"))
     return t.select("id", F.explode("_t").alias("term")).groupBy("id", "term") \
         .agg(F.count(F.lit(1)).alias("tf"))
 

@@ -109,6 +109,8 @@ def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k
     """
     docs = items_w.groupBy(F.col("id").cast("long").alias("_id")).agg(
         F.collect_list("term").alias("_t"), F.collect_list("weight").alias("_w"))
+    # the query side is small and read several times (size check, chunking, collect)
+    queries_w = queries_w.persist()
     qids_df = queries_w.select(F.col("id").cast("long").alias("qid")).distinct()
     parts = []
     for rows in _chunks(qids_df, "qid", max_queries):

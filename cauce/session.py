@@ -36,6 +36,7 @@ def get_session(master: str | None = None, app: str = "cauce",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -57,3 +58,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cauce`` importable in every Python worker (pandas UDFs, mapInPandas).
+
+    Functions defined in the package are pickled by reference, so executors
+    need the package itself.  It is zipped once per application on the driver
+    and distributed with ``addPyFile`` (Spark's mechanism for job code).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="cauce-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
