@@ -93,11 +93,36 @@ def word_tokens(c) -> Column:
 
 
 def words(c, min_len: int = 1) -> Column:
-    """Word tokens only (no punctuation), optional minimum length."""
-    toks = F.regexp_extract_all(F.lower(_c(c)), F.lit(f"({WORD}+)"), 1)
-    if min_len > 1:
-        toks = F.filter(toks, lambda t: F.length(t) >= min_len)
-    return toks
+    """Word tokens only (no punctuation) of at least ``min_len`` characters.
+
+    ``WORD{n,}`` matches exactly the maximal word runs of length >= n (a
+    greedy run is always matched from its first character), so no per-element
+    filter lambda is needed; lambdas are interpreted, regexes are codegen'd.
+    """
+    return F.regexp_extract_all(F.lower(_c(c)), F.lit(f"({WORD}{{{max(min_len, 1)},}})"), 1)
+
+
+def word_ngrams(tokens, n: int) -> Column:
+    """Contiguous n-grams of a word-token array (tokens contain no spaces), joined by ' '.
+
+    One regex over the space-joined tokens: an anchored lookahead captures
+    every run of ``n`` consecutive tokens, overlapping ones included.
+    """
+    if n == 1:
+        return _c(tokens)
+    pat = r"(?<![^ ])(?=([^ ]+" + r"(?: [^ ]+)" + f"{{{n - 1}}}))"
+    return F.regexp_extract_all(F.array_join(_c(tokens), " "), F.lit(pat), 1)
+
+
+def explode_nonnull(df, expr: Column, alias: str, *keep):
+    """``explode`` of an array expression without Catalyst's inferred ``size > 0`` filter.
+
+    A plain ``explode`` makes the optimizer add ``size(expr) > 0`` and push it
+    down to the scan, evaluating an expensive ``expr`` (tokenizer, Arrow UDF)
+    twice, the first time before any repartition.  ``explode_outer`` followed
+    by a null filter on the output keeps a single evaluation.
+    """
+    return df.select(*keep, F.explode_outer(expr).alias(alias)).filter(F.col(alias).isNotNull())
 
 
 def whitespace_tokens(c) -> Column:

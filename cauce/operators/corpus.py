@@ -167,7 +167,7 @@ def ngram_terms(toks: Column, ngram_max: int) -> Column:
         return toks
     out = toks
     for n in range(2, ngram_max + 1):
-        out = F.concat(out, TX.ngrams(toks, n))
+        out = F.concat(out, S.word_ngrams(toks, n))
     return out
 
 
@@ -178,7 +178,7 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 1,
     # token column several times and must not re-run the tokenizer each time
     tok = docs.select(F.col(id_col).alias("id"), S.words(F.col(text_col), min_len=min_len).alias("_w"))
     t = tok.select("id", ngram_terms(F.col("_w"), ngram_max).alias("_t"))
-    return t.select("id", F.explode("_t").alias("term")).groupBy("id", "term") \
+    return S.explode_nonnull(t, F.col("_t"), "term", "id").groupBy("id", "term") \
         .agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -131,17 +131,29 @@ def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k
 
         def score(it, bq=bq):
             qids_, vocab_, qm = bq.value
+            vocab_s = pd.Series(vocab_, dtype="int64")
+            n_terms = max(len(vocab_), 1)
+            block = max(1, int(2e7 // n_terms))          # docs per dense block (~160 MB max)
             for pdf in it:
                 if pdf.empty:
                     continue
                 n = len(pdf)
+                lens = pdf["_t"].map(len).to_numpy()
+                if lens.sum() == 0:
+                    yield _topk_rows(np.zeros((n, len(qids_))), pdf["_id"].to_numpy(), qids_, k)
+                    continue
+                terms = np.concatenate([np.asarray(x, dtype=object) for x in pdf["_t"]])
+                ws = np.concatenate([np.asarray(x, dtype="float64") for x in pdf["_w"]])
+                rows_ = np.repeat(np.arange(n), lens)
+                tidx = pd.Series(terms).map(vocab_s).to_numpy()
+                hit = ~pd.isna(tidx)
+                rows_, tidx, ws = rows_[hit], tidx[hit].astype("int64"), ws[hit]
                 scores = np.zeros((n, len(qids_)))
-                for i, (terms, ws) in enumerate(zip(pdf["_t"], pdf["_w"])):
-                    idx = [vocab_.get(t, -1) for t in terms]
-                    sel = [(j, w) for j, w in zip(idx, ws) if j >= 0]
-                    if sel:
-                        rows_, w_ = zip(*sel)
-                        scores[i] = np.asarray(w_) @ qm[list(rows_)]
+                for lo in range(0, n, block):
+                    sel = (rows_ >= lo) & (rows_ < lo + block)
+                    dense = np.zeros((min(block, n - lo), n_terms))
+                    np.add.at(dense, (rows_[sel] - lo, tidx[sel]), ws[sel])
+                    scores[lo:lo + dense.shape[0]] = dense @ qm
                 yield _topk_rows(scores, pdf["_id"].to_numpy(), qids_, k)
 
         parts.append(docs.mapInPandas(score, CANDIDATE_SCHEMA))
@@ -168,11 +180,11 @@ def containment_pairs(docs: DataFrame, doc_id: str, doc_text: str,
     p = passages.select(F.col(pid).alias("pid"), F.col(ptext).alias("ptext")) \
         .withColumn("_tok", F.filter(F.split("ptext", ws), lambda x: x != ""))
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("dtext"))
-    index = d.select("doc_id", F.explode(F.array_distinct(F.filter(F.split("dtext", ws), lambda x: x != "")))
-                     .alias("token"))
+    index = S.explode_nonnull(d, F.array_distinct(F.split("dtext", ws)), "token", "doc_id") \
+        .filter(F.col("token") != "")
     dfreq = index.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     long_p = p.filter(F.size("_tok") >= 3)
-    interior = long_p.select("pid", F.explode(F.slice("_tok", 2, F.size("_tok") - 2)).alias("token"))
+    interior = S.explode_nonnull(long_p, F.slice("_tok", 2, F.size("_tok") - 2), "token", "pid")
     anchors = interior.join(dfreq, "token", "left") \
         .withColumn("df", F.coalesce("df", F.lit(0))) \
         .groupBy("pid").agg(F.min_by("token", F.struct("df", "token")).alias("token"))

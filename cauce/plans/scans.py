@@ -328,7 +328,8 @@ b AS (SELECT ws[i] || ' ' || ws[i + 1] AS bigram FROM w, range(1, len(ws)) AS r(
 SELECT bigram, count(*) AS n FROM b GROUP BY bigram
 """)
 def f23(spark, sf):
-    d = t(spark, sf, "documents").select(F.explode(TX.ngrams(S.words("text"), 2)).alias("bigram"))
+    w = t(spark, sf, "documents").select(S.words("text").alias("w"))
+    d = S.explode_nonnull(w, S.word_ngrams(F.col("w"), 2), "bigram")
     return d.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
 
 

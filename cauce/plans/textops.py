@@ -404,7 +404,7 @@ FROM t a JOIN t b ON a.doc_id = b.doc_id AND abs(a.i - b.i) BETWEEN 1 AND 2 GROU
 """)
 def j13(spark, sf):
     d = t(spark, sf, "documents").select(S.words("text").alias("ws"))
-    p = d.select(F.explode(window_pairs(F.col("ws"))).alias("p")).select("p.center", "p.context")
+    p = S.explode_nonnull(d, window_pairs(F.col("ws")), "p").select("p.center", "p.context")
     return p.groupBy("center", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -418,8 +418,8 @@ SELECT (SELECT count(*) FROM (SELECT w FROM a INTERSECT SELECT w FROM b)) AS tp,
 """)
 def u02(spark, sf):
     d = t(spark, sf, "documents")
-    a = d.filter(F.col("source") < "src5").select(F.explode(S.words("text")).alias("w")).distinct()
-    b = d.filter(F.col("source") >= "src5").select(F.explode(S.words("text")).alias("w")).distinct()
+    a = S.explode_nonnull(d.filter(F.col("source") < "src5"), S.words("text"), "w").distinct()
+    b = S.explode_nonnull(d.filter(F.col("source") >= "src5"), S.words("text"), "w").distinct()
     tp = a.intersect(b).agg(F.count(F.lit(1))).scalar()
     fp = b.subtract(a).agg(F.count(F.lit(1))).scalar()
     fn = a.subtract(b).agg(F.count(F.lit(1))).scalar()
@@ -432,8 +432,8 @@ EXCEPT SELECT DISTINCT unnest({WORDS.format('text')}) FROM documents WHERE lang
 """)
 def u03(spark, sf):
     d = t(spark, sf, "documents")
-    de = d.filter(F.col("lang") == "de").select(F.explode(S.words("text")).alias("term"))
-    en = d.filter(F.col("lang") == "en").select(F.explode(S.words("text")).alias("term"))
+    de = S.explode_nonnull(d.filter(F.col("lang") == "de"), S.words("text"), "term")
+    en = S.explode_nonnull(d.filter(F.col("lang") == "en"), S.words("text"), "term")
     return de.subtract(en)
 
 
@@ -475,7 +475,7 @@ def u05(spark, sf):
 @query("f26_chunking")
 def f26(spark, sf):
     d = t(spark, sf, "documents")
-    ch = d.select("doc_id", "text", F.explode(TX.chunk_offsets(F.col("text"), 60, 10)).alias("c"))
+    ch = S.explode_nonnull(d, TX.chunk_offsets(F.col("text"), 60, 10), "c", "doc_id", "text")
     return ch.select("doc_id", "c.chunk_index", "c.start", "c.end",
                      F.substring("text", F.col("c.start") + 1, F.col("c.end") - F.col("c.start")).alias("chunk"))
 
@@ -489,15 +489,15 @@ PII_V2 = (("EMAIL", r"[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"), ("CARD", r"\b\d{16}\b"),
 @query("f29_regex_spans")
 def f29(spark, sf):
     d = t(spark, sf, "documents")
-    return d.select("doc_id", F.explode(TX.regex_spans(F.col("text"), PII_V2)).alias("s")).select(
+    return S.explode_nonnull(d, TX.regex_spans(F.col("text"), PII_V2), "s", "doc_id").select(
         "doc_id", "s.start", "s.end", "s.label")
 
 
 @query("t18_span_scores")
 def t18(spark, sf):
     d = t(spark, sf, "documents")
-    g = d.select("doc_id", F.explode(TX.regex_spans(F.col("text"), PII_V2)).alias("s")).select("doc_id", "s.*")
-    p = d.select("doc_id", F.explode(TX.regex_spans(F.col("text"), PII_V1)).alias("s")).select("doc_id", "s.*")
+    g = S.explode_nonnull(d, TX.regex_spans(F.col("text"), PII_V2), "s", "doc_id").select("doc_id", "s.*")
+    p = S.explode_nonnull(d, TX.regex_spans(F.col("text"), PII_V1), "s", "doc_id").select("doc_id", "s.*")
     return RT.span_scores(g, p)
 
 
@@ -506,7 +506,8 @@ def f30(spark, sf):
     d = t(spark, sf, "documents").select("doc_id", TX.token_offsets(F.col("text")).alias("toks"),
                                          TX.regex_spans(F.col("text"), PII_V2).alias("spans"))
     d = d.filter(F.size("spans") > 0).select("doc_id", "toks", TX.bio_tags(F.col("toks"), F.col("spans")).alias("tags"))
-    z = d.select("doc_id", F.explode(F.arrays_zip(F.col("toks.token").alias("token"), F.col("tags").alias("tag"))).alias("z"))
+    z = S.explode_nonnull(d, F.arrays_zip(F.col("toks.token").alias("token"), F.col("tags").alias("tag")), "z",
+                          "doc_id")
     return z.select("doc_id", "z.token", "z.tag").filter(F.col("tag") != "O")
 
 
