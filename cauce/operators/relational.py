@@ -210,3 +210,25 @@ def top_n_per_group(df: DataFrame, group_cols, order_cols, n: int, salt: int = 1
 def union_aligned(frames, allow_missing: bool = True) -> DataFrame:
     """UNION ALL by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
+
+
+def integrate_with_rejects(base: DataFrame, lookups, extra_rules=()):
+    """Enrich ``base`` through left lookups and collect every failed rule.
+
+    ``lookups`` is ``[(dim, key, reason)]``: a row whose key is absent from
+    ``dim`` gets ``reason``.  ``extra_rules`` is ``[(reason, bad_predicate)]``.
+    Returns ``(curated, rejected)``; rejected rows carry ``reject_reason``
+    (all reasons joined by ';', in the listed order).
+    """
+    out = base
+    flags = []
+    for i, (dim, key, reason) in enumerate(lookups):
+        d = dim.withColumn(f"_hit{i}", F.lit(True))
+        out = out.join(d, key, "left")
+        flags.append((reason, F.col(f"_hit{i}").isNull()))
+    checks = flags + list(extra_rules)
+    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(r)) for r, bad in checks]))
+    out = out.withColumn("reject_reason", F.array_join(reasons, ";")) \
+        .drop(*[f"_hit{i}" for i in range(len(lookups))])
+    ok = out.filter(F.col("reject_reason") == "").drop("reject_reason")
+    return ok, out.filter(F.col("reject_reason") != "")
