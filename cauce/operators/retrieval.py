@@ -157,6 +157,7 @@ def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k
                 yield _topk_rows(scores, pdf["_id"].to_numpy(), qids_, k)
 
         parts.append(docs.mapInPandas(score, CANDIDATE_SCHEMA))
+    queries_w.unpersist()      # every chunk is collected; the final plan no longer reads it
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)

@@ -5,14 +5,15 @@ rows are range-partitioned on the order, each partition is scanned once in
 order (``mapInPandas`` keeps running state across its Arrow batches), and the
 cross-partition part is a table with one row per partition, which is tiny and
 broadcast.  The range shuffle splits a hot key across partitions, so a key
-holding a third of the rows does not end up in one task either.
+holding a third of the rows does not end up in one task either.  The locally
+scanned result is read twice, so it is checkpointed (eagerly) into the shared
+folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,7 +55,9 @@ def running_totals(df: DataFrame, order_cols, sum_cols, prefix: str = "cum_",
                 pdf[prefix + c] = cs[:, i]
             yield pdf
 
-    loc = r.mapInPandas(local, out_schema).persist(StorageLevel.MEMORY_AND_DISK)
+    # read twice (partition totals, then the final join): materialise once in the
+    # shared checkpoint folder, which also cuts the lineage (survives executor loss)
+    loc = r.mapInPandas(local, out_schema).checkpoint(eager=True)
     tot = loc.groupBy("_pid").agg(*[F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias("_t_" + c)
                                     for c in sum_cols])
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +118,7 @@ def ordered_lag(df: DataFrame, part_cols, order_cols, value: str, name: str | No
             pending.iloc[-1, pending.columns.get_loc("_last")] = True
             yield pending
 
-    loc = r.mapInPandas(local, out_schema).persist(StorageLevel.MEMORY_AND_DISK)
+    loc = r.mapInPandas(local, out_schema).checkpoint(eager=True)
     lasts = loc.filter("_last").select(F.col("_pid").alias("_src"),
                                        *[F.col(c).alias("_pk_" + c) for c in part_cols],
                                        F.col(value).alias("_pv"))

@@ -49,6 +49,7 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
     mark_path, fact_path = f"{base}/watermark", f"{base}/fact"
     q_path, audit_path = f"{base}/quarantine", f"{base}/etl_runs"
     run = {"run_id": run_id, "started_at": str(started), "status": STATUS_FAIL, "error_message": None}
+    cached = []
     try:
         wm = state.read_watermark(spark, mark_path, default=DEFAULT_MARK)
         run["watermark_before"] = wm
@@ -63,6 +64,7 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
         customers = apply_contract(t(spark, sf, "customer"), CUSTOMER, {"c_nationkey": nat})
         valid_c = customers.filter(F.size("reject_reasons") == 0)
         checked = apply_contract(staged, ORDERS, {"o_custkey": valid_c.select("c_custkey")}).persist()
+        cached.append(checked)
         valid = checked.filter(F.size("reject_reasons") == 0)
         # transform: derived columns, then exact and near de-duplication (keep first)
         valid = valid.withColumns(date_parts("o_orderdate", "order"))
@@ -73,6 +75,7 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
         names = RL.sized_broadcast(t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                                                   F.col("n_name").alias("branch")), 1000)
         fact = valid.join(cust, "o_custkey", "left").join(names, "c_nationkey", "left").persist()
+        cached.append(fact)
         metrics = fact.agg(
             F.count(F.lit(1)).alias("rows"),
             Q.completeness(fact, ["o_orderkey", "o_custkey", "branch"]).alias("completeness"),
@@ -99,13 +102,13 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
                    valid_rows=ins + upd,
                    status=STATUS_SUCCESS)
         state.write_watermark(spark, mark_path, new_mark)   # last, after the load committed
-        checked.unpersist()
-        fact.unpersist()
         return run
     except Exception as e:  # noqa: BLE001 - every failure is audited, then re-raised
         run.update(status=STATUS_FAIL, error_message=f"{type(e).__name__}: {e}"[:2000])
         raise
     finally:
+        for c in cached:
+            c.unpersist()
         run["finished_at"] = str(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         state.audit_run(spark, audit_path, run)
 
@@ -284,7 +287,7 @@ def z08(spark, sf):
     prepared = C.prepare(labelled_docs(spark, sf), "doc_id", "text", "label")
     kept = prepared.filter(F.col("state") == C.STATE_KEEP)
     kept = C.drop_conflicting_groups(kept, "text_processed", "label")
-    split = C.family_split(kept, "source").persist()
+    split = C.family_split(kept, "source").checkpoint(eager=True)
     C.assert_split_ok(C.split_violations(split, "doc_id", "text_processed", "source", "label"))
     out = split.select("doc_id", "source", "label", "text_processed", "split")
     sinks.write_csv_partitioned(out, f"{base}/splits")

@@ -448,7 +448,7 @@ def m26(spark, sf):
 def m27(spark, sf):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
-    d = embedding_frame(spark, sf).persist()
+    d = embedding_frame(spark, sf)
     rows = []
     for k in range(2, 8):
         m = KMeans(k=k, seed=42, maxIter=20).fit(d)
@@ -571,3 +571,35 @@ def t23(spark, sf):
         rows.append((w, a, b))
     df = spark.createDataFrame(rows, "word string, near_w2 array<string>, near_w5 array<string>")
     return df.withColumn("jaccard", jaccard("near_w2", "near_w5"))
+
+
+@query("m09_oversample_inside_folds")
+def m09(spark, sf):
+    """Oversampling applied to each CV training fold only; the held-out fold stays untouched."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    e = t(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    e = e.withColumn("fold", F.pmod(F.xxhash64("vec_id"), F.lit(3)).cast("int"))
+    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    rows = []
+    for k in range(3):
+        train = ML.oversample(e.filter(F.col("fold") != k), "label", "vec_id")
+        test = e.filter(F.col("fold") == k)
+        vec = lambda d: d.withColumn("features", array_to_vector("embedding"))
+        m = LogisticRegression(maxIter=30, labelCol="label").fit(vec(train))
+        rows.append((k, train.count(), test.count(), ev.evaluate(m.transform(vec(test)))))
+    return spark.createDataFrame(rows, "fold int, train_rows long, test_rows long, f1 double")
+
+
+@query("m10_univariate_selection")
+def m10(spark, sf):
+    """k best features by F-regression (continuous features, continuous label)."""
+    from pyspark.ml.feature import UnivariateFeatureSelector
+    cols = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+    d = ML.assemble(regression_frame(spark, sf), cols)
+    sel = UnivariateFeatureSelector(featuresCol="features", labelCol="l_extendedprice", outputCol="selected",
+                                    selectionMode="numTopFeatures").setFeatureType("continuous") \
+        .setLabelType("continuous").setSelectionThreshold(2)
+    m = sel.fit(d)
+    return spark.createDataFrame([(cols[i],) for i in m.selectedFeatures], "feature string")

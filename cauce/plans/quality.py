@@ -385,3 +385,58 @@ def v20(spark, sf):
     return s.withColumn("top_share", F.round("top_share", 6)) \
         .withColumn("mean_per_key", F.round("mean_per_key", 6)) \
         .withColumn("accepted", F.col("top_share").between(0.65, 0.75))
+
+
+# ------------------------------------------------------- post-load checks
+@query("v12_post_load_assertions", sql="""
+WITH f AS (SELECT o.* FROM orders o)
+SELECT count(*) FILTER (WHERE o_orderkey IS NULL) AS null_keys,
+  count(*) FILTER (WHERE o_totalprice <= 0) AS non_positive_amount,
+  count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1990-01-01' OR o_orderdate > TIMESTAMP '2030-12-31') AS date_out_of_range,
+  count(*) - count(DISTINCT o_orderkey) AS duplicate_keys
+FROM f
+""")
+def v12(spark, sf):
+    from cauce.operators.quality import violation_counts
+    o = t(spark, sf, "orders")
+    counts = violation_counts(o, {
+        "null_keys": F.col("o_orderkey").isNull(),
+        "non_positive_amount": F.col("o_totalprice") <= 0,
+        "date_out_of_range": (F.col("o_orderdate") < F.lit("1990-01-01").cast("timestamp_ntz"))
+        | (F.col("o_orderdate") > F.lit("2030-12-31").cast("timestamp_ntz"))})
+    dup = o.agg(F.count(F.lit(1)) - F.count_distinct("o_orderkey")).scalar()
+    return counts.withColumn("duplicate_keys", dup)
+
+
+@query("v13_source_equals_curated_plus_quarantine", sql=f"""
+WITH {ORDERS_SQL}
+SELECT (SELECT count(*) FROM orders) AS source_rows,
+  count(*) FILTER (WHERE reject_reason = '') AS curated_rows,
+  count(*) FILTER (WHERE reject_reason != '') AS quarantined_rows,
+  (SELECT count(*) FROM orders) = count(*) AS balanced,
+  count(*) FILTER (WHERE contains(CAST(o_orderstatus AS VARCHAR), '''')) AS dirty_quotes
+FROM ord_chk
+""")
+def v13(spark, sf):
+    chk = orders_checked(spark, sf)
+    src = t(spark, sf, "orders").agg(F.count(F.lit(1))).scalar()
+    return chk.agg(F.count_if(F.size("reject_reasons") == 0).alias("curated_rows"),
+                   F.count_if(F.size("reject_reasons") > 0).alias("quarantined_rows"),
+                   (F.count(F.lit(1)) == src).alias("balanced"),
+                   F.count_if(F.col("o_orderstatus").contains("'")).alias("dirty_quotes")) \
+        .withColumn("source_rows", src)
+
+
+@query("v19_latest_run_report")
+def v19(spark, sf):
+    """Latest audited run with its reject rate (two governed runs, newest first)."""
+    import uuid as _uuid
+    from cauce.plans.jobs import governed_etl
+    from cauce.session import scratch_path
+    from cauce.sources import state
+    base = scratch_path(spark, f"v19-{_uuid.uuid4().hex}")
+    governed_etl(spark, sf, base, run_id="run-1")
+    governed_etl(spark, sf, base, run_id="run-2")
+    runs = state.read_table(spark, f"{base}/etl_runs")
+    rate = F.try_divide(F.col("quarantined").cast("double"), F.col("source_rows").cast("double"))
+    return runs.withColumn("reject_rate", rate).orderBy(F.desc("finished_at")).limit(1)

@@ -635,3 +635,28 @@ def u01(spark, sf):
                                         F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"),
                                         F.lit("supplier").alias("kind"))
     return RL.union_aligned([c, s])
+
+
+@query("l03_first_rows_display", sql="""
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 20
+""")
+def l03(spark, sf):
+    return t(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice") \
+        .orderBy("o_orderdate", "o_orderkey").limit(20)
+
+
+@query("p06_numeric_projection", sql="""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+""")
+def p06(spark, sf):
+    li = t(spark, sf, "lineitem")
+    return li.select(RL.numeric_columns(li))
+
+
+@query("p08_conform_contract", sql="""
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, upper(o_orderstatus) AS status, o_totalprice AS amount
+FROM orders
+""")
+def p08(spark, sf):
+    return RL.conform(t(spark, sf, "orders"), {"order_id": "o_orderkey", "customer_id": "o_custkey",
+                                               "status": F.upper("o_orderstatus"), "amount": "o_totalprice"})

@@ -438,3 +438,37 @@ SELECT 'Customer#' || lpad(CAST(max(TRY_CAST(substr(c_name, 10) AS BIGINT)) + 1
 def f35(spark, sf):
     c = t(spark, sf, "customer")
     return c.agg(S.padded_id("Customer#", F.max(S.id_number("c_name", 9)) + 1, 9).alias("next_id"))
+
+
+@query("s12_overwrite_partitions")
+def s12(spark, sf):
+    """Dynamic partition overwrite: a second write replaces only the years it contains."""
+    import uuid as _uuid
+    from cauce.session import scratch_path
+    path = scratch_path(spark, f"s12-{_uuid.uuid4().hex}")
+    o = t(spark, sf, "orders").withColumn("year", F.year("o_orderdate")).select("o_orderkey", "o_totalprice", "year")
+    sinks.write_parquet(o, path, partition_by=["year"])
+    latest = o.filter(F.col("year") == 2001).withColumn("o_totalprice", F.lit(0.0))
+    sinks.overwrite_partitions(latest, path, ["year"])
+    return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"),
+                                                         F.sum("o_totalprice").alias("total"))
+
+
+@query("s23_pipeline_reload")
+def s23(spark, sf):
+    """Persist a fitted pipeline, reload it without fitting, compare predictions (must be equal)."""
+    import uuid as _uuid
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from cauce.session import scratch_path
+    path = scratch_path(spark, f"s23-{_uuid.uuid4().hex}")
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features"),
+                             LinearRegression(labelCol="l_extendedprice", maxIter=20)]).fit(li)
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = model.transform(li).select("l_orderkey", "l_linenumber", F.col("prediction").alias("p1"))
+    b = again.transform(li).select("l_orderkey", "l_linenumber", F.col("prediction").alias("p2"))
+    j = a.join(b, ["l_orderkey", "l_linenumber"])
+    return j.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p1") != F.col("p2")).alias("different"))

@@ -246,11 +246,11 @@ def lexical_search(spark, sf, k=3):
     """(1,2)-gram TF-IDF fitted on documents; benchmark items are the queries.
 
     Document postings feed both the vocabulary (df) and the weights, so they
-    are persisted once (MEMORY_AND_DISK) instead of being re-tokenized per use.
+    are checkpointed once (shared folder, lineage cut) instead of being
+    re-tokenized per use.
     """
-    from pyspark import StorageLevel
     docs = t(spark, sf, "documents")
-    post = C.term_counts(docs, "doc_id", "text", ngram_max=2).persist(StorageLevel.MEMORY_AND_DISK)
+    post = C.term_counts(docs, "doc_id", "text", ngram_max=2).checkpoint(eager=True)
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = C.fit_idf(post, n)
     dw = C.tfidf(post, idf)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,10 +31,15 @@ def write_csv_partitioned(df: DataFrame, path: str, partition_by: str = "split")
 
 
 def export_json(df: DataFrame, path: str) -> int:
-    """Write rows as JSON lines and return the row count from the same job."""
-    obs = Observation("export")
-    df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite").json(path)
-    return int(obs.get["row_count"])
+    """Write rows as JSON lines and return the row count of what was written.
+
+    The count is read back from the written files (a metadata-light scan), which
+    also checks the export.  (``DataFrame.observe`` would count in the same job,
+    but a registered Observation breaks later ML jobs in the same session on
+    PySpark 4.1.)
+    """
+    df.write.mode("overwrite").json(path)
+    return df.sparkSession.read.json(path).count()
 
 
 def fingerprint(df: DataFrame, cols=None) -> DataFrame:
