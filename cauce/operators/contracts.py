@@ -43,7 +43,7 @@ class TableContract:
     name: str
     columns: tuple
     primary_key: tuple = ()
-    rules: tuple = field(default_factory=tuple)   # (reason, predicate-of-badness)
+    rules: tuple = field(default_factory=tuple)   # (reason, Column or zero-arg callable -> Column)
     expected_rows: tuple | None = None
 
     @property
@@ -99,7 +99,7 @@ def compile_contract(contract: TableContract, fk_hits: dict | None = None):
     out = []
     for cc in contract.columns:
         out += _column_checks(cc, fk_hits.get(cc.name))
-    out += [(reason, pred) for reason, pred in contract.rules]
+    out += [(reason, pred() if callable(pred) else pred) for reason, pred in contract.rules]
     return out
 
 

@@ -263,12 +263,19 @@ def z06(spark, sf):
 
 
 # ------------------------------------------------------------------- Z07
+def _z07_sql():
+    from cauce.plans.registry import _ORACLES
+    import cauce.plans.quality  # noqa: F401  (registers g21)
+    parts = [f"SELECT '{n}' AS report, count(*) AS row_count FROM ({_ORACLES[n]})" for n in _report_names()]
+    return " UNION ALL ".join(parts)
+
+
 def _report_names():
     return ["g03_revenue_by_category", "g04_rate_above_overall", "w01_monthly_change", "g20_top_customers",
             "g21_reasons_by_month"]
 
 
-@query("z07_report_pack")
+@query("z07_report_pack", sql=_z07_sql())
 def z07(spark, sf):
     """Run Q1-Q5, export each as JSON with its row count (one job per report)."""
     from cauce.plans.registry import all_queries

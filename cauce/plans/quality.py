@@ -42,8 +42,9 @@ ORDERS = TableContract("orders", (
     C("o_orderdate", nullable=False),
     C("o_orderpriority", nullable=False, regex=r"[1-5]-[A-Z ]+"),
 ), primary_key=("o_orderkey",), rules=(
-    ("o_orderdate_out_of_range", F.col("o_orderdate") > F.lit(ORDER_DATE_MAX).cast("timestamp_ntz")),
-    ("pending_high_amount", (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000)),
+    # callables: Columns are built at compile time, so importing needs no SparkContext
+    ("o_orderdate_out_of_range", lambda: F.col("o_orderdate") > F.lit(ORDER_DATE_MAX).cast("timestamp_ntz")),
+    ("pending_high_amount", lambda: (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000)),
 ))
 
 PART = TableContract("part", (

@@ -440,7 +440,11 @@ def f35(spark, sf):
     return c.agg(S.padded_id("Customer#", F.max(S.id_number("c_name", 9)) + 1, 9).alias("next_id"))
 
 
-@query("s12_overwrite_partitions")
+@query("s12_overwrite_partitions", sql="""
+SELECT year(o_orderdate) AS year, count(*) AS n,
+  round(sum(CASE WHEN year(o_orderdate) = 2001 THEN 0.0 ELSE o_totalprice END), 2) AS total
+FROM orders GROUP BY 1
+""")
 def s12(spark, sf):
     """Dynamic partition overwrite: a second write replaces only the years it contains."""
     import uuid as _uuid
@@ -451,7 +455,7 @@ def s12(spark, sf):
     latest = o.filter(F.col("year") == 2001).withColumn("o_totalprice", F.lit(0.0))
     sinks.overwrite_partitions(latest, path, ["year"])
     return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"),
-                                                         F.sum("o_totalprice").alias("total"))
+                                                         F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query("s23_pipeline_reload")

@@ -65,3 +65,15 @@ def test_oracle_matches(spark, entry_mod, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, cur.fetchall())
+
+
+def test_entry_imports_without_spark():
+    """The driver may ask for oracle SQL before any session exists."""
+    import subprocess
+    import sys
+    code = ("import importlib.util as u; s = u.spec_from_file_location('e', %r); m = u.module_from_spec(s); "
+            "s.loader.exec_module(m); print(len(m.oracle_sql()), len(m.queries()))" % os.path.join(ROOT, "__spark_entry__.py"))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/tmp", timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_sql, n_q = map(int, out.stdout.split())
+    assert n_sql >= 150 and n_q >= n_sql
