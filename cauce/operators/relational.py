@@ -101,14 +101,25 @@ def row_hash_id(df: DataFrame, cols=None, name: str = "row_id") -> DataFrame:
 
 
 # -------------------------------------------------------------------- joins
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+_PROVEN: dict = {}
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, cache_key=None) -> DataFrame:
     """Hint a broadcast only after proving ``count <= max_rows``.
 
     The probe is ``limit(max_rows + 1).count()``: it stops reading as soon as
     the bound is exceeded, so it is cheap for both small and large inputs.
+    ``cache_key`` (for immutable inputs such as a dimension file) remembers the
+    proof for the rest of the application, so repeated queries skip the probe.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, cache_key, max_rows) if cache_key else None
+    if key is not None and key in _PROVEN:
+        small = _PROVEN[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _PROVEN[key] = small
+    return F.broadcast(df) if small else df
 
 
 def assert_unique(df: DataFrame, keys) -> DataFrame:

@@ -38,7 +38,7 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def nations(spark: SparkSession, sf: str) -> DataFrame:
     """Bounded dimension (25 rows): broadcast after the size check."""
     return sized_broadcast(t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"),
-                           NATION_ROWS_MAX)
+                           NATION_ROWS_MAX, cache_key=(sf, "nation"))
 
 
 def order_fact(spark: SparkSession, sf: str) -> DataFrame:

@@ -73,7 +73,8 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
         # integrate: customer segment and nation name (left joins keep every fact row)
         cust = valid_c.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
         names = RL.sized_broadcast(t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
-                                                                  F.col("n_name").alias("branch")), 1000)
+                                                                  F.col("n_name").alias("branch")), 1000,
+                                   cache_key=(sf, "nation"))
         fact = valid.join(cust, "o_custkey", "left").join(names, "c_nationkey", "left").persist()
         cached.append(fact)
         metrics = fact.agg(
@@ -244,7 +245,8 @@ def spark_etl(spark, sf, out_dir: str | None = None):
                               & (F.col("l_discount") <= 0.1))
     derived = ok.withColumn("ship_year", F.year("l_shipdate")).withColumn("age", F.lit(2002) - F.col("ship_year"))
     sup = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    nat = RL.sized_broadcast(t(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), 1000)
+    nat = RL.sized_broadcast(t(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), 1000,
+                             cache_key=(sf, "nation"))
     curated = derived.join(sup, "l_suppkey", "left").join(nat, "s_nationkey", "left")
     if out_dir:
         sinks.write_parquet(curated.select("l_orderkey", "l_linenumber", "n_name", "l_extendedprice", "age",
