@@ -195,7 +195,11 @@ def tfidf(postings: DataFrame, idf: DataFrame, l2: bool = True) -> DataFrame:
     there and AQE's skew-join splits it.  The L2 norm is a window per document,
     whose size is bounded by the document.
     """
-    w = postings.join(idf.select("term", "idf"), "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    # the vocabulary grows with the corpus: never broadcast it on a size estimate
+    # (a checkpointed input can make the estimate small); sort-merge join, with
+    # AQE's skew handling for very frequent terms
+    w = postings.join(idf.select("term", "idf").hint("merge"), "term") \
+        .withColumn("weight", F.col("tf") * F.col("idf"))
     if l2:
         norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id")))
         w = w.withColumn("weight", F.col("weight") / norm)
@@ -204,4 +208,4 @@ def tfidf(postings: DataFrame, idf: DataFrame, l2: bool = True) -> DataFrame:
 
 def oov_terms(postings: DataFrame, idf: DataFrame) -> DataFrame:
     """Postings whose term is not in the fitted vocabulary."""
-    return postings.join(idf.select("term"), "term", "left_anti")
+    return postings.join(idf.select("term").hint("merge"), "term", "left_anti")

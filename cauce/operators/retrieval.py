@@ -186,7 +186,8 @@ def containment_pairs(docs: DataFrame, doc_id: str, doc_text: str,
     dfreq = index.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     long_p = p.filter(F.size("_tok") >= 3)
     interior = S.explode_nonnull(long_p, F.slice("_tok", 2, F.size("_tok") - 2), "token", "pid")
-    anchors = interior.join(dfreq, "token", "left") \
+    # token frequencies are vocabulary-sized: never broadcast on an explode-based estimate
+    anchors = interior.join(dfreq.hint("merge"), "token", "left") \
         .withColumn("df", F.coalesce("df", F.lit(0))) \
         .groupBy("pid").agg(F.min_by("token", F.struct("df", "token")).alias("token"))
     cand = index.join(anchors, "token").select("doc_id", "pid").distinct()

@@ -203,7 +203,8 @@ def t11(spark, sf):
     idf = C.fit_idf(train, sp.filter(F.col("split") == "train").agg(F.count(F.lit(1))).scalar())
     rest = post.filter(F.col("split") != "train")
     oov = C.oov_terms(rest, idf).groupBy("id", "split").agg(F.count(F.lit(1)).alias("oov_terms"))
-    known = rest.join(idf.select("term"), "term").groupBy("id", "split").agg(F.count(F.lit(1)).alias("known_terms"))
+    known = rest.join(idf.select("term").hint("merge"), "term").groupBy("id", "split") \
+        .agg(F.count(F.lit(1)).alias("known_terms"))
     return oov.join(known, ["id", "split"], "full_outer").select(
         "id", "split", F.coalesce("oov_terms", F.lit(0)).alias("oov_terms"),
         F.coalesce("known_terms", F.lit(0)).alias("known_terms"))
