@@ -221,19 +221,21 @@ def best_threshold(scored: DataFrame, score: str = "score", positive: str = "pos
     """Threshold maximising balanced accuracy; ties -> the larger threshold.
 
     Candidates are ``low``, midpoints of consecutive distinct scores, ``high``.
-    Cumulative class counts run over the distinct scores only.
+    Cumulative class counts and the next distinct score come from the
+    range-partitioned sequential operators, so even a table whose scores are
+    all distinct is never ordered by a single task.
     """
-    from pyspark.sql import Window
+    from cauce.operators.sequential import ordered_lag, running_totals
     lv = scored.groupBy(F.col(score).alias("v")).agg(
         F.count_if(F.col(positive)).alias("pos"), F.count_if(~F.col(positive)).alias("neg"))
     P = scored.agg(F.count_if(F.col(positive))).scalar()
     N = scored.agg(F.count_if(~F.col(positive))).scalar()
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = lv.select("v", F.sum("pos").over(w).alias("cpos"), F.sum("neg").over(w).alias("cneg"),
-                    F.lead("v").over(Window.orderBy("v")).alias("nv"))
+    cum = running_totals(lv, ["v"], ["pos", "neg"])
+    # next distinct score = previous one in descending order
+    cum = ordered_lag(cum.withColumn("_neg_v", -F.col("v")), [], ["_neg_v"], "v", "nv")
     mids = cum.filter(F.col("nv").isNotNull()).select(
         ((F.col("v") + F.col("nv")) / 2).alias("threshold"),
-        (F.try_divide(F.lit(P) - F.col("cpos"), P) + F.try_divide(F.col("cneg"), N)).alias("_s"))
+        (F.try_divide(F.lit(P) - F.col("cum_pos"), P) + F.try_divide(F.col("cum_neg"), N)).alias("_s"))
 
     def fixed(t):
         return scored.agg(
