@@ -562,8 +562,12 @@ def t22(spark, sf):
 def t23(spark, sf):
     """Nearest words of frequent terms under two window sizes and the Jaccard overlap of the sets."""
     from cauce.functions.numeric import jaccard
+    from cauce.functions.strings import explode_nonnull, words as word_tokens
     m2, m5 = word2vec_model(spark, sf, 2), word2vec_model(spark, sf, 5)
-    words = [r["word"] for r in m2.getVectors().limit(5).collect()]
+    # probe words: the five most frequent corpus words (a top-k report; ties by word)
+    w = explode_nonnull(t(spark, sf, "documents"), word_tokens("text", 3), "word")
+    top = w.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(5)
+    words = [r["word"] for r in top.collect()]
     rows = []
     for w in words:
         a = [r["word"] for r in m2.findSynonyms(w, 5).collect()]
