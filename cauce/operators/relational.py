@@ -243,3 +243,25 @@ def integrate_with_rejects(base: DataFrame, lookups, extra_rules=()):
         .drop(*[f"_hit{i}" for i in range(len(lookups))])
     ok = out.filter(F.col("reject_reason") == "").drop("reject_reason")
     return ok, out.filter(F.col("reject_reason") != "")
+
+
+def asof_lookup(events: DataFrame, rates: DataFrame, key: str, event_ts: str, rate_ts: str, value: str,
+                out: str | None = None) -> DataFrame:
+    """J04 ``as_of``: the ``value`` in force at each event (latest rate with ``rate_ts <= event_ts``).
+
+    Rates must be unique per (key, rate_ts).  Events and rates are unioned,
+    ordered by (key, time, rates before events at equal time) and the last
+    rate is carried forward; range partitioning spreads a hot key.
+    """
+    from cauce.operators.sequential import forward_fill
+    out = out or value
+    vt = rates.schema[value].dataType
+    e = events.withColumn("_k", F.col(key)).withColumn("_t", F.col(event_ts)) \
+        .withColumn("_kind", F.lit(1)).withColumn("_v", F.lit(None).cast(vt)) \
+        .withColumn("_rid", F.monotonically_increasing_id())
+    r = rates.select(F.col(key).alias("_k"), F.col(rate_ts).alias("_t"), F.lit(0).alias("_kind"),
+                     F.col(value).alias("_v"), F.lit(-1).cast("long").alias("_rid"))
+    u = e.unionByName(r, allowMissingColumns=True)
+    filled = forward_fill(u, ["_k"], ["_t", "_kind", "_rid"], "_v", "_asof")
+    return filled.filter(F.col("_kind") == 1).withColumn(out, F.col("_asof")) \
+        .drop("_k", "_t", "_kind", "_v", "_rid", "_asof")

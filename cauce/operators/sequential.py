@@ -135,3 +135,70 @@ def ordered_lag(df: DataFrame, part_cols, order_cols, value: str, name: str | No
     # empty partition is impossible because range partitions are contiguous
     res = res.withColumn(name, F.when(F.col("_first") & same, F.col("_pv")).otherwise(F.col(name)))
     return res.drop("_pid", "_first", "_last", "_pv", *["_pk_" + c for c in part_cols])
+
+
+def forward_fill(df: DataFrame, part_cols, order_cols, value: str, name: str | None = None,
+                 partitions: int | None = None) -> DataFrame:
+    """Last non-null ``value`` so far within ``part_cols`` in the order ``order_cols``.
+
+    Each range partition fills locally.  A group that starts in an earlier
+    partition receives its carried value from a summary with one row per
+    partition (first key, last key, last filled value), resolved in partition
+    order; that summary is bounded by the partition count.
+    """
+    part_cols, order_cols = list(part_cols), list(order_cols)
+    name = name or f"{value}_filled"
+    r = _ordered(df, part_cols + order_cols, partitions)
+    vtype = df.schema[value].dataType
+    out_schema = T.StructType(r.schema.fields + [T.StructField("_pid", T.IntegerType()),
+                                                 T.StructField(name, vtype)])
+
+    def local(it):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        carry = None                       # (key, last non-null value) of the previous row
+        for pdf in it:
+            if pdf.empty:
+                continue
+            kdf = pdf[part_cols]
+            prev_k = kdf.shift(1)
+            same = ((kdf == prev_k) | (kdf.isna() & prev_k.isna())).all(axis=1)
+            gid = (~same).cumsum()
+            vals = pdf[value].astype("object")
+            if carry is not None and _same_key(tuple(kdf.iloc[0].tolist()), carry[0]) and pd.isna(vals.iloc[0]):
+                vals.iloc[0] = carry[1]
+            filled = vals.groupby(gid).ffill()
+            carry = (tuple(kdf.iloc[-1].tolist()), filled.iloc[-1])
+            out = pdf.assign(_pid=pid)
+            out[name] = filled.to_numpy()
+            yield out
+
+    loc = r.mapInPandas(local, out_schema).checkpoint(eager=True)
+    key = F.struct(*[F.col(c) for c in part_cols])
+    # position inside a range partition is the full (key, order) sort order
+    order = F.struct(*[F.col(c) for c in part_cols + order_cols])
+    summary = loc.groupBy("_pid").agg(F.min_by(key, order).alias("first_key"), F.max_by(key, order).alias("last_key"),
+                                      F.max_by(F.col(name), order).alias("last_val")).collect()
+    # resolve carries in partition order (one row per partition: bounded)
+    rows, prev = [], None        # prev = (last_key, value carried out of the previous partition)
+    for s in sorted(summary, key=lambda x: x["_pid"]):
+        fk, lk = tuple(s["first_key"]), tuple(s["last_key"])
+        carry_in = prev[1] if prev is not None and _same_key(prev[0], fk) else None
+        if carry_in is not None:
+            rows.append((s["_pid"], carry_in))
+        out_val = s["last_val"]
+        if out_val is None and _same_key(fk, lk):
+            out_val = carry_in                      # whole partition is one key with no value of its own
+        prev = (lk, out_val)
+    if not rows:
+        return loc.drop("_pid")
+    carries = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField("_pid", T.IntegerType()),
+                                                                  T.StructField("_carry", vtype)]))
+    firsts = loc.groupBy("_pid").agg(F.min_by(key, order).alias("_fk"))
+    res = loc.join(F.broadcast(carries.join(firsts, "_pid")), "_pid", "left")
+    same = F.lit(True)
+    for c in part_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_fk.{c}"))
+    res = res.withColumn(name, F.when(F.col(name).isNull() & same & F.col("_carry").isNotNull(), F.col("_carry"))
+                         .otherwise(F.col(name)))
+    return res.drop("_pid", "_carry", "_fk")

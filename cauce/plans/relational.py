@@ -660,3 +660,16 @@ FROM orders
 def p08(spark, sf):
     return RL.conform(t(spark, sf, "orders"), {"order_id": "o_orderkey", "customer_id": "o_custkey",
                                                "status": F.upper("o_orderstatus"), "amount": "o_totalprice"})
+
+
+@query("j04_asof_rate_in_force", sql="""
+WITH r AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase')
+SELECT e.event_id, r.value AS last_purchase
+FROM events e ASOF LEFT JOIN r ON e.user_id = r.user_id AND e.ts >= r.ts
+""")
+def j04_asof(spark, sf):
+    """Value in force (the user's latest purchase up to and including each event)."""
+    e = t(spark, sf, "events")
+    rates = e.filter(F.col("event_type") == "purchase").select("user_id", "ts", "value")
+    ev = e.select("event_id", "user_id", "ts")
+    return RL.asof_lookup(ev, rates, "user_id", "ts", "ts", "value", "last_purchase").select("event_id", "last_purchase")

@@ -84,3 +84,27 @@ def test_no_cartesian_in_registered_plans(spark):
                  "v20_concentration_check", "t05_split_violations"]:
         p = _plan(qs[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_forward_fill_across_partitions_with_hot_key(spark):
+    from cauce.operators.sequential import forward_fill
+    # key 0 holds most rows and only two values, so its group spans partitions without values
+    rows = [(0, i, float(i) if i in (3, 900) else None) for i in range(1200)]
+    rows += [(k, i, float(k * 10 + i) if i % 4 == 0 else None) for k in range(1, 30) for i in range(20)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    got = forward_fill(df, ["k"], ["t"], "v", "f", partitions=9)
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.withColumn("f", F.last("v", ignorenulls=True).over(w))
+    assert sorted(map(tuple, got.select("k", "t", "f").collect())) == sorted(map(tuple, ref.select("k", "t", "f").collect()))
+
+
+def test_asof_lookup_inclusive(spark):
+    import datetime as dt
+    from cauce.operators.relational import asof_lookup
+    d = dt.datetime
+    ev = spark.createDataFrame([(1, "CL01", d(2024, 1, 5)), (2, "CL01", d(2024, 3, 1)), (3, "CL01", d(2023, 12, 1)),
+                                (4, "CL02", d(2024, 3, 1))], "id int, clinic string, at timestamp")
+    rates = spark.createDataFrame([("CL01", d(2024, 1, 1), 400.0), ("CL01", d(2024, 3, 1), 500.0)],
+                                  "clinic string, since timestamp, rate double")
+    got = {r["id"]: r["rate"] for r in asof_lookup(ev, rates, "clinic", "at", "since", "rate").collect()}
+    assert got == {1: 400.0, 2: 500.0, 3: None, 4: None}
