@@ -314,9 +314,10 @@ def z08(spark, sf):
 @query("z09_text_experiment")
 def z09(spark, sf):
     from cauce.operators import metrics as MT
-    from cauce.plans.mlops import t19, t20
-    chosen = t20(spark, sf).select("chosen").first()["chosen"]
-    test = t19(spark, sf).filter((F.col("split") == "test") & (F.col("model") == chosen)) \
+    from cauce.plans.mlops import model_selection, t19
+    preds = t19(spark, sf).checkpoint(eager=True)          # fit once; selection and test read it
+    chosen = model_selection(preds).select("chosen").first()["chosen"]
+    test = preds.filter((F.col("split") == "test") & (F.col("model") == chosen)) \
         .select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
     return MT.class_report(test, "label", "prediction").withColumn("model", F.lit(chosen))
 
