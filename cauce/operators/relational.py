@@ -80,8 +80,10 @@ def sequence_id(df: DataFrame, order_cols, name: str = "row_id", start: int = 1)
     """
     cols = [_c(c) for c in order_cols]
     ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    # partition ids and positions are non-deterministic across re-executions and the
+    # frame is read twice (counts and join back): materialise it once
     tagged = ranged.withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mono", F.monotonically_increasing_id())
+        .withColumn("_mono", F.monotonically_increasing_id()).checkpoint(eager=True)
     # monotonically_increasing_id = (pid << 33) + local index
     local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -100,7 +100,7 @@ def topk_dense(spark: SparkSession, items: DataFrame, item_id: str, item_vec: st
 
 
 def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k: int,
-                max_queries: int = MAX_QUERIES_PER_CHUNK) -> DataFrame:
+                max_queries: int = MAX_QUERIES_PER_CHUNK, max_postings: int = 2_000_000) -> DataFrame:
     """Exact top-k by sparse dot product of ``(id, term, weight)`` tables.
 
     Item postings are grouped per item (bounded by the item's size); query
@@ -112,13 +112,21 @@ def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k
     # the query side is small and read several times (size check, chunking, collect)
     queries_w = queries_w.persist()
     qids_df = queries_w.select(F.col("id").cast("long").alias("qid")).distinct()
-    parts = []
-    for rows in _chunks(qids_df, "qid", max_queries):
-        if not rows:
-            continue
-        qids = sorted(r["qid"] for r in rows)
+    def bounded_groups(qids):
+        """Split a chunk until its postings fit ``max_postings`` (exact: every query is kept)."""
         chunk = queries_w.filter(F.col("id").cast("long").isin(qids))
-        sized_broadcast(chunk, 50_000_000)   # proves the bound before collecting
+        if len(qids) == 1 or chunk.limit(max_postings + 1).count() <= max_postings:
+            return [(qids, chunk)]
+        half = len(qids) // 2
+        return bounded_groups(qids[:half]) + bounded_groups(qids[half:])
+
+    groups = []
+    for rows in _chunks(qids_df, "qid", max_queries):
+        if rows:
+            groups += bounded_groups(sorted(r["qid"] for r in rows))
+    parts = []
+    for qids, chunk in groups:
+        # proven to hold at most max_postings rows (a single query is always taken whole)
         qpost = chunk.select(F.col("id").cast("long").alias("q"), "term", "weight").collect()
         vocab = {}
         for r in qpost:

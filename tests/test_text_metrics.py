@@ -167,3 +167,16 @@ def test_threshold_ties_prefer_larger(spark):
     df = spark.createDataFrame([(0.2, False), (0.8, True)], "score double, positive boolean")
     r = RT.best_threshold(df).first()
     assert r["balanced_accuracy"] == 1.0 and r["threshold"] == pytest.approx(0.5)
+
+
+def test_topk_sparse_chunking_is_exact(spark):
+    docs = spark.createDataFrame([(i, f"pago cuenta {'tarjeta ' * (i % 3)}bloqueada doc{i}") for i in range(40)],
+                                 "id long, text string")
+    qs = spark.createDataFrame([(100 + j, f"pago {'cuenta ' * j}tarjeta") for j in range(6)], "id long, text string")
+    post = C.term_counts(docs, "id", "text", ngram_max=2)
+    idf = C.fit_idf(post, 40)
+    dw, qw = C.tfidf(post, idf), C.tfidf(C.term_counts(qs, "id", "text", ngram_max=2), idf)
+    whole = RT.topk_sparse(spark, dw, qw, 3)
+    split = RT.topk_sparse(spark, dw, qw, 3, max_queries=2, max_postings=4)
+    key = lambda d: sorted((r["qid"], r["rank"], r["item_id"], round(r["score"], 9)) for r in d.collect())
+    assert key(whole) == key(split) and len(key(whole)) == 18
