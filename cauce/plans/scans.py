@@ -58,8 +58,7 @@ def s15(spark, sf):
     updates = o.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")) \
         .select("o_orderkey", F.round(F.col("o_totalprice") * 1.1, 3).alias("o_totalprice"),
                 F.lit("U").alias("o_orderstatus"))
-    merged, _, _ = state.merge_frames(target, updates, "o_orderkey")
-    return merged
+    return state.merge_frames(target, updates, "o_orderkey")
 
 
 @query("s15_upsert_counts", sql="""

@@ -8,7 +8,7 @@ take the highest committed version.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: F401
 from pyspark.sql import functions as F
 
 from cauce.sources import fs
@@ -73,17 +73,13 @@ def publish(spark: SparkSession, df: DataFrame, path: str) -> int:
     return v
 
 
-def merge_frames(target: DataFrame | None, updates: DataFrame, key) -> tuple[DataFrame, Column, Column]:
-    """Set-based upsert: rows of ``target`` whose key is absent from ``updates``,
-    plus all ``updates``.  Returns (merged, inserted-flag, updated-flag) where the
-    flags are expressions over ``updates`` joined with the target keys.
-    """
+def merge_frames(target: DataFrame | None, updates: DataFrame, key) -> DataFrame:
+    """Set-based upsert: rows of ``target`` whose key is absent from ``updates``, plus all ``updates``."""
     keys = [key] if isinstance(key, str) else list(key)
     if target is None:
-        return updates, F.lit(True), F.lit(False)
+        return updates
     kept = target.join(updates.select(*keys), keys, "left_anti")
-    merged = kept.unionByName(updates, allowMissingColumns=True)
-    return merged, None, None
+    return kept.unionByName(updates, allowMissingColumns=True)
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key) -> tuple[int, int]:
@@ -107,7 +103,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key) -> tuple[int
         counts = flagged.agg(F.count_if(F.col("_exists").isNull()).alias("ins"),
                              F.count_if(F.col("_exists")).alias("upd")).first()
         inserted, updated = int(counts["ins"]), int(counts["upd"])
-        merged, _, _ = merge_frames(target, updates, keys)
+        merged = merge_frames(target, updates, keys)
     publish(spark, merged, path)
     return inserted, updated
 
