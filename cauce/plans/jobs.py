@@ -62,7 +62,10 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
         staged = RL.with_provenance(src, "orders_db", f"batch-{run_id[:8]}", run_id, started)
         nat = t(spark, sf, "nation").select("n_nationkey")
         customers = apply_contract(t(spark, sf, "customer"), CUSTOMER, {"c_nationkey": nat})
-        valid_c = customers.filter(F.size("reject_reasons") == 0)
+        # read twice (FK parents and enrichment): cached for the job, released in finally
+        valid_c = customers.filter(F.size("reject_reasons") == 0) \
+            .select("c_custkey", "c_mktsegment", "c_nationkey").persist()
+        cached.append(valid_c)
         checked = apply_contract(staged, ORDERS, {"o_custkey": valid_c.select("c_custkey")}).persist()
         cached.append(checked)
         valid = checked.filter(F.size("reject_reasons") == 0)
