@@ -27,6 +27,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from cauce.llm.common import map_rows, prepare, saved
@@ -177,8 +178,6 @@ def latent_basis(block: DataFrame, index: Index) -> np.ndarray:
 
 def gram_times(block: DataFrame, index: Index, basis: np.ndarray) -> np.ndarray:
     """A'(A Q), summed by partition and then by slice of terms."""
-    import pandas as pd
-
     spark = block.sparkSession
     sent = spark.sparkContext.broadcast((index.terms, index.weights, basis))
 
@@ -235,8 +234,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(sent):
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def without_hits(text: pd.Series) -> pd.Series:
         return pd.Series([not sent.value.hits(t) for t in text], dtype=bool)

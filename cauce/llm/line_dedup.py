@@ -26,6 +26,7 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -146,8 +147,6 @@ def index_shards(keys: DataFrame, n_shards: int) -> DataFrame:
     """shard, index: one row a shard with its perfect hash and arrays."""
 
     def build(pdf):
-        import pandas as pd
-
         a, b = (pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("a", "b"))
         return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "index": [build_index(a, b, pdf["n"].to_numpy(), pdf["owner"].to_numpy())]})
 

@@ -28,6 +28,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -179,8 +180,6 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 def encode_rows(docs: DataFrame, model: str) -> DataFrame:
     """All columns of ``docs`` with ``ids`` put behind them (in place of a column of that name)."""
-    import pandas as pd
-
     prepare(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
