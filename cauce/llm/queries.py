@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cauce.llm import decontaminate, line_dedup, near_dedup, quality_rules, sentencepiece_codec
+from cauce.llm import decontaminate, line_dedup, near_dedup, quality_rules, sentencepiece_codec, token_counts
 from cauce.llm.common import NULL_ID, prepare, text_hash
 from cauce.llm.oracles import ORACLES  # noqa: F401  (re-exported)
 
@@ -57,6 +57,11 @@ def op7_sentencepiece(spark, sf_dir):
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
 
 
+@query
+def op8_token_counts(spark, sf_dir):
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 @query
 def op9_near_dedup(spark, sf_dir):
     docs = documents(spark, sf_dir)

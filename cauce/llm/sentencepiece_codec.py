@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cauce.llm.common import map_rows, prepare
+from cauce.llm.merges import MergeStates, Remembered
 
 MARK = "▁"
 #: Words a task remembers, in two generations of this size.
@@ -44,13 +45,13 @@ class Codec:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        special = [sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(len(self.pieces))]
+        pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+        special = [sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(len(pieces))]
         # a space stands for the mark inside this class
-        self.ids = {p.replace(MARK, " "): i for i, p in enumerate(self.pieces) if not special[i]}
-        self.score = {p: sp.get_score(i) for p, i in self.ids.items()}
-        self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
-        self.longest = max(map(len, self.ids))
+        self.ids = {p.replace(MARK, " "): i for i, p in enumerate(pieces) if not special[i]}
+        rank = {p: -sp.get_score(i) for p, i in self.ids.items()}
+        self.states = MergeStates(self.ids, lambda a, b: rank.get(a + b))
+        self.byte = {int(p[3:5], 16): i for i, p in enumerate(pieces) if sp.is_byte(i)}
         self.output = {i: bytes([b]) for b, i in self.byte.items()} | {i: p.encode() for p, i in self.ids.items()}
         if any(re.search("[^ ] |[^\n]\n|\n[^\n]", p) for p in self.ids):
             raise ValueError("a piece reaches across words")
@@ -63,42 +64,7 @@ class Codec:
         free = "".join(re.escape(y) for y, xs in before.items() if not xs)
         safe = [f"(?=[{free}])"] * bool(free) + [f"(?<![{''.join(sorted(xs))}])(?={re.escape(y)})" for y, xs in before.items() if xs]
         self.cuts = re.compile(f" *+[^\\W_]++(?:{'|'.join(safe)})| *[^ ]+| +")
-        self.follows = lru_cache(1 << 18)(self._follows)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """The symbols left when neighbours merge by highest score, leftmost first."""
-        parts = list(text)
-        while True:
-            best = max(((self.score[x], -i) for i, x in enumerate(map("".join, zip(parts, parts[1:]))) if x in self.score), default=None)
-            if best is None:
-                return parts
-            i = -best[1]
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-
-    def _follows(self, s: str, t: str) -> bool:
-        return self.merged(s + t) == ([s, t] if s else [t])
-
-    def extend(self, word: str, last: list) -> None:
-        """Forward states of the prefixes of ``word`` beyond those in ``last``.
-
-        last[i] is the piece that ends the encoding of word[:i]; a character
-        outside the vocabulary is a piece of its own beside which nothing merges."""
-        ids, follows, longest = self.ids, self.follows, self.longest
-        for end in range(len(last), len(word) + 1):
-            if word[end - 1] in ids:
-                for start in range(end - longest if end > longest else 0, end):
-                    piece = word[start:end]
-                    if piece in ids:
-                        before = last[start]
-                        if follows(before if before in ids else "", piece):
-                            last.append(piece)
-                            break
-                else:
-                    raise AssertionError(f"no encoding of {word[:end]!r}")
-            else:
-                last.append(word[end - 1])
+        self.words = Remembered(REMEMBERED, lambda words: {w: self.traced(w, last) for w, last in self.states.walk(words)})
 
     def traced(self, word: str, last: list) -> tuple[int, ...]:
         out, end = [], len(word)
@@ -111,31 +77,10 @@ class Codec:
             end -= len(piece)
         return tuple(reversed(out))
 
-    def learn(self, words) -> dict[str, tuple[int, ...]]:
-        """Encodings of distinct words, by one depth-first walk over their trie."""
-        out, path, last = {}, "", [None]
-        for word in sorted(words):
-            most, shared = min(len(path), len(word)), 0
-            while shared < most and path[shared] == word[shared]:
-                shared += 1
-            del last[shared + 1:]
-            self.extend(word, last)
-            out[word] = self.traced(word, last)
-            path = word
-        return out
-
     def encode_batch(self, texts: list[str]) -> list[list[tuple[int, ...]]]:
         """Per text the ids of its marked words in order."""
         cut = [self.marked_words(t) for t in texts]
-        new = set().union(*cut) - self.words.keys()
-        if new:
-            if len(self.words) + len(new) > REMEMBERED:
-                self.older, self.words = self.words, {}
-                new = set().union(*cut)
-            known = {w: self.older[w] for w in new if w in self.older}
-            self.words |= known
-            self.words |= self.learn(new - known.keys())
-        get = self.words.__getitem__
+        get = self.words.of(cut)
         return [list(map(get, words)) for words in cut]
 
     def marked_words(self, text: str) -> list[str]:
