@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cauce.llm import decontaminate, line_dedup, near_dedup, quality_rules, sentencepiece_codec, token_counts
+from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_rules, secrets, sentencepiece_codec, token_counts
 from cauce.llm.common import NULL_ID, prepare, text_hash
 from cauce.llm.oracles import ORACLES  # noqa: F401  (re-exported)
 
@@ -38,6 +38,11 @@ def op1_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
 
 
+@query
+def op2_pii(spark, sf_dir):
+    return pii.digest(pii.personal_data(documents(spark, sf_dir)))
+
+
 @query
 def op4_line_dedup(spark, sf_dir):
     return line_dedup.dedup(documents(spark, sf_dir)).select(
@@ -68,3 +73,8 @@ def op9_near_dedup(spark, sf_dir):
     found = near_dedup.classes(docs).select("node", "class_id", "class_texts")
     return (docs.select("doc_id", text_hash().alias("node")).join(found, "node")
             .select("doc_id", F.when(F.col("class_id") != NULL_ID, F.col("class_id")).alias("class_id"), "class_texts"))
+
+
+@query
+def op10_secrets(spark, sf_dir):
+    return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
