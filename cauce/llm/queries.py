@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_rules, secrets, sentencepiece_codec, token_counts
+from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, token_counts
 from cauce.llm.common import NULL_ID, prepare, text_hash
 from cauce.llm.oracles import ORACLES  # noqa: F401  (re-exported)
 
@@ -56,6 +56,11 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query
+def op6_quality_classifier(spark, sf_dir):
+    return quality_classifier.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op7_sentencepiece(spark, sf_dir):
     out = sentencepiece_codec.encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
