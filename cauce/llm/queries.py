@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, token_counts
+from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, token_counts, toxicity
 from cauce.llm.common import NULL_ID, prepare, text_hash
 from cauce.llm.oracles import ORACLES  # noqa: F401  (re-exported)
 
@@ -43,6 +43,11 @@ def op2_pii(spark, sf_dir):
     return pii.digest(pii.personal_data(documents(spark, sf_dir)))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op4_line_dedup(spark, sf_dir):
     return line_dedup.dedup(documents(spark, sf_dir)).select(
