@@ -41,8 +41,8 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 BUCKETS = 1 << 17
 CHAIN = 512
-STEPS, RATE, DECAY = 40, 0.25, 1e-4
-PRECISION, MIN_CONTEXTS, MIN_SHARE = 0.8, 8, 0.002
+STEPS, RATE, DECAY = 60, 0.4, 1e-5
+PRECISION, MIN_CONTEXTS, MIN_SHARE = 0.8, 4, 0.002
 PLAIN = 5
 REMEMBERED = 300_000
 LOW, HIGH = -20.0, 20.0
@@ -97,7 +97,7 @@ def marking_forms(toxic: list[list[bytes]], clean: list[list[bytes]], known: dic
     at = np.minimum(np.searchsorted(g, f), max(len(g) - 1, 0))
     other = np.where(g[at] == f, m[at], 0) if len(g) else np.zeros(len(f))
     other = other * (len(toxic) / max(len(clean), 1))
-    good = (n >= max(MIN_CONTEXTS, MIN_SHARE * len(toxic))) & (n >= PRECISION * (n + other))
+    good = (n >= max(MIN_CONTEXTS, MIN_SHARE * len(toxic))) & (n >= PRECISION * (n + other + 1))
     return set(f[good].tolist())
 
 
