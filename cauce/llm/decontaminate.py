@@ -36,11 +36,14 @@ from cauce.llm.common import map_rows, prepare, saved
 PASSAGE, PASSAGE_STEP = 64, 32
 #: Passages of one latent space; an index holds at most BLOCK * PASSAGE terms x RANK floats (32 MB).
 BLOCK, RANK, OVERSAMPLE, POWER_STEPS = 512, 256, 16, 2
-WINDOW, STEP = 32, 16
-MIN_MASS, MIN_COSINE = 0.12, 0.3
+STEP = 16
+WINDOW = 2 * STEP
+MIN_MASS, MIN_COSINE = 0.2, 0.35
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.6
 ANSWER_WORDS = 8
 SLICE = 1024
+#: Blocks of words of one text that are projected at once.
+BLOCKS = 1024
 
 #: Everything in ASCII that is no letter or digit ends a word.
 _BLANK = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
@@ -77,7 +80,7 @@ class Index:
         self.terms = {t: i for i, t in enumerate(names)}
         self.weights = np.array([weight[t] for t in names] + [unseen])  # the last is for terms outside
         self.items, self.texts, self.unseen = items, texts, unseen
-        self.basis = self.latent = None
+        self.weighted = self.latent = None
 
     def vector(self, terms) -> tuple[np.ndarray, np.ndarray]:
         """Columns and unit-length TF-IDF weights of a passage."""
@@ -87,27 +90,34 @@ class Index:
         return columns, values / np.linalg.norm(values)
 
     def windows(self, terms: list[bytes]) -> list[tuple[int, int, np.ndarray]]:
-        """(start, end, passages) of the windows with candidates."""
+        """(start, end, passages) of the windows with candidates.  A window is two neighbouring blocks of STEP words."""
         get, out = self.terms.get, len(self.terms)
         ids = np.array([get(t, out) for t in terms], np.int64)
         known = ids < out
-        if not known.any():
+        squares = self.weights[ids] ** 2
+        starts = np.arange(0, len(ids), STEP)
+        norm, mass = (np.add.reduceat(x, starts) for x in (squares, squares * known))
+        if len(starts) > 1:
+            norm, mass = norm[:-1] + norm[1:], mass[:-1] + mass[1:]
+        some = mass >= MIN_MASS * norm
+        if not some.any():
             return []
-        w = self.weights[ids]
-        total = np.concatenate([[0], np.cumsum(w * w)])
-        mass = np.concatenate([[0], np.cumsum(w * w * known)])
-        starts = np.arange(0, max(1, len(ids) - WINDOW + STEP), STEP)
-        ends = np.minimum(starts + WINDOW, len(ids))
-        norm = total[ends] - total[starts]
-        some = np.flatnonzero(mass[ends] - mass[starts] >= MIN_MASS * norm)
+        own = np.flatnonzero(known)
+        least = MIN_COSINE * np.sqrt(norm)
         found = []
-        for i in some:
-            s, e = int(starts[i]), int(ends[i])
-            own = ids[s:e][known[s:e]]
-            point = (self.weights[own][:, None] * self.basis[own]).sum(axis=0)
-            near = np.flatnonzero(self.latent @ point >= MIN_COSINE * math.sqrt(norm[i]))
-            if len(near):
-                found.append((s, e, near))
+        for k in range(0, len(norm), BLOCKS):
+            end = min(k + BLOCKS, len(norm))
+            edges = np.searchsorted(own, starts[k:end + 1])
+            stop = np.searchsorted(own, min(len(ids), (end + 1) * STEP))
+            rows = self.weighted[ids[own[edges[0]:stop]]]
+            sums = np.zeros((len(edges), rows.shape[1]), np.float32)
+            filled = np.diff(np.append(edges, stop)) > 0
+            sums[filled] = np.add.reduceat(rows, edges[filled] - edges[0], axis=0) if filled.any() else 0
+            points = sums[:-1] + sums[1:] if len(norm) < len(starts) else sums
+            near = (points @ self.latent.T >= least[k:end, None]) & some[k:end, None]
+            for i in np.flatnonzero(near.any(axis=1)):
+                s = int(starts[k + i])
+                found.append((s, min(s + WINDOW, len(ids)), np.flatnonzero(near[i])))
         return found
 
     def hits(self, text: str | None) -> dict[int, tuple[int, int]]:
@@ -117,8 +127,11 @@ class Index:
             for k in near:
                 passage = self.texts[k]
                 region = terms[max(0, s - len(passage)):e + len(passage)]
-                common = common_words(passage, region)
                 item, n = self.items[k], len(passage)
+                there = set(region)
+                if sum(t in there for t in passage) < PARAPHRASE * n:
+                    continue  # too few of its words for any common subsequence
+                common = common_words(passage, region)
                 if common >= VERBATIM * n or common >= PARAPHRASE * n and answered(passage, region):
                     if item not in best or common * best[item][1] > best[item][0] * n:
                         best[item] = common, n
@@ -160,8 +173,9 @@ def indexes(benchmark: DataFrame):
         rows = block.orderBy("pid").collect()  # BLOCK passages of PASSAGE words or so
         weight = {bytes(r["term"]): math.log(1 + n / r["n"]) for r in own}
         index = Index([r["item_id"] for r in rows], [list(map(bytes, r["terms"])) for r in rows], weight, math.log(1 + 2 * n))
-        index.basis = latent_basis(block, index).astype(np.float32)
-        index.latent = np.stack([v @ index.basis[c] for c, v in map(index.vector, index.texts)])
+        basis = latent_basis(block, index).astype(np.float32)
+        index.latent = np.stack([v.astype(np.float32) @ basis[c] for c, v in map(index.vector, index.texts)])
+        index.weighted = basis * index.weights[:-1, None].astype(np.float32)
         yield index
 
 
