@@ -28,7 +28,7 @@ import struct
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cauce.llm.common import id_or_last, map_rows, prepare, saved, text_hash
 
@@ -194,19 +194,34 @@ def dropped_lines(lines: DataFrame) -> DataFrame:
     return map_rows(dealt, probe, "owner long, th binary, line int")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs`` with ``__lines`` (array) and ``__gone`` (sorted line numbers, null if none)."""
+def dropped_by_document(docs: DataFrame) -> DataFrame:
+    """owner, th, gone: the sorted numbers of the lines that a document's text loses; documents that lose none are absent."""
     prepare(docs.sparkSession)
     source = docs.select(id_or_last().alias("owner"), text_hash().alias("th"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    lines = saved(line_rows(source), "lines")
-    gone = dropped_lines(lines).groupBy(F.col("owner").alias("__owner"), F.col("th").alias("__th")).agg(F.array_sort(F.collect_set("line")).alias("__gone"))
-    return (docs.join(saved(gone, "dropped-lines"), (id_or_last() == F.col("__owner")) & (text_hash() == F.col("__th")), "left")
-            .drop("__owner", "__th").withColumn("__lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)))
+    gone = dropped_lines(saved(line_rows(source), "lines")).groupBy("owner", "th").agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    return saved(gone, "dropped-lines")
+
 
+def judged(docs: DataFrame) -> DataFrame:
+    """row (a struct of all columns), text (empty for null), gone (null if nothing goes) of every document row."""
+    rows = docs.select(F.struct("*").alias("row"), id_or_last().alias("owner"), text_hash().alias("th"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return rows.join(dropped_by_document(docs), ["owner", "th"], "left").select("row", "text", "gone")
 
-def kept_text():
-    """The text left by ``dedup``, in the JVM; untouched texts pass as they are."""
-    lines, gone = F.col("__lines"), F.col("__gone")
+
+def kept_text() -> Column:
+    """The text left of a judged row, in the JVM; untouched texts pass as they are."""
+    lines, gone = F.split("text", "\n", -1), F.col("gone")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    return F.when(gone.isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    return F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept of every document row."""
+    return judged(docs).select("row.doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+                               F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), kept_text().alias("kept"))
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, with ``text`` cut to the lines that stay (empty for null)."""
+    rows = judged(docs).select("row", kept_text().alias("kept"))
+    return rows.select(*[F.col("kept").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

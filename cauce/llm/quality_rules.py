@@ -139,12 +139,13 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    hosts = saved(host_verdicts(saved(document_measures(docs), "measures")).where("host_rejected").select(F.col("source").alias("__host")), "hosts")
+    hosts = saved(host_verdicts(saved(document_measures(docs), "measures")).where("host_rejected").select(F.col("source").alias("host")), "hosts")
 
     @F.pandas_udf("boolean")
     def passes(text: pd.Series) -> pd.Series:
         found = (measures(t) for t in text)
         return pd.Series([w >= MIN_WORDS and 100 * a <= MAX_REPEAT_PERCENT * w for w, _, _, _, a in found], dtype=bool)
 
-    return docs.where(passes(F.col("text").cast("string"))).join(
-        hosts, F.col("source").cast("string").eqNullSafe(F.col("__host")), "left_anti")
+    # a struct keeps the documents' own column names apart from the verdicts'
+    rows = docs.where(passes(F.col("text").cast("string"))).select(F.struct("*").alias("row"), F.col("source").cast("string").alias("own"))
+    return rows.join(hosts, F.col("own").eqNullSafe(F.col("host")), "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

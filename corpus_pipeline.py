@@ -25,8 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that an earlier document holds; ``n_chars`` counts what is left.  Keeps every document."""
     prepare(spark)
-    out = line_dedup.dedup(docs).withColumn("text", line_dedup.kept_text()).withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    return line_dedup.dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
