@@ -19,6 +19,9 @@ WORD = r"[\p{L}\p{N}_]"
 # Python's str.isspace() set, written so Java regex and RE2 read it the same way.
 PY_WS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
          r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same characters as a list, for trims.
+WS_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+                             0x202F, 0x205F, 0x3000]))
 TOKEN_PATTERN = WORD + r"+|[^\p{L}\p{N}_\s]"
 SUSPICIOUS_PATTERN = (r"ignora.{0,30}(instrucciones|reglas)|revela.{0,25}(secreto|contraseña)"
                       r"|ignore.{0,25}instructions")
@@ -35,6 +38,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """All white space off both ends (``trim`` takes spaces only)."""
+    return F.btrim(_c(c), F.lit(WS_CHARS))
+
+
 def norm_key(c) -> Column:
     """Case-fold + trim (F03 building block)."""
     return F.lower(F.trim(_c(c)))
@@ -170,7 +178,7 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
 
 def id_number(c, prefix_len: int = 1) -> Column:
     """numeric part of an id such as ``P000042``; non-numeric -> null."""
-    return F.substring(_c(c), prefix_len + 1, 1 << 20).try_cast("long")
+    return F.substr(_c(c), F.lit(prefix_len + 1)).try_cast("long")
 
 
 def _sql(c) -> str:

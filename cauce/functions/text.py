@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,28 +99,24 @@ def token_offsets(s: pd.Series) -> pd.Series:
 def chunk_offsets(c, size: int, overlap: int) -> Column:
     """windows of ``size`` whitespace tokens, step ``size - overlap``.
 
-    Returns ``array<struct<chunk_index, start, end>>`` in code points; the
-    last window is the first one that reaches the final token.
+    Returns ``array<struct<chunk_index, start, end>>`` in code points.  With n
+    tokens there are 1 + ceil((n - size) / step) windows (at least one, none
+    without tokens): the last one is the first to reach the final token.
     """
     if overlap < 0 or size <= overlap:
         raise ValueError("need 0 <= overlap < size")
     step = size - overlap
 
-    def offsets(text):
-        if not isinstance(text, str):
-            return None
-        ms = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
-        out = []
-        for i in range(0, len(ms), step):
-            batch = ms[i:i + size]
-            out.append({"chunk_index": i, "start": batch[0][0], "end": batch[-1][1]})
-            if i + size >= len(ms):
-                break
-        return out
-
     @F.pandas_udf(T.ArrayType(CHUNK))
     def _chunks(s: pd.Series) -> pd.Series:
-        return s.map(offsets)
+        def windows(text):
+            if not isinstance(text, str):
+                return None
+            spans = np.array([m.span() for m in re.finditer(r"\S+", text)], np.int64).reshape(-1, 2)
+            first = np.arange(0, max(len(spans) - overlap, min(len(spans), 1)), step)
+            last = np.minimum(first + size, len(spans)) - 1
+            return [{"chunk_index": int(i), "start": int(a), "end": int(b)} for i, a, b in zip(first, spans[first, 0], spans[last, 1])]
+        return s.map(windows)
 
     return _chunks(_c(c))
 
@@ -127,17 +124,41 @@ def chunk_offsets(c, size: int, overlap: int) -> Column:
 def bio_tags(tokens, spans) -> Column:
     """F30 spans -> BIO: a token is B when it starts a span, I when inside, else O.
 
-    Pure array expressions: for each token find the span that covers it.
+    Pure array expressions: for each token find the last span that covers it.
     """
     def tag(tok):
         cover = F.filter(_c(spans), lambda s: (tok["start"] >= s["start"]) & (tok["end"] <= s["end"]))
-        first = F.element_at(cover, 1)
+        first = F.element_at(cover, -1)
         return F.when(F.size(cover) == 0, F.lit("O")) \
             .when(first["start"] == tok["start"], F.concat(F.lit("B-"), first["label"])) \
             .otherwise(F.concat(F.lit("I-"), first["label"]))
     return F.transform(_c(tokens), tag)
 
 
+def bio_spans(tokens, tags) -> Column:
+    """F30 BIO -> spans: a span runs from a B (or an I with another label) to the token before the next change."""
+    rows = F.arrays_zip(_c(tokens).alias("tok"), _c(tags).alias("tag"))
+    label = lambda x: F.substr(x["tag"], F.lit(3))
+    kept = F.filter(F.transform(rows, lambda x, i: F.struct(x["tok"]["start"].alias("start"), x["tok"]["end"].alias("end"),
+                                                            x["tag"].alias("tag"), i.alias("at"))), lambda x: x["tag"] != "O")
+    pairs = F.arrays_zip(kept.alias("now"), F.concat(F.array(F.lit(None)), kept).alias("before"))
+    opened = F.filter(F.transform(pairs, lambda p: F.when(
+        p["now"]["tag"].startswith("B-") | p["before"].isNull() | (p["before"]["at"] != p["now"]["at"] - 1)
+        | (label(p["before"]) != label(p["now"])), p["now"])), lambda x: x.isNotNull())
+    nexts = F.concat(F.slice(opened, 2, F.greatest(F.size(opened) - 1, F.lit(0))), F.array(F.lit(None)))
+    return F.transform(F.slice(F.arrays_zip(opened.alias("o"), nexts.alias("n")), 1, F.size(opened)), lambda z: F.struct(
+        z["o"]["start"].alias("start"),
+        F.element_at(F.filter(kept, lambda x: (x["at"] >= z["o"]["at"]) & (z["n"].isNull() | (x["at"] < z["n"]["at"]))), -1)["end"].alias("end"),
+        label(z["o"]).alias("label")))
+
+
+def first_piece_tags(word_ids, tags) -> Column:
+    """F30 sub-word alignment: the first piece of each word takes the word's tag; others and pieces of no word take null."""
+    ids = _c(word_ids)
+    return F.transform(ids, lambda w, i: F.when(w.isNotNull() & ((i == 0) | ~w.eqNullSafe(F.get(ids, i - 1))),
+                                                F.get(_c(tags), w)))
+
+
 def ngrams(tokens, n: int) -> Column:
     """contiguous n-grams of a token array joined by one space.
 

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cauce.functions.strings import strip
+
 from cauce.functions.dates import parse_timestamp
 from cauce.functions.strings import full_match
 
@@ -55,7 +57,7 @@ def _column_checks(cc: ColumnContract, fk_hit: Column | None):
     x = F.col(cc.name)
     present = x.isNotNull()
     if cc.dtype in ("string", None):
-        blank = present & (F.trim(x.cast("string")) == "")
+        blank = present & (strip(x.cast("string")) == "")
     else:
         blank = F.lit(False)
     checks = []

@@ -35,7 +35,7 @@ def corpus_audit(df: DataFrame, id_col: str, text_col: str, label_col: str, fami
         (F.count(F.lit(1)) - F.count_distinct(id_col)).alias("repeated_ids"),
         F.count_if(F.col(label_col).isNull()).alias("missing_labels"),
         F.count_distinct(family_col).alias("families"),
-        F.count_if(F.length(F.trim(F.col(text_col))) < short_chars).alias("short_texts"))
+        F.count_if(F.length(S.strip(text_col)) < short_chars).alias("short_texts"))
     per_text = df.groupBy(text_col).agg(F.count(F.lit(1)).alias("c"),
                                         F.count_distinct(label_col).alias("nl"))
     dup = per_text.agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c") - 1)), F.lit(0)).cast("long"))
@@ -54,9 +54,9 @@ def prepare(df: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFr
     t = F.col(text_col)
     processed = S.redact(TX.normalize(t))
     d = df.withColumn("text_original", t).withColumn("text_processed", processed)
-    no_text = t.isNull() | (F.trim(t) == "")
-    short = F.length(F.trim(t)) < MIN_TEXT_CHARS
-    no_label = F.col(label_col).isNull() | (F.trim(F.col(label_col).cast("string")) == "")
+    no_text = t.isNull() | (S.strip(t) == "")
+    short = F.length(S.strip(t)) < MIN_TEXT_CHARS
+    no_label = F.col(label_col).isNull() | (S.strip(F.col(label_col).cast("string")) == "")
     quarantine_reason = (F.when(no_text, F.lit(REASON_NO_TEXT)).when(short, F.lit(REASON_SHORT))
                          .when(no_label, F.lit(REASON_NO_LABEL)))
     d = d.withColumn("_qr", quarantine_reason)
@@ -110,7 +110,7 @@ def split_violations(df: DataFrame, id_col: str, text_col: str, family_col: str,
                      label_col: str, split_col: str = "split") -> DataFrame:
     """One row of violation counts; all zero means the split is sound."""
     ids = df.agg((F.count(F.lit(1)) - F.count_distinct(id_col)).alias("duplicate_ids"),
-                 F.count_if(F.col(text_col).isNull() | (F.trim(F.col(text_col)) == "")).alias("empty_texts"),
+                 F.count_if(F.col(text_col).isNull() | (S.strip(text_col) == "")).alias("empty_texts"),
                  F.count_if(F.col(split_col).isNull()).alias("unassigned_rows"),
                  (F.lit(len(SPLITS)) - F.count_distinct(split_col)).alias("missing_splits"))
     fam = df.groupBy(family_col).agg(F.count_distinct(split_col).alias("k")) \

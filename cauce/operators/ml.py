@@ -98,6 +98,9 @@ def standardize(df: DataFrame, cols, population: bool = True, suffix: str = "_z"
     return out
 
 
+DRAW_BLOCK = 100_000
+
+
 def oversample(df: DataFrame, label_col: str, id_col: str, seed: int = 42) -> DataFrame:
     """Bootstrap minority classes up to the majority size (with replacement).
 
@@ -111,9 +114,12 @@ def oversample(df: DataFrame, label_col: str, id_col: str, seed: int = 42) -> Da
     sizes = r.groupBy(label_col).agg(F.min("cum__one").alias("_start"), F.count(F.lit(1)).alias("_n"))
     r = r.join(sizes, label_col).withColumn("_idx", (F.col("cum__one") - F.col("_start")).cast("long"))
     n_max = sizes.agg(F.max("_n")).scalar()
-    extra = sizes.select(label_col, "_n", F.explode(F.sequence(F.lit(0), (n_max - F.col("_n") - 1).cast("int")))
-                         .alias("_draw")) \
-        .filter(n_max > F.col("_n")) \
+    # draws are made block by block, so no row ever holds a long array
+    need = n_max - F.col("_n")
+    blocks = sizes.filter(need > 0).select(label_col, "_n", need.alias("_need"), F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((need - 1) / DRAW_BLOCK).cast("long"))).alias("_block"))
+    extra = blocks.repartition(label_col, "_block").select(label_col, "_n", F.explode(F.sequence(
+        F.col("_block") * DRAW_BLOCK, F.least(F.col("_need"), (F.col("_block") + 1) * DRAW_BLOCK) - 1)).alias("_draw")) \
         .withColumn("_idx", F.pmod(F.xxhash64(F.lit(seed), F.col(label_col), F.col("_draw")), F.col("_n")))
     drawn = extra.join(r, [label_col, "_idx"]).select(*df.columns)
     return df.unionByName(drawn)

@@ -275,15 +275,27 @@ def span_scores(gold: DataFrame, pred: DataFrame, keys=("doc_id", "start", "end"
 
 
 def screen_evidence(ranked: DataFrame, threshold: float, text_col: str = "text",
-                    title_col: str = "title") -> DataFrame:
-    """Per query, drop suspicious and below-threshold evidence, flag contradictions
-    (several texts under one title) and report the decision."""
-    allowed = ranked.filter(~S.suspicious(F.col(text_col)) & (F.col("score") >= threshold))
-    per_q = allowed.groupBy("qid").agg(
-        F.count(F.lit(1)).alias("n_allowed"), F.count_distinct(text_col).alias("n_texts"),
-        F.count_distinct(title_col).alias("n_titles"), F.max("score").alias("best_score"))
-    qs = ranked.select("qid").distinct().join(per_q, "qid", "left")
-    decision = (F.when(F.coalesce(F.col("n_allowed"), F.lit(0)) == 0, F.lit("insufficient_evidence"))
+                    title_col: str = "title", questions: DataFrame | None = None) -> DataFrame:
+    """The decision on each query, in this order: a suspicious question; no evidence that is not
+    suspicious, or the first such one below the threshold; contradiction (several texts under one title
+    among all evidence that is not suspicious); else answer."""
+    safe = ~S.suspicious(F.col(text_col))
+    per_q = ranked.groupBy("qid").agg(
+        F.count_if(safe).alias("n_allowed"), F.count_distinct(F.when(safe, F.col(text_col))).alias("n_texts"),
+        F.count_distinct(F.when(safe, F.col(title_col))).alias("n_titles"),
+        F.min_by(F.when(safe, F.col("score")), F.when(safe, F.col("rank"))).alias("best_score"))
+    decision = (F.when((F.col("n_allowed") == 0) | (F.col("best_score") < threshold), F.lit("insufficient_evidence"))
                 .when((F.col("n_texts") > 1) & (F.col("n_titles") == 1), F.lit("contradictory"))
                 .otherwise(F.lit("answer")))
-    return qs.withColumn("decision", decision)
+    if questions is not None:
+        per_q = per_q.join(questions.select("qid", S.suspicious(F.col("question")).alias("_odd")), "qid", "left")
+        decision = F.when(F.coalesce(F.col("_odd"), F.lit(False)), F.lit("suspicious_question")).otherwise(decision)
+    return per_q.withColumn("decision", decision).drop("_odd")
+
+
+def literal_support(ranked: DataFrame, answers: DataFrame, text_col: str = "text") -> DataFrame:
+    """T17 citations: ``(qid, item_id)`` of safe evidence whose canonical text holds the canonical answer
+    (three characters or more).  ``answers``: (qid, answer)."""
+    a = answers.select("qid", S.canonical_key("answer").alias("_a")).filter(F.length("_a") >= 3)
+    return ranked.filter(~S.suspicious(F.col(text_col))).join(a, "qid") \
+        .filter(S.canonical_key(text_col).contains(F.col("_a"))).select("qid", "item_id")

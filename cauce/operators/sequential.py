@@ -2,25 +2,63 @@
 
 ``Window.orderBy(x)`` with no partition moves every row to one task.  Here the
 rows are range-partitioned on the order, each partition is scanned once in
-order (``mapInPandas`` keeps running state across its Arrow batches), and the
+order (``mapInArrow`` keeps running state across its Arrow batches), and the
 cross-partition part is a table with one row per partition, which is tiny and
 broadcast.  The range shuffle splits a hot key across partitions, so a key
 holding a third of the rows does not end up in one task either.  The locally
 scanned result is read twice, so it is checkpointed (eagerly) into the shared
 folder named by ``spark.checkpoint.dir``.
+
+The scans work on Arrow columns and only append to them: values and all other
+columns keep their types and every bit (a pandas round trip would turn
+nullable longs into doubles).
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def _same_key(a, b) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+    return all(x == y or x is None and y is None for x, y in zip(a, b))
+
+
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _join(first: pa.Array, rest: pa.Array) -> pa.Array:
+    return pa.concat_arrays([first.cast(rest.type), rest])
+
+
+def _same_as_previous(batch: pa.RecordBatch, cols, carry) -> np.ndarray:
+    """Whether each row's ``cols`` equal the previous row's; ``carry`` maps them to the row before the batch (or is None)."""
+    n = batch.num_rows
+    same = np.ones(n, bool)
+    for c in cols:
+        now = _column(batch, c)
+        before = _join(carry[c] if carry is not None else now.slice(0, 1), now.slice(0, n - 1))
+        equal = pc.or_(pc.fill_null(pc.equal(now, before), False), pc.and_(pc.is_null(now), pc.is_null(before)))
+        same &= equal.to_numpy(zero_copy_only=False)
+    same[0] &= carry is not None
+    return same
+
+
+def _appended(batch: pa.RecordBatch, out: pa.Schema, *columns) -> pa.RecordBatch:
+    n = batch.num_columns
+    arrays = [pa.array(c, type=out.field(n + i).type) if isinstance(c, np.ndarray) else c.cast(out.field(n + i).type)
+              for i, c in enumerate(columns)]
+    return pa.RecordBatch.from_arrays([*[a.cast(f.type) for a, f in zip(batch.columns, out)], *arrays], schema=out)
+
+
+def _arrow(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(schema)
 
 
 def _ordered(df: DataFrame, order_cols, partitions: int | None):
@@ -43,21 +81,19 @@ def running_totals(df: DataFrame, order_cols, sum_cols, prefix: str = "cum_",
     def local(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
+        out = _arrow(out_schema)
         acc = np.zeros(len(sum_cols))
-        for pdf in it:
-            if pdf.empty:
+        for batch in it:
+            if not batch.num_rows:
                 continue
-            vals = pdf[sum_cols].astype("float64").fillna(0.0).to_numpy()
-            cs = np.cumsum(vals, axis=0) + acc
-            acc = cs[-1]
-            pdf = pdf.assign(_pid=pid)
-            for i, c in enumerate(sum_cols):
-                pdf[prefix + c] = cs[:, i]
-            yield pdf
+            vals = [pc.fill_null(_column(batch, c).cast(pa.float64(), safe=False), 0.0).to_numpy() for c in sum_cols]
+            sums = [np.cumsum(v) + a for v, a in zip(vals, acc)]
+            acc = [x[-1] for x in sums]
+            yield _appended(batch, out, np.full(batch.num_rows, pid, np.int32), *sums)
 
     # read twice (partition totals, then the final join): materialise once in the
     # shared checkpoint folder, which also cuts the lineage (survives executor loss)
-    loc = r.mapInPandas(local, out_schema).checkpoint(eager=True)
+    loc = r.mapInArrow(local, out_schema).checkpoint(eager=True)
     tot = loc.groupBy("_pid").agg(*[F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias("_t_" + c)
                                     for c in sum_cols])
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,34 +127,29 @@ def ordered_lag(df: DataFrame, part_cols, order_cols, value: str, name: str | No
     def local(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        carry = None            # (key tuple, value) of the previous row in this partition
-        first, pending = True, None
-        for pdf in it:
-            if pdf.empty:
+        out = _arrow(out_schema)
+        carry, pending = None, None      # the last row so far; the batch held back until its successor shows
+        for batch in it:
+            n = batch.num_rows
+            if not n:
                 continue
-            kdf = pdf[part_cols] if part_cols else pd.DataFrame(index=pdf.index)
-            prev_k = kdf.shift(1)
-            same = ((kdf == prev_k) | (kdf.isna() & prev_k.isna())).all(axis=1)
-            lag = pdf[value].shift(1).astype("object").where(same, None)
-            if carry is not None:
-                k0 = tuple(kdf.iloc[0].tolist()) if part_cols else ()
-                lag.iloc[0] = carry[1] if _same_key(k0, carry[0]) else None
-            else:
-                lag.iloc[0] = None
-            carry = (tuple(kdf.iloc[-1].tolist()) if part_cols else (), pdf[value].iloc[-1])
-            out = pdf.assign(_pid=pid, _first=False, _last=False)
-            out[name] = lag.to_numpy()
-            if first:
-                out.iloc[0, out.columns.get_loc("_first")] = True
-                first = False
+            now = _column(batch, value)
+            same = _same_as_previous(batch, part_cols, carry)
+            before = _join(carry[value] if carry is not None else now.slice(0, 1), now.slice(0, n - 1))
+            lag = pc.if_else(pa.array(same), before, pa.scalar(None, before.type))
+            first = np.zeros(n, bool)
+            first[0] = carry is None
+            carry = {c: _column(batch, c).slice(n - 1, 1) for c in {*part_cols, value}}
             if pending is not None:
-                yield pending
-            pending = out
+                yield _appended(pending[0], out, np.full(pending[0].num_rows, pid, np.int32), pending[1],
+                                np.zeros(pending[0].num_rows, bool), pending[2])
+            pending = batch, first, lag
         if pending is not None:
-            pending.iloc[-1, pending.columns.get_loc("_last")] = True
-            yield pending
+            last = np.zeros(pending[0].num_rows, bool)
+            last[-1] = True
+            yield _appended(pending[0], out, np.full(len(last), pid, np.int32), pending[1], last, pending[2])
 
-    loc = r.mapInPandas(local, out_schema).checkpoint(eager=True)
+    loc = r.mapInArrow(local, out_schema).checkpoint(eager=True)
     lasts = loc.filter("_last").select(F.col("_pid").alias("_src"),
                                        *[F.col(c).alias("_pk_" + c) for c in part_cols],
                                        F.col(value).alias("_pv"))
@@ -156,24 +187,25 @@ def forward_fill(df: DataFrame, part_cols, order_cols, value: str, name: str | N
     def local(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        carry = None                       # (key, last non-null value) of the previous row
-        for pdf in it:
-            if pdf.empty:
+        out = _arrow(out_schema)
+        carry = None                       # key columns and filled value of the last row so far
+        for batch in it:
+            n = batch.num_rows
+            if not n:
                 continue
-            kdf = pdf[part_cols]
-            prev_k = kdf.shift(1)
-            same = ((kdf == prev_k) | (kdf.isna() & prev_k.isna())).all(axis=1)
-            gid = (~same).cumsum()
-            vals = pdf[value].astype("object")
-            if carry is not None and _same_key(tuple(kdf.iloc[0].tolist()), carry[0]) and pd.isna(vals.iloc[0]):
-                vals.iloc[0] = carry[1]
-            filled = vals.groupby(gid).ffill()
-            carry = (tuple(kdf.iloc[-1].tolist()), filled.iloc[-1])
-            out = pdf.assign(_pid=pid)
-            out[name] = filled.to_numpy()
-            yield out
-
-    loc = r.mapInPandas(local, out_schema).checkpoint(eager=True)
+            now = _column(batch, value)
+            same = _same_as_previous(batch, part_cols, carry)
+            # place 0 stands for the carried value, place i + 1 for row i
+            places = np.arange(1, n + 1)
+            start = np.maximum.accumulate(np.where(same, 0, places))
+            given = np.maximum.accumulate(np.where(now.is_valid().to_numpy(zero_copy_only=False), places, 0))
+            ok = (given >= start) & ((given > 0) | ((start == 0) & (carry is not None)))
+            pool = _join(carry[name] if carry is not None else pa.nulls(1, now.type), now)
+            filled = pool.take(pa.array(given, mask=~ok))
+            carry = {c: _column(batch, c).slice(n - 1, 1) for c in part_cols} | {name: filled.slice(n - 1, 1)}
+            yield _appended(batch, out, np.full(n, pid, np.int32), filled)
+
+    loc = r.mapInArrow(local, out_schema).checkpoint(eager=True)
     key = F.struct(*[F.col(c) for c in part_cols])
     # position inside a range partition is the full (key, order) sort order
     order = F.struct(*[F.col(c) for c in part_cols + order_cols])

@@ -36,7 +36,7 @@ def _run_dir(spark, name):
 
 
 def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_GATE,
-                 mark_from: str = "staged") -> dict:
+                 mark_from: str = "staged", source=None) -> dict:
     """Incremental, validated, gated, idempotent load with an audit row per run.
 
     Statuses: SUCCESS, SUCCESS_EMPTY (nothing newer than the mark),
@@ -53,8 +53,13 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
     try:
         wm = state.read_watermark(spark, mark_path, default=DEFAULT_MARK)
         run["watermark_before"] = wm
-        src = state.incremental_scan(t(spark, sf, "orders"), "o_orderdate", wm)
-        n_src = src.count()
+        src = state.incremental_scan(t(spark, sf, "orders") if source is None else source, "o_orderdate", wm)
+        # the upper mark is fixed once, before anything is loaded: rows that arrive during the run lie
+        # above it and belong to the next run
+        seen = src.agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("upper"),
+                       F.max("o_orderdate").cast("string").alias("mark")).first()
+        n_src = seen["n"]
+        src = src.filter(F.col("o_orderdate") <= F.lit(seen["upper"]))
         run["source_rows"] = n_src
         if n_src == 0:
             run.update(status=STATUS_EMPTY, watermark_after=wm)
@@ -100,15 +105,15 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
         quarantined = state.append_keyed(
             spark, q_path, to_quarantine(bad, "orders", f"batch-{run_id[:8]}", F.col("o_orderkey"), started, run_id),
             ["batch_id", "source", "record_id"])
-        marks = staged if mark_from == "staged" else load
-        new_mark = marks.agg(F.max("o_orderdate").cast("string")).first()[0] or wm
+        new_mark = seen["mark"] if mark_from == "staged" else \
+            load.agg(F.max("o_orderdate").cast("string")).first()[0] or wm
         run.update(inserted=ins, updated=upd, quarantined=quarantined, watermark_after=new_mark,
                    valid_rows=ins + upd,
                    status=STATUS_SUCCESS)
         state.write_watermark(spark, mark_path, new_mark)   # last, after the load committed
         return run
     except Exception as e:  # noqa: BLE001 - every failure is audited, then re-raised
-        run.update(status=STATUS_FAIL, error_message=f"{type(e).__name__}: {e}"[:2000])
+        run.update(status=STATUS_FAIL, error_message=f"{type(e).__name__}: {e}")
         raise
     finally:
         for c in cached:
@@ -131,7 +136,39 @@ def z01(spark, sf):
     return state.read_table(spark, f"{base}/fact").select("o_orderkey", "branch", "o_totalprice")
 
 
-@query("z01_audit_statuses")
+REPEATED_SQL = """src AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 10 = 0
+  UNION ALL SELECT * REPLACE (o_orderkey + 1000000000 AS o_orderkey) FROM orders WHERE o_orderkey % 10 = 1)"""
+
+
+@query("z01_governed_etl_repeats", sql=f"""
+WITH {REPEATED_SQL}, {ORDERS_SQL.replace('FROM orders', 'FROM src')},
+one AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate, o_totalprice) AS r1
+        FROM ord_chk WHERE reject_reason = '' AND o_orderdate > TIMESTAMP '{DEFAULT_MARK}'),
+two AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate, o_totalprice ORDER BY o_orderkey) AS r2
+        FROM one WHERE r1 = 1)
+SELECT o.o_orderkey, n.n_name AS branch, o.o_totalprice FROM two o
+JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE r2 = 1
+""")
+def z01c(spark, sf):
+    """The load on a source that repeats a tenth of its orders under their key and a tenth under new keys."""
+    o = t(spark, sf, "orders")
+    repeats = o.unionByName(o.filter("o_orderkey % 10 = 0")).unionByName(
+        o.filter("o_orderkey % 10 = 1").withColumn("o_orderkey", F.col("o_orderkey") + 1000000000))
+    base = _run_dir(spark, "z01c")
+    run = governed_etl(spark, sf, base, source=repeats)
+    if run["status"] != STATUS_SUCCESS:
+        raise RuntimeError(f"governed load ended with {run['status']}: {run.get('error_message')}")
+    return state.read_table(spark, f"{base}/fact").select("o_orderkey", "branch", "o_totalprice")
+
+
+@query("z01_audit_statuses", sql=f"""
+WITH {ORDERS_SQL},
+m AS (SELECT count(*) AS n, count(*) FILTER (WHERE reject_reason = '') AS ok, CAST(max(o_orderdate) AS VARCHAR) AS mark
+      FROM ord_chk WHERE o_orderdate > TIMESTAMP '{DEFAULT_MARK}')
+SELECT 'run-1' AS run_id, 'SUCCESS' AS status, CAST(n AS VARCHAR) AS source_rows, CAST(ok AS VARCHAR) AS inserted,
+  '{DEFAULT_MARK}' AS watermark_before, mark AS watermark_after FROM m
+UNION ALL SELECT 'run-2', 'SUCCESS_EMPTY', '0', NULL, mark, mark FROM m
+""")
 def z01b(spark, sf):
     """Two runs: the first loads, the second finds nothing newer (SUCCESS_EMPTY)."""
     base = _run_dir(spark, "z01b")

@@ -326,22 +326,35 @@ def regression_frame(spark, sf):
 REG_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice"]
 
 
-@query("m01_assemble")
+@query("m01_assemble", sql="""
+SELECT l_orderkey, l_linenumber, list_extract(f, 1) AS f1, list_extract(f, 2) AS f2, list_extract(f, 3) AS f3
+FROM (SELECT l_orderkey, l_linenumber, [CAST(l_quantity AS DOUBLE), CAST(l_discount AS DOUBLE), CAST(l_tax AS DOUBLE)] AS f FROM lineitem)
+""")
 def m01(spark, sf):
-    return ML.assemble(t(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"]).select(
-        "l_orderkey", "l_linenumber", "features")
+    from pyspark.ml.functions import vector_to_array
+    d = ML.assemble(t(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
+    v = vector_to_array("features")
+    return d.select("l_orderkey", "l_linenumber", *[v[i].alias(f"f{i + 1}") for i in range(3)])
 
 
-@query("m06_one_hot")
+@query("m06_one_hot", sql="""
+WITH k AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 1 AS i, count(*) OVER () AS n
+           FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL))
+SELECT c.c_custkey, c.c_mktsegment, repeat('0', CAST(coalesce(k.i, x.n) AS INT)) || '1' || repeat('0', CAST(x.n - coalesce(k.i, x.n) AS INT)) AS segment_bits
+FROM customer c CROSS JOIN (SELECT max(n) AS n FROM k) x LEFT JOIN k ON c.c_mktsegment = k.c_mktsegment
+""")
 def m06(spark, sf):
-    return ML.one_hot(t(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", "segment_vec")
+    from pyspark.ml.functions import vector_to_array
+    d = ML.one_hot(t(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", "segment_vec")
+    bits = F.array_join(F.transform(vector_to_array("segment_vec"), lambda x: x.cast("int").cast("string")), "")
+    return d.select("c_custkey", "c_mktsegment", bits.alias("segment_bits"))
 
 
 @query("m11_polynomial_sweep")
 def m11(spark, sf):
     d = regression_frame(spark, sf)
     return ML.polynomial_sweep(d.filter("split = 'train'"), d.filter("split != 'train'"),
-                               ["l_quantity", "p_retailprice"], "l_extendedprice", range(1, 4))
+                               ["l_quantity", "p_retailprice"], "l_extendedprice", range(1, 6))
 
 
 @query("m12_linear_summary")
@@ -406,7 +419,18 @@ def m16(spark, sf):
                                  "reg_param double, mean_f1 double")
 
 
-@query("m21_knn_classifier")
+HASH_SPLIT_SQL = """CASE WHEN CAST(('0x' || substr(md5('42' || CAST(vec_id AS VARCHAR)), 1, 12))::BIGINT AS DOUBLE)
+  / 281474976710656.0 < 0.8 THEN 'train' ELSE 'test' END"""
+
+
+@query("m21_knn_classifier", sql="""
+WITH sp AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, """ + HASH_SPLIT_SQL + """ AS split FROM embeddings),
+d AS (SELECT q.vec_id AS qid, q.label, i.vec_id AS tid, i.label AS lab,
+        list_distance(q.v, i.v) AS dist FROM sp q JOIN sp i ON q.split != 'train' AND i.split = 'train'),
+nn AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(dist * dist, 9), tid) AS r FROM d),
+vote AS (SELECT qid, label, lab, sum(1.0 / (dist + 1e-12)) AS s FROM nn WHERE r <= 5 GROUP BY ALL)
+SELECT qid, arg_max(lab, s) AS prediction, label FROM vote GROUP BY qid, label
+""")
 def m21(spark, sf):
     d = embedding_frame(spark, sf)
     e = t(spark, sf, "embeddings").join(d.select("vec_id", "split"), "vec_id")
@@ -451,11 +475,24 @@ def m27(spark, sf):
     from pyspark.ml.evaluation import ClusteringEvaluator
     d = embedding_frame(spark, sf)
     rows = []
-    for k in range(2, 8):
+    # one cluster: the spread about the mean, and no silhouette
+    each = t(spark, sf, "embeddings").select(F.posexplode("embedding").alias("pos", "x"))
+    spread = each.groupBy("pos").agg((F.var_pop("x") * F.count("x")).alias("s")).agg(F.sum("s")).first()[0]
+    rows.append((1, float(spread or 0.0), None))
+    for k in range(2, 11):
         m = KMeans(k=k, seed=42, maxIter=20).fit(d)
-        sil = ClusteringEvaluator().evaluate(m.transform(d))
-        rows.append((k, float(m.summary.trainingCost), float(sil)))
-    return spark.createDataFrame(rows, "k int, cost double, silhouette double")
+        rows.append((k, float(m.summary.trainingCost), float(ClusteringEvaluator().evaluate(m.transform(d)))))
+    best = max((r for r in rows if r[2] is not None), key=lambda r: (r[2], -r[0]))[0]
+    return spark.createDataFrame([(*r, r[0] == best) for r in rows], "k int, cost double, silhouette double, best boolean")
+
+
+@query("m27_kmeans_labels")
+def m27b(spark, sf):
+    """Final labels at the elbow sweep's best k."""
+    from pyspark.ml.clustering import KMeans
+    d = embedding_frame(spark, sf)
+    k = m27(spark, sf).filter("best").first()["k"]
+    return KMeans(k=k, seed=42, maxIter=20).fit(d).transform(d).select("vec_id", F.col("prediction").alias("cluster"))
 
 
 @query("m28_bisecting_kmeans")
@@ -493,12 +530,16 @@ def text_frame(spark, sf):
     return split_docs(spark, sf).filter(F.col("label").isNotNull())
 
 
+ALL_TERMS = (1 << 31) - 1
+
+
 def text_pipeline(classifier):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
     return Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="toks", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False, toLowercase=True),
-        CountVectorizer(inputCol="toks", outputCol="tf", minDF=1.0),
+        # no cap on the vocabulary
+        CountVectorizer(inputCol="toks", outputCol="tf", minDF=1.0, vocabSize=ALL_TERMS),
         IDF(inputCol="tf", outputCol="features"),
         classifier])
 
@@ -544,7 +585,7 @@ def t21(spark, sf):
     from pyspark.ml.feature import CountVectorizer, RegexTokenizer
     d = t(spark, sf, "documents").select("doc_id", "text")
     tok = RegexTokenizer(inputCol="text", outputCol="toks", pattern=r"[\p{L}\p{N}_]{3,}", gaps=False).transform(d)
-    cvm = CountVectorizer(inputCol="toks", outputCol="features", minDF=2.0).fit(tok)
+    cvm = CountVectorizer(inputCol="toks", outputCol="features", minDF=2.0, vocabSize=ALL_TERMS).fit(tok)
     m = LDA(k=4, maxIter=10, seed=42).fit(cvm.transform(tok))
     vocab = cvm.vocabulary
     rows = [(int(r["topic"]), [vocab[i] for i in r["termIndices"]]) for r in m.describeTopics(6).collect()]
@@ -555,7 +596,7 @@ def word2vec_model(spark, sf, window=2, seed=42):
     from pyspark.ml.feature import RegexTokenizer, Word2Vec
     d = t(spark, sf, "documents").select("text")
     tok = RegexTokenizer(inputCol="text", outputCol="toks", pattern=r"[\p{L}\p{N}_]+", gaps=False).transform(d)
-    return Word2Vec(vectorSize=32, windowSize=window, minCount=5, seed=seed, maxIter=1,
+    return Word2Vec(vectorSize=32, windowSize=window, minCount=1, maxSentenceLength=ALL_TERMS, seed=seed, maxIter=1,
                     inputCol="toks", outputCol="vec").fit(tok)
 
 

@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-PLAN_MODULES = ("reports", "relational", "quality", "profiling", "textops", "mlops",
+PLAN_MODULES = ("reports", "relational", "quality", "textops", "mlops",
                 "scans", "jobs", "streams")
 
 
@@ -37,12 +37,7 @@ def _load_all() -> None:
     # importing the modules runs their @query decorators
     import importlib
     for m in PLAN_MODULES:
-        name = f"cauce.plans.{m}"
-        try:
-            importlib.import_module(name)
-        except ModuleNotFoundError as e:
-            if e.name != name:
-                raise
+        importlib.import_module(f"cauce.plans.{m}")
 
 
 def all_queries() -> dict[str, QueryFn]:

@@ -151,7 +151,7 @@ SELECT c_custkey, TRY_CAST(substr(c_name, 10) AS BIGINT) AS name_number,
 """)
 def f06(spark, sf):
     c = t(spark, sf, "customer")
-    return c.select("c_custkey", F.substring("c_name", 10, 1 << 20).try_cast("long").alias("name_number"),
+    return c.select("c_custkey", F.substr("c_name", F.lit(10)).try_cast("long").alias("name_number"),
                     S.to_number("c_mktsegment").alias("segment_number"))
 
 

@@ -17,6 +17,10 @@ from cauce.plans.sqlfrag import R
 WS = S.PY_WS
 WORDS = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+')"
 WORDS2 = "list_filter(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+'), lambda x: length(x) >= 2)"
+# trim of all white space: DuckDB's trim takes the characters to strip
+STRIP = "trim({0}, '" + S.WS_CHARS + "')"
+
+
 def NORM(x: str) -> str:
     return f"trim(regexp_replace(nfc_normalize({x}), '{WS}+', ' ', 'g'))"
 
@@ -41,7 +45,7 @@ WITH {LABELLED_SQL},
 pt AS (SELECT text, count(*) AS c, count(DISTINCT label) AS nl FROM ld GROUP BY text)
 SELECT count(*) AS rows, count(*) - count(DISTINCT doc_id) AS repeated_ids,
   count(*) FILTER (WHERE label IS NULL) AS missing_labels, count(DISTINCT source) AS families,
-  count(*) FILTER (WHERE length(trim(text)) < 10) AS short_texts,
+  count(*) FILTER (WHERE length({STRIP.format('text')}) < 10) AS short_texts,
   (SELECT CAST(coalesce(sum(CASE WHEN c > 1 THEN c - 1 END), 0) AS BIGINT) FROM pt) AS duplicate_texts,
   (SELECT count(*) FILTER (WHERE nl > 1) FROM pt) AS conflicting_texts
 FROM ld
@@ -52,8 +56,8 @@ def t01(spark, sf):
 
 PREP_SQL = LABELLED_SQL + f""",
 pr AS (SELECT *, {REDACT(NORM('text'))} AS text_processed,
-         CASE WHEN text IS NULL OR trim(text) = '' THEN 'texto ausente'
-              WHEN length(trim(text)) < 10 THEN 'texto insuficiente'
+         CASE WHEN text IS NULL OR {STRIP.format('text')} = '' THEN 'texto ausente'
+              WHEN length({STRIP.format('text')}) < 10 THEN 'texto insuficiente'
               WHEN label IS NULL THEN 'etiqueta ausente' END AS qr FROM ld),
 fi AS (SELECT text_processed AS k, min(doc_id) AS first_id FROM pr WHERE qr IS NULL GROUP BY 1),
 st AS (SELECT pr.*, fi.first_id,
@@ -110,7 +114,7 @@ def t04(spark, sf):
 @query("t05_split_violations", sql=f"""
 WITH {SPLIT_SQL}
 SELECT count(*) - count(DISTINCT doc_id) AS duplicate_ids,
-  count(*) FILTER (WHERE text IS NULL OR trim(text) = '') AS empty_texts,
+  count(*) FILTER (WHERE text IS NULL OR {STRIP.format('text')} = '') AS empty_texts,
   count(*) FILTER (WHERE split IS NULL) AS unassigned_rows,
   3 - count(DISTINCT split) AS missing_splits,
   (SELECT count(*) FROM (SELECT source FROM sp GROUP BY source HAVING count(DISTINCT split) > 1)) AS families_in_several_splits,
@@ -473,7 +477,23 @@ def u05(spark, sf):
 
 
 # --------------------------------------------------- Python-offset text operators (rows)
-@query("f26_chunking")
+def SPANS(pattern: str, label: str, src: str = "documents", group: str = "doc_id") -> str:
+    """DuckDB: one row a match with code-point offsets, from the lengths of the gaps between matches."""
+    return f"""SELECT {group}, label, CAST(s AS INT) AS "start", CAST(s + length(m) AS INT) AS "end", m AS match FROM (
+      SELECT {group}, '{label}' AS label, ms[i] AS m,
+        list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
+      FROM (SELECT {group}, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS gaps FROM {src}),
+        range(1, len(ms) + 1) r(i))"""
+
+
+@query("f26_chunking", sql=f"""
+WITH tok AS ({SPANS("[^" + WS[1:-1] + "]+", "T")}),
+num AS (SELECT doc_id, "start", "end", row_number() OVER (PARTITION BY doc_id ORDER BY "start") - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM tok),
+win AS (SELECT doc_id, CAST(k AS INT) AS chunk_index, n FROM (SELECT DISTINCT doc_id, n FROM num), range(0, CAST(greatest(n - 10, 1) AS BIGINT), 50) r(k))
+SELECT w.doc_id, chunk_index, min("start") AS "start", max("end") AS "end", substr(any_value(d.text), min("start") + 1, max("end") - min("start")) AS chunk
+FROM win w JOIN num USING (doc_id) JOIN documents d USING (doc_id)
+WHERE i >= chunk_index AND i < chunk_index + 60 GROUP BY w.doc_id, chunk_index
+""")
 def f26(spark, sf):
     d = t(spark, sf, "documents")
     ch = S.explode_nonnull(d, TX.chunk_offsets(F.col("text"), 60, 10), "c", "doc_id", "text")
@@ -487,14 +507,30 @@ PII_V2 = (("EMAIL", r"[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"), ("CARD", r"\b\d{16}\b"),
           ("SECRET", r"token = \"[0-9a-f]{40}\""))
 
 
-@query("f29_regex_spans")
+V2_SQL = f"""{SPANS('[\\p{L}\\p{N}_.+-]+@[\\p{L}\\p{N}_.-]+[.][A-Za-z]{2,}', 'EMAIL')}
+UNION ALL {SPANS('\\b[0-9]{16}\\b', 'CARD')} UNION ALL {SPANS('token = "[0-9a-f]{40}"', 'SECRET')}"""
+V1_SQL = f"""{SPANS('[\\p{L}\\p{N}_.+-]+@[\\p{L}\\p{N}_.-]+', 'EMAIL')}
+UNION ALL {SPANS('\\b[0-9]{13,19}\\b', 'CARD')} UNION ALL {SPANS('token = "[0-9a-f]+"', 'SECRET')}"""
+BIO_SQL = f"""sp AS ({V2_SQL}), tk AS ({SPANS('[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_' + WS[1:-1] + ']', 'T', '(SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM sp))')}),
+tg AS (SELECT tk.doc_id, tk.match AS token, tk."start", tk."end",
+         coalesce(max_by(CASE WHEN sp."start" = tk."start" THEN 'B-' ELSE 'I-' END || sp.label, (sp."start", sp."end", sp.label)), 'O') AS tag
+       FROM tk LEFT JOIN sp ON sp.doc_id = tk.doc_id AND tk."start" >= sp."start" AND tk."end" <= sp."end" GROUP BY ALL)"""
+
+
+@query("f29_regex_spans", sql=f"""SELECT doc_id, "start", "end", label FROM ({V2_SQL})""")
 def f29(spark, sf):
     d = t(spark, sf, "documents")
     return S.explode_nonnull(d, TX.regex_spans(F.col("text"), PII_V2), "s", "doc_id").select(
         "doc_id", "s.start", "s.end", "s.label")
 
 
-@query("t18_span_scores")
+@query("t18_span_scores", sql=f"""
+WITH g AS (SELECT DISTINCT doc_id, "start", "end", label FROM ({V2_SQL})), p AS (SELECT DISTINCT doc_id, "start", "end", label FROM ({V1_SQL})),
+m AS (SELECT (SELECT count(*) FROM (FROM g INTERSECT FROM p)) AS tp, (SELECT count(*) FROM (FROM p EXCEPT FROM g)) AS fp,
+        (SELECT count(*) FROM (FROM g EXCEPT FROM p)) AS fn),
+r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM m)
+SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM r
+""")
 def t18(spark, sf):
     d = t(spark, sf, "documents")
     g = S.explode_nonnull(d, TX.regex_spans(F.col("text"), PII_V2), "s", "doc_id").select("doc_id", "s.*")
@@ -502,19 +538,55 @@ def t18(spark, sf):
     return RT.span_scores(g, p)
 
 
-@query("f30_bio_tags")
+def tagged_docs(spark, sf):
+    """doc_id, toks, tags of the documents that have spans.
+
+    The spans are written once, so the filter on them never makes their UDF run twice and only
+    documents with spans are tokenized."""
+    d = t(spark, sf, "documents").select("doc_id", "text", TX.regex_spans(F.col("text"), PII_V2).alias("spans"))
+    d = d.filter(F.size("spans") > 0).checkpoint(eager=True).select("doc_id", "spans", TX.token_offsets(F.col("text")).alias("toks"))
+    return d.select("doc_id", "toks", TX.bio_tags(F.col("toks"), F.col("spans")).alias("tags"))
+
+
+@query("f30_bio_spans", sql=f"""
+WITH {BIO_SQL},
+nx AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY "start") AS i, lag(tag) OVER (PARTITION BY doc_id ORDER BY "start") AS before FROM tg),
+op AS (SELECT *, sum(CASE WHEN tag LIKE 'B-%' OR before IS NULL OR substr(before, 3) != substr(tag, 3) THEN 1 ELSE 0 END)
+         OVER (PARTITION BY doc_id ORDER BY "start") AS run FROM nx)
+SELECT doc_id, min("start") AS "start", max("end") AS "end", substr(any_value(tag), 3) AS label FROM op WHERE tag != 'O' GROUP BY doc_id, run
+""")
+def f30b(spark, sf):
+    d = tagged_docs(spark, sf).select("doc_id", TX.bio_spans(F.col("toks"), F.col("tags")).alias("s"))
+    return S.explode_nonnull(d, F.col("s"), "s", "doc_id").select("doc_id", "s.start", "s.end", "s.label")
+
+
+@query("f30_bio_tags", sql=f"""WITH {BIO_SQL} SELECT doc_id, token, tag FROM tg WHERE tag != 'O'""")
 def f30(spark, sf):
-    d = t(spark, sf, "documents").select("doc_id", TX.token_offsets(F.col("text")).alias("toks"),
-                                         TX.regex_spans(F.col("text"), PII_V2).alias("spans"))
-    d = d.filter(F.size("spans") > 0).select("doc_id", "toks", TX.bio_tags(F.col("toks"), F.col("spans")).alias("tags"))
+    d = tagged_docs(spark, sf)
     z = S.explode_nonnull(d, F.arrays_zip(F.col("toks.token").alias("token"), F.col("tags").alias("tag")), "z",
                           "doc_id")
     return z.select("doc_id", "z.token", "z.tag").filter(F.col("tag") != "O")
 
 
-@query("t17_evidence_screening")
+def SUSPICIOUS(x: str) -> str:
+    return f"regexp_matches(lower({x}), '{S.SUSPICIOUS_PATTERN}')"
+
+
+@query("t17_evidence_screening", sql=f"""
+WITH {LEX_SQL},
+e AS (SELECT rk.*, d.text, split_part(d.text, chr(10), 1) AS title, NOT {SUSPICIOUS('d.text')} AS safe
+      FROM rk JOIN documents d ON d.doc_id = rk.item_id WHERE rank <= 3),
+q AS (SELECT qid, count(*) FILTER (WHERE safe) AS n_allowed, count(DISTINCT text) FILTER (WHERE safe) AS n_texts,
+        count(DISTINCT title) FILTER (WHERE safe) AS n_titles, arg_min(score, rank) FILTER (WHERE safe) AS best FROM e GROUP BY qid)
+SELECT qid, n_allowed, n_texts, n_titles, {R('best', 6)} AS best_score,
+  CASE WHEN {SUSPICIOUS('b.text')} THEN 'suspicious_question' WHEN n_allowed = 0 OR best < 0.1 THEN 'insufficient_evidence'
+       WHEN n_texts > 1 AND n_titles = 1 THEN 'contradictory' ELSE 'answer' END AS decision
+FROM q JOIN benchmark b ON b.item_id = q.qid
+""")
 def t17(spark, sf):
     ranked = lexical_search(spark, sf)
+    questions = t(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
     docs = t(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), "text",
                                             F.substring_index("text", "\n", 1).alias("title"))
-    return RT.screen_evidence(ranked.join(docs, "item_id"), threshold=0.1)
+    out = RT.screen_evidence(ranked.join(docs, "item_id"), threshold=0.1, questions=questions)
+    return out.withColumn("best_score", F.round("best_score", 6))

@@ -43,11 +43,14 @@ def get_session(master: str | None = None, app: str = "cauce",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster this setting points at shared storage and is used as is; there
+    it must be set.  Only a local session without it gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="cauce-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -21,3 +21,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, p = _fs(spark, old)
+    if not fs.rename(p, _fs(spark, new)[1]):
+        raise OSError(f"cannot move {old} to {new}")

@@ -17,24 +17,36 @@ DEFAULT_WATERMARK = "2024-01-01 00:00:00"
 
 
 # --------------------------------------------------------------- watermark
+def _state_row(spark: SparkSession, path: str) -> dict:
+    """The state row; a successor that was fully written but not yet moved into place is the newest."""
+    for place in (f"{path}__next", path):
+        if fs.exists(spark, place) and (place == path or fs.exists(spark, f"{place}/_SUCCESS")):
+            r = spark.read.json(place).first()
+            return r.asDict() if r is not None else {}
+    return {}
+
+
 def read_watermark(spark: SparkSession, path: str, key: str = "last_created_at",
                    default: str = DEFAULT_WATERMARK) -> str:
     """Persisted high-water mark; default when absent."""
-    if not fs.exists(spark, path):
-        return default
-    r = spark.read.json(path).first()
-    v = r[key] if r is not None and key in r.asDict() else None
-    return v or default
+    return _state_row(spark, path).get(key) or default
 
 
 def write_watermark(spark: SparkSession, path: str, value: str, key: str = "last_created_at") -> None:
-    """Store the mark, keeping any other keys of the state row.  Call last."""
-    state = {}
-    if fs.exists(spark, path):
-        r = spark.read.json(path).first()
-        state = r.asDict() if r is not None else {}
-    state[key] = value
-    spark.createDataFrame([state]).coalesce(1).write.mode("overwrite").json(path)
+    """Store the mark, keeping any other keys of the state row.  Call last.
+
+    The new row is written beside the old one and then moved into its place.
+    A kill at any point leaves either the old row or the complete new one.
+    """
+    state = _state_row(spark, path) | {key: value}
+    after = f"{path}__next"
+    if fs.exists(spark, f"{after}/_SUCCESS"):    # finish a move that was cut short
+        fs.delete(spark, path)
+        fs.rename(spark, after, path)
+    fs.delete(spark, after)
+    spark.createDataFrame([state]).coalesce(1).write.json(after)
+    fs.delete(spark, path)
+    fs.rename(spark, after, path)
 
 
 def incremental_scan(df: DataFrame, ts_col: str, watermark) -> DataFrame:
@@ -48,28 +60,52 @@ def next_watermark(df: DataFrame, ts_col: str, current) -> Column:
 
 
 # ------------------------------------------------------------ versioned tables
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    out = []
-    for name in fs.list_dirs(spark, path):
-        if name.startswith("v=") and fs.exists(spark, f"{path}/{name}/_SUCCESS"):
-            out.append(int(name[2:]))
-    return sorted(out)
+KEEP_VERSIONS = 3
+
+
+def _folders(spark: SparkSession, path: str, prefix: str = "v=") -> list[int]:
+    names = (n for n in fs.list_dirs(spark, path) if n.startswith(prefix))
+    return sorted(int(n[len(prefix):]) for n in names if n[len(prefix):].isdigit())
+
+
+def _committed(spark: SparkSession, path: str, number: int, prefix: str = "v=") -> bool:
+    return fs.exists(spark, f"{path}/{prefix}{number}/_SUCCESS")
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    v = _versions(spark, path)
-    return v[-1] if v else None
+    return next((v for v in reversed(_folders(spark, path)) if _committed(spark, path, v)), None)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest committed version, or all committed parts of an append-only table."""
     v = current_version(spark, path)
-    return None if v is None else spark.read.parquet(f"{path}/v={v}")
+    if v is not None:
+        return spark.read.parquet(f"{path}/v={v}")
+    parts = [f"{path}/part={p}" for p in _folders(spark, path, "part=") if _committed(spark, path, p, "part=")]
+    return spark.read.option("mergeSchema", "true").parquet(*parts) if parts else None
+
 
+def _write_next(spark: SparkSession, df: DataFrame, path: str, prefix: str) -> int:
+    """Write the next numbered folder.  Its number lies above every folder, committed or not, so what a
+    killed write left behind never blocks the table."""
+    n = max(_folders(spark, path, prefix), default=0) + 1
+    df.write.mode("errorifexists").parquet(f"{path}/{prefix}{n}")
+    return n
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str, keep: int = KEEP_VERSIONS) -> int:
+    """Write ``df`` as the next version; visible only after a complete commit.
 
-def publish(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Write ``df`` as the next version; visible only after a complete commit."""
-    v = (current_version(spark, path) or 0) + 1
-    df.write.mode("errorifexists").parquet(f"{path}/v={v}")
+    Folders older than the last ``keep`` committed versions are removed
+    afterwards (``keep`` is at least 2: a reader may still be on the last one).
+    """
+    older = _folders(spark, path)
+    v = _write_next(spark, df, path, "v=")
+    committed = [x for x in older if _committed(spark, path, x)]
+    if len(committed) >= keep:
+        for x in older:
+            if x < committed[1 - max(keep, 2)]:
+                fs.delete(spark, f"{path}/v={x}")
     return v
 
 
@@ -90,36 +126,33 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key) -> tuple[int
     written as a new version, so the load is all-or-nothing.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    dup = updates.groupBy(*keys).count().filter("count > 1").limit(1).count()
-    if dup:
-        raise ValueError("updates are not unique on the key")
     target = read_table(spark, path)
+    # one pass over the updates' keys: uniqueness and the two counts
+    per_key = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if target is None:
-        inserted, updated = updates.count(), 0
-        merged = updates
+        per_key = per_key.withColumn("_exists", F.lit(False))
     else:
-        tk = target.select(*keys).withColumn("_exists", F.lit(True))
-        flagged = updates.join(tk, keys, "left")
-        counts = flagged.agg(F.count_if(F.col("_exists").isNull()).alias("ins"),
-                             F.count_if(F.col("_exists")).alias("upd")).first()
-        inserted, updated = int(counts["ins"]), int(counts["upd"])
-        merged = merge_frames(target, updates, keys)
-    publish(spark, merged, path)
-    return inserted, updated
+        per_key = per_key.join(target.select(*keys).withColumn("_exists", F.lit(True)), keys, "left")
+    counts = per_key.agg(F.coalesce(F.max("_n"), F.lit(0)).alias("most"), F.count(F.lit(1)).alias("all"),
+                         F.count_if(F.col("_exists")).alias("upd")).first()
+    if counts["most"] > 1:
+        raise ValueError("updates are not unique on the key")
+    publish(spark, merge_frames(target, updates, keys), path)
+    return int(counts["all"] - counts["upd"]), int(counts["upd"])
 
 
 def append_keyed(spark: SparkSession, path: str, rows: DataFrame, key) -> int:
-    """Append rows whose key is not stored yet (replays do not duplicate)."""
+    """Append rows whose key is not stored yet (replays do not duplicate).
+
+    Each append writes its new rows only, as one committed folder ``part=<n>``.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     target = read_table(spark, path)
-    new = rows.dropDuplicates(keys) if target is None else \
-        rows.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
-    new = new.persist()
-    n = new.count()
-    merged = new if target is None else target.unionByName(new, allowMissingColumns=True)
-    publish(spark, merged, path)
-    new.unpersist()
-    return n
+    new = rows.dropDuplicates(keys)
+    if target is not None:
+        new = new.join(target.select(*keys), keys, "left_anti")
+    n = _write_next(spark, new, path, "part=")
+    return spark.read.parquet(f"{path}/part={n}").count()
 
 
 AUDIT_COLUMNS = ("run_id", "started_at", "finished_at", "watermark_before", "watermark_after", "source_rows",

@@ -96,3 +96,70 @@ def test_governed_etl_statuses(spark, tmp_table_dir):
     audit = {r["run_id"]: r["status"] for r in state.read_table(spark, f"{tmp_table_dir}/etl_runs").collect()}
     assert audit == {"r1": "SUCCESS", "r2": "SUCCESS_EMPTY"}
     assert state.read_table(spark, f"{tmp_table_dir}-gate/fact") is None
+
+
+def test_leftover_of_a_killed_load_does_not_block(spark, tmp_table_dir):
+    import pathlib
+    from cauce.sources import state
+    rows = lambda *ks: spark.createDataFrame([(k, f"v{k}") for k in ks], "k long, v string")
+    assert state.upsert(spark, tmp_table_dir, rows(1, 2), "k") == (2, 0)
+    base = pathlib.Path(tmp_table_dir.removeprefix("file:"))
+    (base / "v=2" / "_temporary").mkdir(parents=True)
+    (base / "v=2" / "part-0.parquet").write_bytes(b"half a file")
+    assert state.current_version(spark, tmp_table_dir) == 1
+    assert state.upsert(spark, tmp_table_dir, rows(2, 3), "k") == (1, 1)
+    assert sorted(r.k for r in state.read_table(spark, tmp_table_dir).collect()) == [1, 2, 3]
+    for k in range(10, 16):
+        state.upsert(spark, tmp_table_dir, rows(k), "k")
+    assert len(list(base.glob("v=*"))) <= state.KEEP_VERSIONS + 1
+
+
+def test_killed_mark_write_keeps_a_mark(spark, tmp_table_dir):
+    import pathlib
+    import shutil
+
+    from cauce.sources import state
+    p = f"{tmp_table_dir}/mark"
+    state.write_watermark(spark, p, "2024-02-01 00:00:00")
+    beside = pathlib.Path(f"{p}__next".removeprefix("file:"))
+    (beside / "_temporary").mkdir(parents=True)                      # killed while writing
+    assert state.read_watermark(spark, p) == "2024-02-01 00:00:00"
+    state.write_watermark(spark, p, "2024-03-01 00:00:00")
+    assert state.read_watermark(spark, p) == "2024-03-01 00:00:00" and not beside.exists()
+    spark.createDataFrame([{"last_created_at": "2024-04-01 00:00:00"}]).coalesce(1).write.json(f"{p}__next")
+    assert state.read_watermark(spark, p) == "2024-04-01 00:00:00"   # killed before the move
+    shutil.rmtree(p.removeprefix("file:"))
+    assert state.read_watermark(spark, p) == "2024-04-01 00:00:00"   # killed in the middle of it
+    state.write_watermark(spark, p, "x", key="other")
+    assert state.read_watermark(spark, p) == "2024-04-01 00:00:00" and state.read_watermark(spark, p, key="other") == "x"
+
+
+def test_rows_that_arrive_during_a_load_wait_for_the_next(spark, tmp_table_dir):
+    """The mark and the load both stop at what the first scan saw."""
+    from pyspark.sql import functions as F
+
+    from cauce.plans import jobs
+    from cauce.sources import state
+    sf = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    cut = orders.agg(F.expr("percentile_approx(o_orderdate, 0.5)")).first()[0]
+    source = f"{tmp_table_dir}/source"
+    orders.filter(F.col("o_orderdate") <= F.lit(cut)).write.parquet(source)
+    seen = []
+
+    def gate_then_append(gate, real=jobs.Q.gate_outcome):
+        if not seen:  # in the middle of the first run the source grows
+            seen.append(1)
+            orders.filter(F.col("o_orderdate") > F.lit(cut)).write.mode("append").parquet(source)
+        return real(gate)
+
+    jobs.Q.gate_outcome, real = gate_then_append, jobs.Q.gate_outcome
+    try:
+        first = jobs.governed_etl(spark, sf, f"{tmp_table_dir}/job", source=spark.read.parquet(source))
+    finally:
+        jobs.Q.gate_outcome = real
+    assert first["watermark_after"] == str(cut)
+    second = jobs.governed_etl(spark, sf, f"{tmp_table_dir}/job", source=spark.read.parquet(source))
+    assert first["source_rows"] + second["source_rows"] == orders.count()
+    whole = jobs.governed_etl(spark, sf, f"{tmp_table_dir}/whole")
+    assert state.read_table(spark, f"{tmp_table_dir}/job/fact").count() == whole["valid_rows"]
