@@ -81,6 +81,20 @@ def sigmoid(c) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(c)))
 
 
+def softmax_by(df, c, keys, name: str = "p"):
+    """Max-shifted softmax of ``c`` over the rows of each key, as column ``name`` of ``df``.
+
+    Two small aggregates (maximum, then sum of shifted exponentials) join the rows, so a key with a
+    third of the rows is combined on every mapper and its join is split, never one task's window."""
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    same = lambda s: F.expr(" AND ".join(f"`{k}` <=> `{s}{i}`" for i, k in enumerate(keys)))
+    top = df.groupBy(*named).agg(F.max(c).alias("_m"))
+    sums = df.join(top, same("_k")).groupBy(*[F.col(f"_k{i}").alias(f"_s{i}") for i in range(len(keys))]).agg(
+        F.first("_m").alias("_m"), F.sum(F.exp(c - F.col("_m"))).alias("_t"))
+    return df.join(sums, same("_s")).withColumn(name, F.exp(c - F.col("_m")) / F.col("_t")).drop(
+        "_m", "_t", *[f"_s{i}" for i in range(len(keys))])
+
+
 def softmax(c, *partition_cols) -> Column:
     """Max-shifted softmax of ``c`` within each partition."""
     w = Window.partitionBy(*partition_cols)

@@ -142,8 +142,7 @@ def group_profile(df: DataFrame, group_col, features) -> DataFrame:
     """Per-group mean of each feature, size, and z-score vs the global mean/std."""
     g = df.groupBy(_c(group_col).alias("group")).agg(
         F.count(F.lit(1)).alias("size"), *[F.avg(f).alias(f"mean_{f}") for f in features])
-    for f in features:
-        mu = df.agg(F.avg(f)).scalar()
-        sd = df.agg(F.stddev_samp(f)).scalar()
-        g = g.withColumn(f"z_{f}", (F.col(f"mean_{f}") - mu) / sd)
-    return g
+    # one scan for all statistics
+    s = df.agg(F.struct(*[x for i, f in enumerate(features) for x in (F.avg(f).alias(f"m{i}"), F.stddev_samp(f).alias(f"s{i}"))])
+               .alias("s")).scalar()
+    return g.withColumns({f"z_{f}": (F.col(f"mean_{f}") - s[f"m{i}"]) / s[f"s{i}"] for i, f in enumerate(features)})

@@ -91,11 +91,10 @@ def one_hot(df: DataFrame, col: str, out: str, drop_last: bool = True) -> DataFr
 def standardize(df: DataFrame, cols, population: bool = True, suffix: str = "_z") -> DataFrame:
     """(x - mean) / std; population std like scikit-learn, sample std like Spark ML."""
     std = F.stddev_pop if population else F.stddev_samp
-    out = df
-    for c in cols:
-        mu, sd = df.agg(F.avg(c)).scalar(), df.agg(std(c)).scalar()
-        out = out.withColumn(c + suffix, (F.col(c) - mu) / sd)
-    return out
+    # one scan for all statistics
+    s = df.agg(F.struct(*[x for i, c in enumerate(cols) for x in (F.avg(c).alias(f"m{i}"), std(c).alias(f"s{i}"))])
+               .alias("s")).scalar()
+    return df.withColumns({c + suffix: (F.col(c) - s[f"m{i}"]) / s[f"s{i}"] for i, c in enumerate(cols)})
 
 
 DRAW_BLOCK = 100_000

@@ -189,9 +189,9 @@ def homologate(df: DataFrame, col: str, catalogue: DataFrame, out: str,
 def keep_first(df: DataFrame, keys, order_cols, keep: str = "first") -> DataFrame:
     """One row per key, first (or last) by an explicit total order.
 
-    Implemented as ``groupBy(keys).agg(min_by(struct(all), struct(order)))``:
-    hash aggregation with partial combine, so a key holding a third of the
-    table is reduced on every mapper before the shuffle.
+    Implemented as ``groupBy(keys).agg(min_by(struct(all), struct(order)))``.
+    Rows of variable size make this a sort aggregate, but a partial one: a key
+    holding a third of the table is reduced on every mapper before the shuffle.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = F.struct(*[_c(c) for c in order_cols])

@@ -67,6 +67,16 @@ def _topk_rows(scores: np.ndarray, item_ids: np.ndarray, qids, k: int):
                          "score": np.array(out_s, dtype="float64")})
 
 
+#: Scores (documents x queries) held at once by a task.
+SCORE_CELLS = 1 << 22
+
+
+def _best_of(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best rows of each query by (score desc, item id asc)."""
+    ordered = found.sort_values(["qid", "score", "item_id"], ascending=[True, False, True], kind="stable")
+    return ordered[ordered.groupby("qid").cumcount() < k]
+
+
 def topk_dense(spark: SparkSession, items: DataFrame, item_id: str, item_vec: str,
                queries: DataFrame, qid: str, qvec: str, k: int,
                max_queries: int = MAX_QUERIES_PER_CHUNK) -> DataFrame:
@@ -128,41 +138,39 @@ def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k
     for qids, chunk in groups:
         # proven to hold at most max_postings rows (a single query is always taken whole)
         qpost = chunk.select(F.col("id").cast("long").alias("q"), "term", "weight").collect()
-        vocab = {}
-        for r in qpost:
-            vocab.setdefault(r["term"], len(vocab))
+        # query postings by term: starts[i]..starts[i + 1] are the queries and weights of term i
         qpos = {q: j for j, q in enumerate(qids)}
-        qmat = np.zeros((len(vocab), len(qids)))
-        for r in qpost:
-            qmat[vocab[r["term"]], qpos[r["q"]]] += r["weight"]
-        bq = spark.sparkContext.broadcast((qids, vocab, qmat))
+        qpost = sorted((r["term"], qpos[r["q"]], r["weight"]) for r in qpost)
+        vocab, starts = {}, []
+        for i, (term, _, _) in enumerate(qpost):
+            if term not in vocab:
+                vocab[term] = len(vocab)
+                starts.append(i)
+        bq = spark.sparkContext.broadcast((qids, vocab, np.array([*starts, len(qpost)], dtype="int64"),
+                                           np.array([p[1] for p in qpost], dtype="int64"),
+                                           np.array([p[2] for p in qpost], dtype="float64")))
 
         def score(it, bq=bq):
-            qids_, vocab_, qm = bq.value
-            vocab_s = pd.Series(vocab_, dtype="int64")
-            n_terms = max(len(vocab_), 1)
-            block = max(1, int(2e7 // n_terms))          # docs per dense block (~160 MB max)
+            qids_, vocab_, starts_, qs, qw = bq.value
+            nq = len(qids_)
+            best = None
             for pdf in it:
-                if pdf.empty:
-                    continue
-                n = len(pdf)
-                lens = pdf["_t"].map(len).to_numpy()
-                if lens.sum() == 0:
-                    yield _topk_rows(np.zeros((n, len(qids_))), pdf["_id"].to_numpy(), qids_, k)
-                    continue
-                terms = np.concatenate([np.asarray(x, dtype=object) for x in pdf["_t"]])
-                ws = np.concatenate([np.asarray(x, dtype="float64") for x in pdf["_w"]])
-                rows_ = np.repeat(np.arange(n), lens)
-                tidx = pd.Series(terms).map(vocab_s).to_numpy()
-                hit = ~pd.isna(tidx)
-                rows_, tidx, ws = rows_[hit], tidx[hit].astype("int64"), ws[hit]
-                scores = np.zeros((n, len(qids_)))
-                for lo in range(0, n, block):
-                    sel = (rows_ >= lo) & (rows_ < lo + block)
-                    dense = np.zeros((min(block, n - lo), n_terms))
-                    np.add.at(dense, (rows_[sel] - lo, tidx[sel]), ws[sel])
-                    scores[lo:lo + dense.shape[0]] = dense @ qm
-                yield _topk_rows(scores, pdf["_id"].to_numpy(), qids_, k)
+                for lo in range(0, len(pdf), max(1, SCORE_CELLS // max(nq, 1))):
+                    part = pdf.iloc[lo:lo + max(1, SCORE_CELLS // max(nq, 1))]
+                    get = vocab_.get
+                    hits = [[(get(t), w) for t, w in zip(ts, ws) if t in vocab_] for ts, ws in zip(part["_t"], part["_w"])]
+                    rows_ = np.repeat(np.arange(len(part)), [len(h) for h in hits])
+                    terms = np.fromiter((t for h in hits for t, _ in h), "int64", len(rows_))
+                    ws = np.fromiter((w for h in hits for _, w in h), "float64", len(rows_))
+                    # each matched term adds its postings to the document's row of scores
+                    size = starts_[terms + 1] - starts_[terms]
+                    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts_[terms], size)
+                    cells = np.repeat(rows_, size) * nq + qs[at]
+                    scores = np.bincount(cells, np.repeat(ws, size) * qw[at], len(part) * nq).reshape(-1, nq)
+                    found = _topk_rows(scores, part["_id"].to_numpy(), qids_, k)
+                    best = found if best is None else _best_of(pd.concat([best, found]), k)
+            if best is not None:
+                yield best
 
         parts.append(docs.mapInPandas(score, CANDIDATE_SCHEMA))
     queries_w.unpersist()      # every chunk is collected; the final plan no longer reads it

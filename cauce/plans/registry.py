@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-PLAN_MODULES = ("reports", "relational", "quality", "textops", "mlops",
+PLAN_MODULES = ("reports", "roundtrips", "relational", "quality", "textops", "mlops",
                 "scans", "jobs", "streams")
 
 

@@ -402,8 +402,8 @@ SELECT event_id, {R('e / sum(e) OVER (PARTITION BY user_id)', 9)} AS p,
 FROM m
 """)
 def f32(spark, sf):
-    e = t(spark, sf, "events")
-    return e.select("event_id", F.round(N.softmax(F.col("value") / 100, "user_id"), 9).alias("p"),
+    e = N.softmax_by(t(spark, sf, "events"), F.col("value") / 100, ["user_id"])
+    return e.select("event_id", F.round("p", 9).alias("p"),
                     F.round(N.sigmoid((F.col("value") - 100) / 50), 9).alias("sig"))
 
 
