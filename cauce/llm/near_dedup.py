@@ -161,10 +161,11 @@ def near_links(docs: DataFrame, found: DataFrame) -> DataFrame:
     # values of one node alone have no candidates
     values = members.groupBy("value").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep <> last").drop("last")
     members = saved(members.join(values, "value"), "values")
+    texts = texts_of(docs, found, members)
     links, tested = None, None
     pairs = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     while True:
-        checked = saved(aligned(docs, found, pairs), "aligned")
+        checked = saved(aligned(texts, pairs), "aligned")
         new = checked.where("near").select("a", "b")
         if not new.head(1):
             return links if links is not None else new
@@ -187,14 +188,15 @@ def classed(members: DataFrame, classes: DataFrame, other: str) -> DataFrame:
     return members
 
 
-def aligned(docs: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
+    """id, text of the nodes that share some value.  Every round reads this table; the documents are dealt out once."""
+    wanted = saved(found.select("id", F.col("node").alias("th"), "owner").join(members.select("id").distinct(), "id", "left_semi"), "wanted")
+    rows = docs.select(text_hash().alias("th"), id_or_last().alias("owner"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return saved(rows.join(wanted, ["th", "owner"]).dropDuplicates(["th", "owner"]).select("id", "text"), "texts")
+
+
+def aligned(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """a, b, near for every pair of ids, by alignment of their texts."""
-    pairs = saved(pairs, "pairs")
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    wanted = saved(found.select("id", F.col("node").alias("th"), "owner").join(wanted, "id", "left_semi"), "wanted")
-    texts = (docs.select(text_hash().alias("th"), id_or_last().alias("owner"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-             .join(wanted, ["th", "owner"]).groupBy("id").agg(F.any_value("text").alias("text")))
-    texts = saved(texts, "texts")
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -243,10 +245,18 @@ def classes(docs: DataFrame) -> DataFrame:
     return named.join(totals, "class").select("class", "node", "owner", "class_id", "class_texts")
 
 
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, class_texts (distinct texts of the class) of every document row."""
+    found = classes(docs).select("node", "class_id", "class_texts")
+    return (docs.select("doc_id", text_hash().alias("node")).join(found, "node")
+            .select("doc_id", F.when(F.col("class_id") != NULL_ID, F.col("class_id")).alias("class_id"), "class_texts"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with the smallest id of their class; of equal such rows one."""
-    best = classes(docs).where("owner = class_id").select("class", F.col("node").alias("__n"), F.col("owner").alias("__o"))
+    best = classes(docs).where("owner = class_id").select("class", F.col("node").alias("th"), "owner")
     # one text a class, should two texts of it share the smallest id
-    best = saved(best.groupBy("class", "__o").agg(F.min("__n").alias("__n")).drop("class"), "winners")
-    marked = docs.withColumn("__n", text_hash()).withColumn("__o", id_or_last())
-    return marked.join(best, ["__n", "__o"], "left_semi").dropDuplicates(["__n", "__o"]).drop("__n", "__o")
+    best = saved(best.groupBy("class", "owner").agg(F.min("th").alias("th")).drop("class"), "winners")
+    rows = docs.select(F.struct("*").alias("row"), text_hash().alias("th"), id_or_last().alias("owner"))
+    left = rows.join(best, ["th", "owner"], "left_semi").dropDuplicates(["th", "owner"])
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

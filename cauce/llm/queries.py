@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, token_counts, toxicity
-from cauce.llm.common import NULL_ID, prepare, text_hash
+from cauce.llm.common import prepare
 from cauce.llm.oracles import ORACLES  # noqa: F401  (re-exported)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,10 +50,7 @@ def op3_toxicity(spark, sf_dir):
 
 @query
 def op4_line_dedup(spark, sf_dir):
-    return line_dedup.dedup(documents(spark, sf_dir)).select(
-        "doc_id", F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.sha2(line_dedup.kept_text(), 256).alias("kept_sha256"))
+    return line_dedup.report(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query
@@ -79,10 +76,7 @@ def op8_token_counts(spark, sf_dir):
 
 @query
 def op9_near_dedup(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    found = near_dedup.classes(docs).select("node", "class_id", "class_texts")
-    return (docs.select("doc_id", text_hash().alias("node")).join(found, "node")
-            .select("doc_id", F.when(F.col("class_id") != NULL_ID, F.col("class_id")).alias("class_id"), "class_texts"))
+    return near_dedup.labelled(documents(spark, sf_dir))
 
 
 @query
