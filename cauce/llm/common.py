@@ -19,9 +19,15 @@ WHITE = b" \t\n\r\x0b\x0c"
 NULL_ID = (1 << 63) - 1
 
 
+#: Rows of an Arrow batch: texts are long, and a batch lies in the JVM and in its Python worker at once.
+ARROW_ROWS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
     ship_package(spark)
     ensure_checkpoint_dir(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
