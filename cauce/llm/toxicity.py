@@ -79,15 +79,18 @@ def form_hashes(word: bytes) -> np.ndarray:
 
 def contexts(lines: list[list[bytes]], known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Form hashes and in how many contexts each is found."""
-    found = []
+    pairs, found, held = np.zeros(0, np.uint64), [], 0
     for words in lines:
+        if held > 1 << 20:  # keep distinct pairs only
+            pairs, found, held = np.unique(np.concatenate([pairs, *found])), [], 0
         order = sorted({zlib.crc32(w[::-1]) for w in words})[:2]
         for w in set(words):
             if (h := known.get(w)) is None:
                 h = known[w] = form_hashes(w)
             other = next((o for o in order if o != zlib.crc32(w[::-1])), 0)
             found.append(h << np.uint64(32) | np.uint64(other))
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+            held += len(h)
+    pairs = np.unique(np.concatenate([pairs, *found]))
     return np.unique(pairs >> np.uint64(32), return_counts=True)
 
 
@@ -249,7 +252,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> list:
 
 def trained(docs: DataFrame, labels: DataFrame):
     """(weights, transitions), or None without both labels."""
-    return learned([(lines_of(t), y) for t, y in sample(docs, labels)])
+    one: dict[bytes, bytes] = {}  # equal words share one object
+    return learned([([[one.setdefault(w, w) for w in c] for c in lines_of(t)], y) for t, y in sample(docs, labels)])
 
 
 def learned(rows: list[tuple[list[list[bytes]], bool]]):
