@@ -409,14 +409,17 @@ def m16(spark, sf):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    d = embedding_frame(spark, sf).withColumn("fold", F.pmod(F.xxhash64("vec_id"), F.lit(3)).cast("int"))
+    from cauce.operators.relational import sequence_id
+    # folds stratified by label: places in the order (label, hash) are dealt out in turn
+    d = sequence_id(embedding_frame(spark, sf).withColumn("_h", F.xxhash64("vec_id")), ["label", "_h", "vec_id"], "_at")
+    d = d.withColumn("fold", (F.col("_at") % 5).cast("int"))
     lr = LogisticRegression(maxIter=30, labelCol="label")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, foldCol="fold", seed=42,
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, foldCol="fold", numFolds=5, seed=42, parallelism=4,
                         evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="f1"))
     m = cv.fit(d)
-    return spark.createDataFrame([(float(p[lr.regParam]), float(s)) for p, s in zip(grid, m.avgMetrics)],
-                                 "reg_param double, mean_f1 double")
+    return spark.createDataFrame([(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(s)) for p, s in zip(grid, m.avgMetrics)],
+                                 "reg_param double, elastic_net double, mean_f1 double")
 
 
 HASH_SPLIT_SQL = """CASE WHEN CAST(('0x' || substr(md5('42' || CAST(vec_id AS VARCHAR)), 1, 12))::BIGINT AS DOUBLE)
@@ -533,15 +536,37 @@ def text_frame(spark, sf):
 ALL_TERMS = (1 << 31) - 1
 
 
+def tfidf_model(train, min_df: float = 1.0, max_df: float = float(1 << 62), stop_words=()):
+    """T10's features as a fitted Spark ML model: tf * (ln((1 + n) / (1 + df)) + 1), rows of length one.
+
+    Spark's ``IDF`` lacks the ``+ 1``, so its weights are raised by one.  The vocabulary is not capped."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer,
+                                    StopWordsRemover)
+    from pyspark.ml.linalg import Vectors
+    tok = RegexTokenizer(inputCol="text", outputCol="all_toks", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False, toLowercase=True)
+    stop = StopWordsRemover(inputCol="all_toks", outputCol="toks", stopWords=list(stop_words), locale="en_US")
+    words = stop.transform(tok.transform(train))
+    counts = CountVectorizer(inputCol="toks", outputCol="tf", minDF=min_df, maxDF=max_df, vocabSize=ALL_TERMS).fit(words)
+    idf = IDF(inputCol="tf", outputCol="w").fit(counts.transform(words))
+    scale = ElementwiseProduct(inputCol="tf", outputCol="w", scalingVec=Vectors.dense(idf.idf.toArray() + 1.0))
+    return PipelineModel([tok, stop, counts, scale, Normalizer(inputCol="w", outputCol="features")])
+
+
+class TextPipeline:
+    """T10 features and a classifier, fitted together on the training rows."""
+
+    def __init__(self, classifier):
+        self.classifier = classifier
+
+    def fit(self, train):
+        from pyspark.ml import PipelineModel
+        features = tfidf_model(train)
+        return PipelineModel([features, self.classifier.fit(features.transform(train))])
+
+
 def text_pipeline(classifier):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="toks", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False, toLowercase=True),
-        # no cap on the vocabulary
-        CountVectorizer(inputCol="toks", outputCol="tf", minDF=1.0, vocabSize=ALL_TERMS),
-        IDF(inputCol="tf", outputCol="features"),
-        classifier])
+    return TextPipeline(classifier)
 
 
 @query("t19_text_classifiers")
@@ -579,15 +604,17 @@ def model_selection(preds):
     return out.withColumn("chosen", F.lit(best))
 
 
+# Stop words of the topic model, and the share of documents above which a term is left out.
+TOPIC_STOP_WORDS = ("de la el en un una y no mi que al del para con lo se es").split()
+
+
 @query("t21_topics")
 def t21(spark, sf):
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
     d = t(spark, sf, "documents").select("doc_id", "text")
-    tok = RegexTokenizer(inputCol="text", outputCol="toks", pattern=r"[\p{L}\p{N}_]{3,}", gaps=False).transform(d)
-    cvm = CountVectorizer(inputCol="toks", outputCol="features", minDF=2.0, vocabSize=ALL_TERMS).fit(tok)
-    m = LDA(k=4, maxIter=10, seed=42).fit(cvm.transform(tok))
-    vocab = cvm.vocabulary
+    features = tfidf_model(d, min_df=2.0, max_df=0.95, stop_words=TOPIC_STOP_WORDS)
+    m = LDA(k=4, maxIter=10, seed=42).fit(features.transform(d))
+    vocab = features.stages[2].vocabulary
     rows = [(int(r["topic"]), [vocab[i] for i in r["termIndices"]]) for r in m.describeTopics(6).collect()]
     return spark.createDataFrame(rows, "topic int, top_terms array<string>")
 

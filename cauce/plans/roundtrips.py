@@ -72,8 +72,8 @@ def s03(spark, sf):
 def s06(spark, sf):
     """One JSON array of objects a file."""
     p, part = _place(spark, "s06"), t(spark, sf, "part")
-    # sixteen-row documents, so an array never grows with the table
-    rows = part.groupBy(F.floor(F.col("p_partkey") / 16).alias("file")).agg(
+    # documents of 256 rows, so an array never grows with the table
+    rows = part.groupBy(F.floor(F.col("p_partkey") / 256).alias("file")).agg(
         F.to_json(F.collect_list(F.struct("p_partkey", "p_name", "p_size"))).alias("value"))
     rows.write.partitionBy("file").text(p)
     return readers.read_json_records(spark, p, "p_partkey long, p_name string, p_size int").select("p_partkey", "p_name", "p_size")

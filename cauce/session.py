@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -59,8 +60,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+@atexit.register
+def _clear_scratch() -> None:
+    """Remove this application's scratch tables when it ends with its session still open."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    from cauce.sources import fs
+    for path in _SCRATCH:
+        fs.delete(spark, path)
 
 
 _SHIPPED: set = set()

@@ -52,7 +52,7 @@ def main():
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     pats = [a for a in args if not a.startswith("/")]
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session(os.environ.get("CHECK_MASTER", "local[8]"), shuffle_partitions=8)
     con = duckdb.connect()
     for tname in TABLES:
         con.execute(f"CREATE VIEW {tname} AS SELECT * FROM read_parquet('{sf}/{tname}.parquet')")
