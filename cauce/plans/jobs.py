@@ -328,7 +328,21 @@ def z07(spark, sf):
 
 
 # ------------------------------------------------------------------- Z08-Z12 (rows)
-@query("z08_corpus_pipeline_report")
+def _z08_sql() -> str:
+    from cauce.plans.textops import PREP_SQL
+    return f"""
+WITH {PREP_SQL},
+kp AS (SELECT * FROM st WHERE state = 'conservar'),
+bad AS (SELECT text_processed FROM kp GROUP BY 1 HAVING count(DISTINCT label) > 1),
+k2 AS (SELECT * FROM kp WHERE text_processed NOT IN (SELECT text_processed FROM bad)),
+fam AS (SELECT source, row_number() OVER (ORDER BY md5('42' || source), source) AS rk, count(*) OVER () AS n FROM (SELECT DISTINCT source FROM k2)),
+sp AS (SELECT k2.*, CASE WHEN rk <= floor(n * 0.7) THEN 'train' WHEN rk <= floor(n * 0.7) + floor(n * 0.15) THEN 'validation' ELSE 'test' END AS split
+       FROM k2 LEFT JOIN fam ON k2.source IS NOT DISTINCT FROM fam.source)
+SELECT split, count(*) AS rows, count(DISTINCT source) AS families, count(label) AS labelled,
+  count(DISTINCT label) AS labels, count(*) / (SELECT count(*) FROM sp) AS share FROM sp GROUP BY split"""
+
+
+@query("z08_corpus_pipeline_report", sql=_z08_sql())
 def z08(spark, sf):
     from cauce.operators import corpus as C
     from cauce.plans.textops import labelled_docs
@@ -362,7 +376,30 @@ def z09(spark, sf):
     return MT.class_report(test, "label", "prediction").withColumn("model", F.lit(chosen))
 
 
-@query("z10_retrieval_evaluation")
+def _z10_sql() -> str:
+    from cauce.plans.textops import LEX_SQL
+    return f"""
+WITH {LEX_SQL},
+rel AS (SELECT b.item_id AS qid, d.doc_id AS item_id FROM documents d, benchmark b WHERE contains(d.text, b.text)),
+top AS (SELECT * FROM rk WHERE rank <= 3),
+pq AS (SELECT r.qid, count(*) AS n_rel, count(*) FILTER (WHERE t.item_id IS NOT NULL) AS hits, min(t.rank) AS first_hit
+       FROM rel r LEFT JOIN top t ON r.qid = t.qid AND r.item_id = t.item_id GROUP BY r.qid),
+s AS (SELECT round(score, 9) AS score, qid IN (SELECT qid FROM rel) AS positive FROM rk WHERE rank = 1),
+pn AS (SELECT count(*) FILTER (WHERE positive) AS P, count(*) FILTER (WHERE NOT positive) AS N FROM s),
+lv AS (SELECT score AS v, count(*) FILTER (WHERE positive) AS pos, count(*) FILTER (WHERE NOT positive) AS neg FROM s GROUP BY 1),
+cum AS (SELECT v, sum(pos) OVER (ORDER BY v) AS cpos, sum(neg) OVER (ORDER BY v) AS cneg, lead(v) OVER (ORDER BY v) AS nv FROM lv),
+cand AS (
+  SELECT (v + nv) / 2 AS threshold, ((P - cpos) / P + cneg / N) / 2 AS ba FROM cum, pn WHERE nv IS NOT NULL
+  UNION ALL SELECT 0.0, ((SELECT count(*) FROM s WHERE positive AND score >= 0.0) / P
+                        + (SELECT count(*) FROM s WHERE NOT positive AND score < 0.0) / N) / 2 FROM pn
+  UNION ALL SELECT 1.01, ((SELECT count(*) FROM s WHERE positive AND score >= 1.01) / P
+                         + (SELECT count(*) FROM s WHERE NOT positive AND score < 1.01) / N) / 2 FROM pn)
+SELECT (SELECT {R('avg(hits * 1.0 / n_rel)', 9)} FROM pq) AS recall_at_k, (SELECT {R('avg(coalesce(1.0 / first_hit, 0.0))', 9)} FROM pq) AS mrr,
+  (SELECT count(*) FROM pq) AS n_answerable, {R('arg_max(threshold, (ba, threshold))', 9)} AS threshold,
+  {R('max(ba)', 9)} AS balanced_accuracy FROM cand"""
+
+
+@query("z10_retrieval_evaluation", sql=_z10_sql())
 def z10(spark, sf):
     from cauce.operators import retrieval as RT
     from cauce.plans.textops import lexical_search
@@ -374,11 +411,31 @@ def z10(spark, sf):
     top1 = ranking.filter("rank = 1").join(answerable, "qid", "left") \
         .select(F.col("score"), F.coalesce("positive", F.lit(False)).alias("positive"))
     thr = RT.best_threshold(top1)
-    return metrics.withColumn("threshold", thr.select("threshold").scalar()) \
-        .withColumn("balanced_accuracy", thr.select("balanced_accuracy").scalar())
-
-
-@query("z11_eda_report")
+    return metrics.select(F.round("recall_at_k", 9).alias("recall_at_k"), F.round("mrr", 9).alias("mrr"), "n_answerable") \
+        .withColumn("threshold", thr.select(F.round("threshold", 9)).scalar()) \
+        .withColumn("balanced_accuracy", thr.select(F.round("balanced_accuracy", 9)).scalar())
+
+
+_Z11_CORR = [("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"), ("l_extendedprice", "l_discount")]
+_Z11_ROWS = [
+    *[f"SELECT 'distinct' AS section, '{c}' AS metric, CAST(count(DISTINCT {c}) AS DOUBLE) AS value FROM lineitem"
+      for c in ("l_returnflag", "l_linestatus", "l_suppkey")],
+    *[f"SELECT 'nulls', '{c}', round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 4) FROM lineitem" for c in ("l_quantity", "l_discount")],
+    *[f"SELECT 'quantiles_l_quantity', 'p{q}', quantile_cont(l_quantity, 0.{q}) FROM lineitem" for q in (25, 50, 75, 90)],
+    *[f"SELECT 'corr', '{a}~{b}', {R(f'corr({a}, {b})', 9)} FROM lineitem" for a, b in _Z11_CORR],
+    *[f"""SELECT 'iqr_outliers', '{c}', CAST((SELECT count(*) FROM lineitem WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS DOUBLE)
+      FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM lineitem)""" for c in ("l_quantity", "l_discount")],
+    f"""SELECT 'concentration', 'top30_share', {R('sum(cnt) FILTER (WHERE rn <= floor(n * 0.3)) * 1.0 / sum(cnt)', 6)}
+      FROM (SELECT cnt, row_number() OVER (ORDER BY cnt DESC, o_custkey) AS rn, count(*) OVER () AS n
+            FROM (SELECT o_custkey, count(*) AS cnt FROM orders GROUP BY o_custkey))""",
+    # value counts, duplicates and the two most frequent pairs of flags
+    "SELECT 'value_counts', l_returnflag, CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY l_returnflag",
+    "SELECT 'crosstab', l_returnflag || '~' || l_linestatus, CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY l_returnflag, l_linestatus",
+    "SELECT 'duplicates', 'rows', CAST(coalesce(sum(c - 1), 0) AS DOUBLE) FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)",
+]
+
+
+@query("z11_eda_report", sql=" UNION ALL ".join(_Z11_ROWS))
 def z11(spark, sf):
     from cauce.operators import stats as ST
     from cauce.operators.windows import top_share
@@ -391,11 +448,18 @@ def z11(spark, sf):
         A.quantiles(li, "l_quantity").unpivot([], ["p25", "p50", "p75", "p90"], "metric", "value").select(
             F.lit("quantiles_l_quantity").alias("section"), "metric", "value"),
         ST.pairwise_corr(li, ["l_quantity", "l_extendedprice", "l_discount"]).select(
-            F.lit("corr").alias("section"), F.concat_ws("~", "col_a", "col_b"), "corr"),
+            F.lit("corr").alias("section"), F.concat_ws("~", "col_a", "col_b"), F.round("corr", 9)),
         ST.iqr_outliers(li, ["l_quantity", "l_discount"]).select(
             F.lit("iqr_outliers").alias("section"), "column", F.col("n_outliers").cast("double")),
         top_share(t(spark, sf, "orders"), "o_custkey", 0.3).select(
-            F.lit("concentration").alias("section"), F.lit("top30_share"), "top_share"),
+            F.lit("concentration").alias("section"), F.lit("top30_share"), F.round("top_share", 6)),
+        li.groupBy("l_returnflag").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("value_counts").alias("section"), "l_returnflag", "value"),
+        li.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("crosstab").alias("section"), F.concat_ws("~", "l_returnflag", "l_linestatus"), "value"),
+        li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("c")).agg(
+            F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("double").alias("value")).select(
+            F.lit("duplicates").alias("section"), F.lit("rows"), "value"),
     ]
     out = parts[0]
     for p in parts[1:]:
