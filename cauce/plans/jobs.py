@@ -178,9 +178,47 @@ def z01b(spark, sf):
                                                                "watermark_before", "watermark_after")
 
 
+def gated_load(spark, base: str, good, bad, key, gate, checks) -> "DataFrame":  # noqa: F821
+    """Gate a batch on its reject rate, upsert its good rows (without a key they are the new snapshot), append its bad ones to the quarantine, and
+    check the table after the load.  ``bad``: (record_id, reject_reason); ``checks``: predicates that no
+    loaded row may meet.  A batch that fails the gate loads nothing."""
+    n_good, n_bad = good.count(), bad.count()
+    metrics = spark.createDataFrame([(n_good, n_bad / (n_good + n_bad) if n_good + n_bad else 0.0)], "rows long, reject_rate double")
+    outcome = Q.gate_outcome(Q.quality_gate(metrics, gate))
+    if outcome["status"] != "PASS":
+        raise RuntimeError(f"{STATUS_GATE}: {';'.join(outcome['failures'])}")
+    if key is None:
+        state.publish(spark, good, f"{base}/curated")
+    else:
+        state.upsert(spark, f"{base}/curated", good, key)
+    state.append_keyed(spark, f"{base}/quarantine", bad, ["record_id"])
+    table = state.read_table(spark, f"{base}/curated")
+    Q.assert_no_violations(Q.violation_counts(table, checks))
+    return table
+
+
 # ------------------------------------------------------------------- Z02
-def latest_unit_price(spark, sf):
-    li = t(spark, sf, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate",
+PRICE_GATE = {"reject_rate": ("max", 0.05)}
+
+
+def load_prices(spark, base: str, lines):
+    """One incremental run: lines newer than the mark give each part's latest price, which is upserted."""
+    mark = state.read_watermark(spark, f"{base}/mark", default=DEFAULT_MARK)
+    new = state.incremental_scan(lines, "l_shipdate", mark)
+    upper = new.agg(F.max("l_shipdate").alias("u"), F.max("l_shipdate").cast("string").alias("m")).first()
+    if upper["u"] is None:
+        return
+    new = new.filter(F.col("l_shipdate") <= F.lit(upper["u"]))
+    good, bad = RL.split_valid(new, F.col("l_quantity") > 0)
+    prices = RL.assert_unique(latest_unit_price(good), "p_partkey")    # V18 guard before the join
+    gated_load(spark, base, prices, bad.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("record_id"), F.lit("quantity_invalid").alias("reject_reason")),
+        "p_partkey", PRICE_GATE, {"no_part": F.col("p_partkey").isNull(), "no_date": F.col("price_date").isNull()})
+    state.write_watermark(spark, f"{base}/mark", upper["m"])
+
+
+def latest_unit_price(lines):
+    li = lines.select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate",
                                          (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
     latest = RL.keep_first(li, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], keep="last")
     return latest.select(F.col("l_partkey").alias("p_partkey"), "unit_price", F.col("l_shipdate").alias("price_date"))
@@ -194,7 +232,13 @@ SELECT p.p_partkey, p.p_brand, {R('lp.unit_price', 8)} AS unit_price, lp.price_d
 FROM part p LEFT JOIN lp ON p.p_partkey = lp.p_partkey
 """)
 def z02(spark, sf):
-    lp = RL.assert_unique(latest_unit_price(spark, sf), "p_partkey")   # V18 guard before the left join
+    """Two incremental runs (lines up to the middle date, then the rest) and one with nothing new."""
+    base, li = _run_dir(spark, "z02"), t(spark, sf, "lineitem")
+    middle = li.agg(F.percentile_approx("l_shipdate", 0.5)).first()[0]
+    load_prices(spark, base, li.filter(F.col("l_shipdate") <= F.lit(middle)))
+    for _ in range(2):
+        load_prices(spark, base, li)
+    lp = state.read_table(spark, f"{base}/curated")
     p = t(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
     j = p.join(lp, "p_partkey", "left")
     # unit prices have at most 7 exact decimals (cents / quantity <= 50): round at 8, never on a tie
@@ -226,7 +270,11 @@ def z03(spark, sf):
         F.when(F.col("l_extendedprice").isNull() | (F.col("l_extendedprice") <= 0), F.lit("price_invalid")),
         F.when(F.col("l_discount") > 0.08, F.lit("discount_out_of_range"))))
     j = j.withColumn("reasons", F.array_join(reasons, ";"))
-    good = j.filter(F.col("reasons") == "")
+    good, bad = RL.split_valid(j, F.col("reasons") == "")
+    good = gated_load(spark, _run_dir(spark, "z03"), good.select("l_orderkey", "l_linenumber", "p_brand", "p_type", "l_extendedprice"),
+                      bad.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("record_id"), F.col("reasons").alias("reject_reason")),
+                      None, {"reject_rate": ("max", 0.5)},
+                      {"no_price": F.col("l_extendedprice").isNull(), "price_invalid": F.col("l_extendedprice") <= 0})
     return good.groupBy("p_brand").agg(F.round(F.avg("l_extendedprice"), 4).alias("avg_price"),
                                        F.count(F.lit(1)).alias("n"),
                                        F.array_join(F.sort_array(F.collect_set("p_type")), ",").alias("types"))
@@ -255,7 +303,10 @@ def z04(spark, sf):
     src = c.select("c_custkey", "c_mktsegment", "tenure", text.alias("total_text"))
     src = RL.sequence_id(src, ["c_custkey"], "row_id")            # P11 surrogate id
     clean = src.withColumn("t", strip_quotes("total_text"))       # F02
-    ok, _quarantine = RL.split_valid(clean, ~((F.col("t") == "") & (F.col("tenure") != 0)))   # V06
+    ok, bad = RL.split_valid(clean, ~((F.col("t") == "") & (F.col("tenure") != 0)))   # V06
+    ok = gated_load(spark, _run_dir(spark, "z04"), ok, bad.select(
+        F.col("c_custkey").cast("string").alias("record_id"), F.lit("total_missing").alias("reject_reason")), "c_custkey",
+        {"reject_rate": ("max", 0.5)}, {"no_key": F.col("c_custkey").isNull(), "no_row_id": F.col("row_id").isNull()})
     ok = ok.withColumn("total", F.when(F.col("t") == "", F.lit(0.0)).otherwise(F.col("t").try_cast("double")))
     band = (F.when(F.col("tenure") == 0, "new").when(F.col("tenure") <= 3, "1-3").when(F.col("tenure") <= 6, "4-6")
             .otherwise("7+"))
