@@ -451,11 +451,25 @@ def m22(spark, sf):
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-@query("m25_vif")
+VIF_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _vif_sql() -> str:
+    """The diagonal of the inverse correlation matrix, by cofactors (rows without nulls)."""
+    rows = "(SELECT * FROM lineitem WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in VIF_COLS) + ")"
+    pairs = [(VIF_COLS[i], VIF_COLS[j]) for i in range(4) for j in range(i + 1, 4)]
+    cor = ", ".join(f"corr({x}, {y}) AS {n}" for (x, y), n in zip(pairs, "abcdef"))
+    minor = "1 + 2 * {0} * {1} * {2} - {0} * {0} - {1} * {1} - {2} * {2}"
+    det = ("1 - a*a - b*b - c*c - d*d - e*e - f*f + 2 * (a*b*d + a*c*e + b*c*f + d*e*f) "
+           "+ a*a*f*f + b*b*e*e + c*c*d*d - 2 * (a*b*e*f + a*c*d*f + b*c*d*e)")
+    each = [f"SELECT '{c}' AS feature, ({minor.format(*m)}) / ({det}) AS v FROM k" for c, m in zip(VIF_COLS, ("def", "bcf", "ace", "abd"))]
+    return f"WITH k AS (SELECT {cor} FROM {rows}) SELECT feature, {R('v', 6)} AS vif, v > 10 AS redundant FROM ({' UNION ALL '.join(each)})"
+
+
+@query("m25_vif", sql=_vif_sql())
 def m25(spark, sf):
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    rows = [(c, v, v > 10) for c, v in ST.vif(t(spark, sf, "lineitem"), cols)]
-    return spark.createDataFrame(rows, "feature string, vif double, redundant boolean")
+    rows = [(c, v, v > 10) for c, v in ST.vif(t(spark, sf, "lineitem"), VIF_COLS)]
+    return spark.createDataFrame(rows, "feature string, vif double, redundant boolean").withColumn("vif", F.round("vif", 6))
 
 
 @query("m26_pca")
