@@ -13,8 +13,9 @@ Rows with one text are one node.  Each sketch value's smallest node is its
 representative and is aligned with the value's other members: a value held by
 m texts costs m rows, never m * m pairs.  Members that the representative does
 not join get a new representative among themselves in the next round, against
-which the whole value is aligned; rounds go on until one finds no link that
-joins two classes.  Classes are the connected components of the links.
+which the members of other classes are aligned; a value goes on until two of
+its rounds in a row join nothing.  Classes are the connected components of the
+links.
 
 Cases: null and empty texts are equal; texts of under five words have one
 element, the whole text; a class's id is its smallest doc_id (null only if all
@@ -155,37 +156,50 @@ def nodes(docs: DataFrame) -> DataFrame:
     return saved(texts.withColumn("id", F.monotonically_increasing_id()), "nodes")
 
 
-def near_links(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """a, b: links between ids that connect all ids of a class."""
+def near_classes(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """node, class (its smallest id) of every id that is near another one."""
     members = found.select("id", F.explode("sketches").alias("value"))
     # values of one node alone have no candidates
     values = members.groupBy("value").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep <> last").drop("last")
-    members = saved(members.join(values, "value"), "values")
+    members = saved(members.join(values, "value").select("id", "value", "rep", F.lit(0).alias("misses"), (F.col("id") != F.col("rep")).alias("apart")), "values")
     texts = texts_of(docs, found, members)
-    links, tested = None, None
-    pairs = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
+    links = tested = classes = None
     while True:
+        pairs = members.where("apart").select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
         checked = saved(aligned(texts, pairs), "aligned")
         new = checked.where("near").select("a", "b")
-        if not new.head(1):
-            return links if links is not None else new
-        links = new if links is None else links.unionByName(new)
+        if new.head(1):
+            links = new if links is None else links.unionByName(new)
+            classes = saved(components(links), "classes")
+        elif tested is not None:
+            break
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-        classes = saved(components(links), "classes")
-        members = classed(members, classes, "rep")
-        left = members.where("class_id <> class_rep").groupBy("value").agg(F.min("id").alias("next"))
-        members = saved(members.select("id", "value").join(left, "value").withColumnRenamed("next", "rep"), "values")
-        pairs = (classed(members, classes, "rep").where("class_id <> class_rep")
-                 .select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
+        members = saved(next_round(members, classes), "values")
+        if not members.head(1):
+            break
+    return classes if classes is not None else components(new)
+
 
+def next_round(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """id, value, rep, misses, apart of the values that go on, with new representatives.
 
-def classed(members: DataFrame, classes: DataFrame, other: str) -> DataFrame:
-    """Adds the classes so far of ``id`` and ``other``; an unlinked id is its own class."""
-    for c in ("id", other):
-        members = (members.drop(f"class_{c}").join(classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")), c, "left")
-                   .withColumn(f"class_{c}", F.coalesce(f"class_{c}", c)))
-    return members
+    A value goes on while it holds members of other classes than its
+    representative's and one of its last two rounds joined some; its next
+    representative is the smallest of those members."""
+    for c in ("id", "rep"):
+        known = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) if classes is not None
+                 else members.select(c, F.col(c).alias(f"class_{c}")).where("1 = 0"))
+        members = members.join(known.hint("merge"), c, "left").withColumn(f"class_{c}", F.coalesce(f"class_{c}", c))
+    other = F.col("class_id") != F.col("class_rep")
+    state = members.groupBy("value").agg(
+        F.min(F.when(other, F.struct(F.col("id").alias("next"), F.col("class_id").alias("class_next")))).alias("n"),
+        F.max(F.col("apart") & ~other).alias("hit"), F.max("misses").alias("m"))
+    state = state.where("n is not null and (hit or m = 0)").select(
+        "value", "n.next", "n.class_next", F.when(F.col("hit"), 0).otherwise(F.col("m") + 1).alias("missed"))
+    return members.select("id", "value", "class_id").join(state.hint("merge"), "value").select(
+        "id", "value", F.col("next").alias("rep"), F.col("missed").alias("misses"), (F.col("class_id") != F.col("class_next")).alias("apart"))
 
 
 def texts_of(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
@@ -210,26 +224,29 @@ def aligned(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, class (its component's smallest node) for every node of a link.
 
-    Alternating large-star and small-star steps: each step links a node's
-    neighbours to the smallest of them, and ends when a step changes nothing.
-    Neighbours are never gathered, only their minimum."""
+    Alternating large-star and small-star steps link a node's neighbours to the
+    smallest of them, until each node has one link and no link's end links on.
+    Neighbours are never gathered, only their minimum.  The many small joins of
+    the rounds are merge joins, so that none passes through the driver."""
     both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         near = both(e) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = near.join(least, "a")
+        joined = near.join(least.hint("merge"), "a")
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) if large else (
             joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))))
-        return out.where("a <> b").distinct()
+        return out.where("a <> b")
 
-    edges, before = saved(links.where("a <> b").distinct(), "edges"), None
+    edges = saved(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
-        edges = saved(star(star(edges, True), False), "edges")
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if state == before:
+        ends = edges.select(F.col("b").alias("a"), F.lit(2).alias("n"))
+        starts = edges.select("a", F.lit(1).alias("n"))
+        # a node with two links, or with one that another's link ends at
+        tangled = starts.unionByName(ends.distinct()).groupBy("a").agg(F.sum("n").alias("s"), F.min("n").alias("m")).where("m = 1 and s > 1")
+        if not tangled.head(1):
             break
-        before = state
+        edges = saved(star(star(edges, True), False).distinct(), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("class")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("class")).distinct())
 
@@ -239,7 +256,7 @@ def classes(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     source = docs.select("doc_id", "text")
     found = nodes(source)
-    linked = components(near_links(source, found)).withColumnRenamed("node", "id")
+    linked = near_classes(source, found).withColumnRenamed("node", "id")
     named = found.select("id", "node", "owner").join(linked, "id", "left").withColumn("class", F.coalesce("class", "id"))
     totals = named.groupBy("class").agg(F.min("owner").alias("class_id"), F.count(F.lit(1)).alias("class_texts"))
     return named.join(totals, "class").select("class", "node", "owner", "class_id", "class_texts")
