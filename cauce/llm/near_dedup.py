@@ -10,12 +10,15 @@ when their word edit distance is at most 0.2 times the longer length
 band of that width.
 
 Rows with one text are one node.  Each sketch value's smallest node is its
-representative and is aligned with the value's other members: a value held by
-m texts costs m rows, never m * m pairs.  Members that the representative does
-not join get a new representative among themselves in the next round, against
-which the members of other classes are aligned; a value goes on until two of
-its rounds in a row join nothing.  Classes are the connected components of the
-links.
+representative and is aligned with the value's other members.  Of the members
+that are still in different classes every pair is then tested: the bags of
+words (counts by hashed word) bound the edit distance from below, and the
+pairs that the bound leaves open are aligned, first each member's closest
+one, then, as far as they are still in different classes, all of them.  The
+members of a value meet in cells of two parts of about CELL members each, so
+no task holds a whole value; a value whose m members are no copies costs up
+to m * m / 2 comparisons of bags, and m * m / CELL rows.  Classes are the
+connected components of the links.
 
 Cases: null and empty texts are equal; texts of under five words have one
 element, the whole text; a class's id is its smallest doc_id (null only if all
@@ -39,6 +42,8 @@ SKETCHES = 40
 SIMILARITY = 0.8
 #: Most cells of (sketches x elements) held at once; longer texts go sketch by sketch.
 CELLS = 1 << 21
+#: Members of a value in one part, counts of a bag, and pairs of bags compared at once.
+CELL, BUCKETS, PAIRS = 1024, 256, 4096
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -161,50 +166,120 @@ def near_classes(docs: DataFrame, found: DataFrame) -> DataFrame:
     members = found.select("id", F.explode("sketches").alias("value"))
     # values of one node alone have no candidates
     values = members.groupBy("value").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep <> last").drop("last")
-    members = saved(members.join(values, "value").select("id", "value", "rep", F.lit(0).alias("misses"), (F.col("id") != F.col("rep")).alias("apart")), "values")
+    members = saved(members.join(values, "value").select("id", "value", "rep").where("id <> rep"), "values")
     texts = texts_of(docs, found, members)
-    links = tested = classes = None
-    while True:
-        pairs = members.where("apart").select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+    tested = saved(aligned(texts, members.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()), "aligned")
+    links = tested.where("near").select("a", "b")
+    classes = saved(components(links), "classes")
+    members, bags = members.select("id", "value"), None
+    for closest in (True, False):
+        members = saved(open_members(members, classes), "values")
+        if not members.head(1):
+            break
+        bags = saved(bags_of(texts, members), "bags") if bags is None else bags
+        pairs = saved(crossing(members, bags, closest), "pairs").distinct().join(tested.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
         checked = saved(aligned(texts, pairs), "aligned")
         new = checked.where("near").select("a", "b")
         if new.head(1):
-            links = new if links is None else links.unionByName(new)
+            links = links.unionByName(new)
             classes = saved(components(links), "classes")
-        elif tested is not None:
-            break
-        tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-        members = saved(next_round(members, classes), "values")
-        if not members.head(1):
-            break
-    return classes if classes is not None else components(new)
+        tested = tested.unionByName(checked)
+    return classes
 
 
-def next_round(members: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """id, value, rep, misses, apart of the values that go on, with new representatives.
+def open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """id, value, class, m (the value's members) of the values whose members are in different classes."""
+    known = classes.select(F.col("node").alias("id"), "class")
+    members = members.select("id", "value").join(known.hint("merge"), "id", "left").withColumn("class", F.coalesce("class", "id"))
+    values = members.groupBy("value").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count(F.lit(1)).alias("m"))
+    return members.join(values.where("first <> last").select("value", "m").hint("merge"), "value")
 
-    A value goes on while it holds members of other classes than its
-    representative's and one of its last two rounds joined some; its next
-    representative is the smallest of those members."""
-    for c in ("id", "rep"):
-        known = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) if classes is not None
-                 else members.select(c, F.col(c).alias(f"class_{c}")).where("1 = 0"))
-        members = members.join(known.hint("merge"), c, "left").withColumn(f"class_{c}", F.coalesce(f"class_{c}", c))
-    other = F.col("class_id") != F.col("class_rep")
-    state = members.groupBy("value").agg(
-        F.min(F.when(other, F.struct(F.col("id").alias("next"), F.col("class_id").alias("class_next")))).alias("n"),
-        F.max(F.col("apart") & ~other).alias("hit"), F.max("misses").alias("m"))
-    state = state.where("n is not null and (hit or m = 0)").select(
-        "value", "n.next", "n.class_next", F.when(F.col("hit"), 0).otherwise(F.col("m") + 1).alias("missed"))
-    return members.select("id", "value", "class_id").join(state.hint("merge"), "value").select(
-        "id", "value", F.col("next").alias("rep"), F.col("missed").alias("misses"), (F.col("class_id") != F.col("class_next")).alias("apart"))
+
+def bag(words: list[bytes]) -> bytes:
+    """Counts (at most 255) of the words by hash."""
+    at = np.fromiter((xxhash.xxh3_64_intdigest(w) % BUCKETS for w in words), np.int64, len(words))
+    return np.minimum(np.bincount(at, minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+
+
+def bags_of(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """id, n (words), bag of the members' texts."""
+
+    def run(parts):
+        for p in parts:
+            words = [t.encode("utf-8", "surrogatepass").split() for t in p["text"]]
+            yield {"id": p["id"], "n": list(map(len, words)), "bag": list(map(bag, words))}
+
+    return map_rows(texts.join(members.select("id").distinct(), "id", "left_semi"), run, "id long, n long, bag binary")
+
+
+def crossing(members: DataFrame, bags: DataFrame, closest: bool) -> DataFrame:
+    """a, b: pairs of members of a value that are in different classes and may be near by their bags.
+
+    ``closest`` keeps each member's closest such pair in a cell only."""
+    parts = F.ceil(F.col("m") / CELL)
+    rows = members.join(bags, "id").withColumn("part", F.pmod(F.xxhash64("id"), parts))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    cell = ["value", "lo", "hi"]
+    rows = rows.select("value", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "id", "class", "part", "n", "bag")
+
+    def run(batches):
+        out = []
+        for rows in cells(batches):
+            out.append(cross(rows, closest))
+            if sum(map(len, out)) >= PAIRS:
+                yield dict(zip("ab", np.concatenate(out).T.tolist()))
+                out = []
+        if out:
+            yield dict(zip("ab", np.concatenate(out).T.tolist()))
+
+    return map_rows(rows.repartition(*cell).sortWithinPartitions(*cell), run, "a long, b long")
+
+
+def cells(batches):
+    """Lists of (id, class, part, n, bag): the rows of one cell, which follow one another."""
+    key, rows = None, []
+    for p in batches:
+        for row in zip(*(p[c] for c in ("value", "lo", "hi", "id", "class", "part", "n", "bag"))):
+            if row[:3] != key:
+                if rows:
+                    yield rows
+                key, rows = row[:3], []
+            rows.append(row[3:])
+    if rows:
+        yield rows
+
+
+def cross(rows: list, closest: bool) -> np.ndarray:
+    """Pairs (larger id, smaller id) of a cell's rows: of different classes, and of different parts if it has two.
+
+    A word that one text has more often than the other must be edited, so the
+    larger of the two surpluses of the bags is at most the edit distance."""
+    ids, classes, part, n = (np.array(x, np.int64) for x in list(zip(*rows))[:4])
+    bags = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+    total = bags.sum(axis=1, dtype=np.int64)
+    longer = np.maximum(n[:, None], n)
+    apart = (classes[:, None] != classes) & (longer - np.minimum(n[:, None], n) <= (1 - SIMILARITY) * longer + 1e-9)
+    if part.min() != part.max():
+        apart &= part[:, None] != part
+    i, j = np.nonzero(np.triu(apart, 1))
+    bound = np.empty(len(i), np.int64)
+    for at in range(0, len(i), PAIRS):
+        x, y = i[at:at + PAIRS], j[at:at + PAIRS]
+        bound[at:at + PAIRS] = (np.abs(bags[x] - bags[y]).sum(axis=1, dtype=np.int64) + np.abs(total[x] - total[y])) // 2
+    open_ = bound <= (1 - SIMILARITY) * np.maximum(n[i], n[j]) + 1e-9
+    i, j, bound = i[open_], j[open_], bound[open_]
+    if closest:
+        order = np.argsort(np.concatenate([bound, bound]), kind="stable")
+        first = np.unique(np.concatenate([i, j])[order], return_index=True)[1]
+        kept = np.unique(order[first] % max(len(i), 1))
+        i, j = i[kept], j[kept]
+    return np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])], axis=1)
 
 
 def texts_of(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
     """id, text of the nodes that share some value.  Every round reads this table; the documents are dealt out once."""
-    wanted = saved(found.select("id", F.col("node").alias("th"), "owner").join(members.select("id").distinct(), "id", "left_semi"), "wanted")
+    shared = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
+    wanted = saved(found.select("id", F.col("node").alias("th"), "owner").join(shared, "id", "left_semi"), "wanted")
     rows = docs.select(text_hash().alias("th"), id_or_last().alias("owner"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return saved(rows.join(wanted, ["th", "owner"]).dropDuplicates(["th", "owner"]).select("id", "text"), "texts")
 

@@ -89,6 +89,43 @@ def test_classes_against_brute_force(spark):
     assert kept == set(want.values())
 
 
+def template_pairs(rng, words, n, shared, own, edits):
+    passage = [rng.choice(words) for _ in range(shared)]
+    out = []
+    for _ in range(n):
+        text = passage + [rng.choice(words) for _ in range(own)]
+        copy = [rng.choice(words) if rng.random() < edits else w for w in text]
+        out += [" ".join(text), " ".join(copy)]
+    return out
+
+
+def test_pairs_that_share_a_passage(spark, monkeypatch):
+    """Every pair of copies is found though all texts meet in the values of the passage, also when a value has many parts."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    texts = template_pairs(rng, words, 40, 150, 60, 0.08) + template_pairs(rng, words, 40, 100, 100, 0.08)
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_classes(sorted(rows))
+    assert len(set(want.values())) == 80
+    for cell in (near_dedup.CELL, 16):
+        monkeypatch.setattr(near_dedup, "CELL", cell)
+        assert {r.doc_id: r.class_id for r in near_dedup.labelled(docs).collect()} == want
+
+
+def test_bags_bound_the_distance():
+    """Cells leave out only pairs that are not near."""
+    rng = random.Random(12)
+    texts = [[b"%d" % rng.randrange(30) for _ in range(rng.randint(0, 25))] for _ in range(61)]
+    texts += [[w for w in t if rng.random() < 0.9] for t in texts]
+    rows = [(i, i, i % 2, len(t), near_dedup.bag(t)) for i, t in enumerate(texts)]
+    got = {tuple(p) for p in near_dedup.cross(rows, False).tolist()}
+    near = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if i % 2 != j % 2
+            and near_dedup.edit_distance(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)) is not None}
+    assert near and near <= got and {tuple(p) for p in near_dedup.cross(rows, True).tolist()} <= got
+
+
 def test_near_cases(small, empty):
     rows = near_dedup.labelled(small).collect()
     assert len(rows) == small.count()
