@@ -34,8 +34,9 @@ from cauce.llm.common import map_rows, prepare, saved
 
 #: Words of a passage, and the step of longer benchmark texts.
 PASSAGE, PASSAGE_STEP = 64, 32
-#: Passages of one latent space; an index holds at most BLOCK * PASSAGE terms x RANK floats (32 MB).
-BLOCK, RANK, OVERSAMPLE, POWER_STEPS = 512, 256, 16, 2
+#: Passages of one latent space.  Its rank is their number, so that no passage loses a part and cosines do not
+#: fall as the benchmark grows; an index holds about BLOCK * PASSAGE terms x BLOCK floats (16 MB).
+BLOCK, POWER_STEPS = 256, 2
 STEP = 16
 WINDOW = 2 * STEP
 MIN_MASS, MIN_COSINE = 0.2, 0.35
@@ -182,12 +183,12 @@ def indexes(benchmark: DataFrame):
 def latent_basis(block: DataFrame, index: Index) -> np.ndarray:
     """terms x rank: leading right singular vectors of the block's matrix."""
     size = len(index.terms)
-    k = min(RANK + OVERSAMPLE, size, len(index.texts))
+    k = min(size, len(index.texts))
     basis = np.linalg.qr(np.random.default_rng(5).standard_normal((size, k)))[0]
     for _ in range(POWER_STEPS):
         basis = np.linalg.qr(gram_times(block, index, basis))[0]
     values, turn = np.linalg.eigh(basis.T @ gram_times(block, index, basis))
-    return basis @ turn[:, np.argsort(-values)[:RANK]]
+    return basis @ turn[:, np.argsort(-values)]
 
 
 def gram_times(block: DataFrame, index: Index, basis: np.ndarray) -> np.ndarray:

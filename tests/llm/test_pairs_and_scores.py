@@ -192,6 +192,34 @@ def test_blocks_of_a_large_benchmark(spark, items, monkeypatch):
     assert got == {(i, i) for i in range(len(texts))}
 
 
+def test_recall_of_edited_copies_in_a_large_benchmark(spark):
+    """Copies with a fifth to a third of their words replaced are found as well among 700 passages as among 100."""
+    rng = random.Random(13)
+    words, odds = [f"z{i}" for i in range(20000)], [1 / (i + 3) for i in range(20000)]
+    draw = lambda n: rng.choices(words, odds, k=n)
+    texts = [draw(rng.randint(15, 59)) for _ in range(700)]
+    copies = []
+    for t in texts:
+        gone = set(rng.sample(range(len(t)), int(rng.uniform(0.2, 0.35) * len(t))))
+        copies.append([draw(1)[0] if i in gone else w for i, w in enumerate(t)])
+    share = {}
+    for n in (100, 700):
+        benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts[:n])], "item_id long, text string")
+        built = list(decontaminate.indexes(benchmark))
+        assert sum(len(x.texts) for x in built) == n
+        assert all(np.allclose(np.linalg.norm(x.latent, axis=1), 1, atol=1e-3) for x in built)  # nothing is lost to the rank
+        found = every = 0
+        for i in range(0, n, n // 100):
+            p, c = ([w.encode() for w in x] for x in (texts[i], copies[i]))
+            common = decontaminate.common_words(p, c)
+            if common >= 0.8 * len(p) or common >= 0.6 * len(p) and decontaminate.answered(p, c):
+                every += 1
+                doc = " ".join(draw(90) + copies[i] + draw(90))
+                found += any(i in x.hits(doc) for x in built)
+        share[n] = found / every
+    assert share[700] >= 0.95
+
+
 def test_decontamination_cases(spark, small, empty, items):
     benchmark = items[3]
     assert decontaminate.contaminated(small, benchmark).count() == 0
