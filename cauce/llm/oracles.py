@@ -44,3 +44,13 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m JOIN d USING (r) GROUP BY r, doc_id
 """
+
+ORACLES["op12_pivot_search"] = r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.r <> b.r)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+QUALIFY rank <= 20
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cauce.llm import decontaminate, line_dedup, near_dedup, pii, quality_classifier, quality_rules, secrets, sentencepiece_codec, token_counts, toxicity
+from cauce.llm import decontaminate, line_dedup, near_dedup, periodic_runs, pii, pivot_search, quality_classifier, quality_rules, secrets, sentencepiece_codec, spelling, token_counts, toxicity
 from cauce.llm.common import prepare
 from cauce.llm.oracles import ORACLES  # noqa: F401  (re-exported)
 
@@ -82,3 +82,19 @@ def op9_near_dedup(spark, sf_dir):
 @query
 def op10_secrets(spark, sf_dir):
     return secrets.digest(secrets.secrets(documents(spark, sf_dir)))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.digest(periodic_runs.periodic_runs(documents(spark, sf_dir), alter=periodic_runs.looped))
+
+
+@query
+def op12_pivot_search(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return pivot_search.nearest(vectors, F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(documents(spark, sf_dir))
