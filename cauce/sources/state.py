@@ -85,11 +85,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.option("mergeSchema", "true").parquet(*parts) if parts else None
 
 
-def _write_next(spark: SparkSession, df: DataFrame, path: str, prefix: str) -> int:
+def _write_next(spark: SparkSession, df: DataFrame, path: str, prefix: str, writer: str = "parquet") -> int:
     """Write the next numbered folder.  Its number lies above every folder, committed or not, so what a
     killed write left behind never blocks the table."""
     n = max(_folders(spark, path, prefix), default=0) + 1
-    df.write.mode("errorifexists").parquet(f"{path}/{prefix}{n}")
+    df.write.mode("errorifexists").format(writer).save(f"{path}/{prefix}{n}")
     return n
 
 
