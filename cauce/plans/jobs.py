@@ -22,7 +22,7 @@ from cauce.plans.quality import CUSTOMER, ORDERS, ORDERS_SQL
 from cauce.plans.registry import query
 from cauce.plans.sqlfrag import R
 from cauce.session import scratch_path
-from cauce.sources import sinks, state
+from cauce.sources import periods, sinks, state
 
 # Fixed values of the governed load.
 STATUS_SUCCESS, STATUS_EMPTY, STATUS_GATE, STATUS_FAIL = "SUCCESS", "SUCCESS_EMPTY", "FAILED_QUALITY_GATE", "FAIL"
@@ -100,7 +100,8 @@ def governed_etl(spark, sf: str, base: str, run_id: str | None = None, gate=Z01_
             return run
         load = fact.select("o_orderkey", "o_custkey", "branch", "c_mktsegment", "o_orderstatus", "o_totalprice",
                            "o_orderdate", "order_month", "order_day_of_week", "run_id", "batch_id", "ingested_at")
-        ins, upd = state.upsert(spark, fact_path, load, "o_orderkey")
+        # only the months that this load changes are written anew
+        ins, upd = periods.upsert_periods(spark, fact_path, load, "o_orderkey", periods.month_of("o_orderdate"))
         bad = checked.filter(F.size("reject_reasons") > 0)
         quarantined = state.append_keyed(
             spark, q_path, to_quarantine(bad, "orders", f"batch-{run_id[:8]}", F.col("o_orderkey"), started, run_id),
@@ -178,25 +179,36 @@ def z01b(spark, sf):
                                                                "watermark_before", "watermark_after")
 
 
-def gated_load(spark, base: str, good, bad, key, gate, checks) -> "DataFrame":  # noqa: F821
+def gated_load(spark, base: str, good, bad, key, gate, checks, period=None) -> "DataFrame":  # noqa: F821
     """Gate a batch on its reject rate, upsert its good rows (without a key they are the new snapshot), append its bad ones to the quarantine, and
     check the table after the load.  ``bad``: (record_id, reject_reason); ``checks``: predicates that no
-    loaded row may meet.  A batch that fails the gate loads nothing."""
-    n_good, n_bad = good.count(), bad.count()
+    loaded row may meet.  With ``period`` (a column) the table is kept by period (S15), else by whole versions.
+    Both sides are evaluated once, into staged files, which the counts and the load read.  A batch that fails
+    the gate loads nothing."""
+    good, bad = (_staged(spark, base, df) for df in (good, bad))
+    n_good, n_bad = good.count(), bad.count()      # from the files' footers
     metrics = spark.createDataFrame([(n_good, n_bad / (n_good + n_bad) if n_good + n_bad else 0.0)], "rows long, reject_rate double")
     outcome = Q.gate_outcome(Q.quality_gate(metrics, gate))
     if outcome["status"] != "PASS":
         raise RuntimeError(f"{STATUS_GATE}: {';'.join(outcome['failures'])}")
     if key is None:
         state.publish(spark, good, f"{base}/curated")
-    else:
+    elif period is None:
         state.upsert(spark, f"{base}/curated", good, key)
+    else:
+        periods.upsert_periods(spark, f"{base}/curated", good, key, period)
     state.append_keyed(spark, f"{base}/quarantine", bad, ["record_id"])
     table = state.read_table(spark, f"{base}/curated")
     Q.assert_no_violations(Q.violation_counts(table, checks))
     return table
 
 
+def _staged(spark, base: str, df):
+    path = f"{base}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ------------------------------------------------------------------- Z02
 PRICE_GATE = {"reject_rate": ("max", 0.05)}
 
@@ -213,7 +225,8 @@ def load_prices(spark, base: str, lines):
     prices = RL.assert_unique(latest_unit_price(good), "p_partkey")    # V18 guard before the join
     gated_load(spark, base, prices, bad.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("record_id"), F.lit("quantity_invalid").alias("reject_reason")),
-        "p_partkey", PRICE_GATE, {"no_part": F.col("p_partkey").isNull(), "no_date": F.col("price_date").isNull()})
+        "p_partkey", PRICE_GATE, {"no_part": F.col("p_partkey").isNull(), "no_date": F.col("price_date").isNull()},
+        period=periods.month_of("price_date"))
     state.write_watermark(spark, f"{base}/mark", upper["m"])
 
 

@@ -12,7 +12,7 @@ from cauce.plans.facts import t
 from cauce.plans.quality import ORDERS, ORDERS_SQL, valid_customers
 from cauce.plans.registry import query
 from cauce.session import scratch_path
-from cauce.sources import state
+from cauce.sources import periods, state
 from cauce.streaming.incremental import dedupe_stream, file_stream, incremental_ingest, run_to_parquet
 
 
@@ -24,10 +24,10 @@ def _run_dir(spark, name):
 X01_GATE = {"reject_rate": ("max", 0.9)}
 
 
-def _add_files(frames, folder: str) -> None:
-    """Append one file a frame, in order (a file source takes files by their time)."""
-    for df in frames:
-        df.coalesce(1).write.mode("append").parquet(folder)
+def _arrive(df, folder: str, take) -> None:
+    """One added batch of as many files as it has parts, which the next run takes whole."""
+    df.write.mode("append").parquet(folder)
+    take()
 
 
 @query("x01_incremental_ingest", sql=f"""
@@ -35,8 +35,8 @@ WITH {ORDERS_SQL}
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM ord_chk WHERE reject_reason = ''
 """)
 def x01(spark, sf):
-    """Four files, one a batch; the stream ends after two, is restarted on its checkpoint with the
-    rest, and the last file repeats rows that are already loaded."""
+    """Four batches of files, one a run: the stream ends after each and is restarted on its checkpoint; the
+    last batch repeats rows that are already loaded."""
     base = _run_dir(spark, "x01")
     orders = t(spark, sf, "orders")
     parents = valid_customers(spark, sf).select("c_custkey")
@@ -55,26 +55,24 @@ def x01(spark, sf):
                 F.col("o_orderkey").cast("string").alias("record_id"), reason.alias("reject_reason")),
                 ["source", "record_id"])
             if passed:
-                state.upsert(spark, target, checked.filter(ok).select(
-                    "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate"), "o_orderkey")
+                periods.upsert_periods(spark, target, checked.filter(ok).select(
+                    "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate"), "o_orderkey",
+                    periods.month_of("o_orderdate"))
         finally:
             checked.unpersist()
 
     def ingest():
-        incremental_ingest(file_stream(spark, folder, orders.schema, max_files_per_trigger=1), handle,
-                           f"{base}/_checkpoint")
+        incremental_ingest(file_stream(spark, folder, orders.schema), handle, f"{base}/_checkpoint")
 
     part = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
-    _add_files([orders.filter(part == 0), orders.filter(part == 1)], folder)
-    ingest()
-    _add_files([orders.filter(part == 2), orders.filter(part == 1)], folder)
-    ingest()
+    for k in (0, 1, 2, 1):
+        _arrive(orders.filter(part == k), folder, ingest)
     return state.read_table(spark, target).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
 
 
 @query("x02_stream_dedupe", sql="SELECT event_id, user_id, event_type FROM events")
 def x02(spark, sf):
-    """Events in time order over three files, then the middle one again.  Copies within the delay are
+    """Events in time order over three runs, then the middle ones again.  Copies within the delay are
     known, older ones are late; either way each event comes out once and state is dropped behind the
     watermark."""
     base = _run_dir(spark, "x02")
@@ -82,10 +80,14 @@ def x02(spark, sf):
     lo, mid, hi = events.agg(F.percentile_approx(F.unix_micros("ts"), [0.0, 0.33, 0.66]).alias("p")).first()["p"]
     at = F.unix_micros("ts")
     files = [events.filter(at < mid), events.filter((at >= mid) & (at < hi)), events.filter(at >= hi)]
-    # some events come twice in one file
+    # some events come twice in one batch
     files = [f.unionByName(f.filter(F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0)) for f in files]
-    _add_files([*files, files[1]], f"{base}/incoming")
-    s = dedupe_stream(file_stream(spark, f"{base}/incoming", events.schema, max_files_per_trigger=1), ["event_id"], "ts",
-                      "1 hour")
-    run_to_parquet(s.select("event_id", "user_id", "event_type", "ts"), f"{base}/out", f"{base}/_checkpoint")
+    folder = f"{base}/incoming"
+
+    def dedupe():
+        s = dedupe_stream(file_stream(spark, folder, events.schema), ["event_id"], "ts", "1 hour")
+        run_to_parquet(s.select("event_id", "user_id", "event_type", "ts"), f"{base}/out", f"{base}/_checkpoint")
+
+    for batch in (*files, files[1]):
+        _arrive(batch, folder, dedupe)
     return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")

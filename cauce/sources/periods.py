@@ -3,7 +3,7 @@
 Layout below one folder::
 
     data/load=<n>/_period=<p>/...   rows of period p as load n wrote them
-    manifest/v=<m>/                 one JSON row a live period: (period, load)
+    manifest/v=<m>/                 one JSON row a live period: (period, load), with the table's columns
 
 A load writes its periods with one partitioned Spark write and then a new
 manifest.  A manifest counts once its ``_SUCCESS`` marker exists, and it is the
@@ -23,10 +23,12 @@ through the driver.  Null periods are a period of their own.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cauce.session import scratch_path
 from cauce.sources import fs
@@ -42,13 +44,20 @@ def month_of(col) -> Column:
     return F.date_format(col, "yyyy-MM")
 
 
-def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict[str, int]:
-    """period -> load of the newest committed manifest (or of one version)."""
-    v = version or current_manifest(spark, path)
-    if v is None:
-        return {}
-    rows = spark.read.schema("period string, load int").json(f"{path}/manifest/v={v}").collect()
-    return {r["period"]: r["load"] for r in rows}
+class Manifest(dict):
+    """period -> load, and the columns of the table's files."""
+
+    schema: T.StructType | None = None
+
+
+def manifest(spark: SparkSession, path: str, version: int | None = None) -> Manifest:
+    """The newest committed manifest (or one version of it); empty if there is none."""
+    out, v = Manifest(), version or current_manifest(spark, path)
+    if v is not None:
+        for r in spark.read.schema("period string, load int, columns string").json(f"{path}/manifest/v={v}").collect():
+            out[r["period"]] = r["load"]
+            out.schema = out.schema or T.StructType.fromJson(json.loads(r["columns"]))
+    return out
 
 
 def current_manifest(spark: SparkSession, path: str) -> int | None:
@@ -56,22 +65,18 @@ def current_manifest(spark: SparkSession, path: str) -> int | None:
     return next((v for v in reversed(_folders(spark, base)) if _committed(spark, base, v)), None)
 
 
-def _read(spark: SparkSession, path: str, live: dict[str, int]) -> DataFrame | None:
-    """Rows of the given periods with ``_period`` and ``_row``."""
-    if not live:
+def _read(spark: SparkSession, path: str, live: Manifest, only=None) -> DataFrame | None:
+    """Rows of the live periods (or of some) with ``_period`` and ``_row``.  No footer is read for the columns."""
+    folders = [f"{path}/data/load={n}/{PERIOD}={p}" for p, n in sorted(live.items()) if only is None or p in only]
+    if not folders:
         return None
-    # a period's folder is named by its load, so loads may differ in their columns
-    folders = [f"{path}/data/load={n}/{PERIOD}={p}" for p, n in sorted(live.items())]
-    return spark.read.option("basePath", f"{path}/data").option("mergeSchema", "true").parquet(*folders) \
-        .drop("load").withColumn(PERIOD, F.col(PERIOD).cast("string"))
+    schema = T.StructType([*live.schema.fields, T.StructField(PERIOD, T.StringType())])
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders).select(*schema.names)
 
 
 def read_periods(spark: SparkSession, path: str, periods=None) -> DataFrame | None:
     """The committed table, or only some periods of it (other folders are not even listed)."""
-    live = manifest(spark, path)
-    if periods is not None:
-        live = {p: n for p, n in live.items() if p in set(periods)}
-    df = _read(spark, path, live)
+    df = _read(spark, path, manifest(spark, path), periods)
     return None if df is None else df.drop(PERIOD, ROW)
 
 
@@ -94,9 +99,9 @@ def _write_data(spark: SparkSession, df: DataFrame, path: str) -> tuple[int, lis
     return n, [d[len(PERIOD) + 1:] for d in fs.list_dirs(spark, folder) if d.startswith(f"{PERIOD}=")]
 
 
-def _publish(spark: SparkSession, path: str, live: dict[str, int]) -> None:
-    base = f"{path}/manifest"
-    rows = spark.createDataFrame(sorted(live.items()), "period string, load int")
+def _publish(spark: SparkSession, path: str, live: Manifest) -> None:
+    base, columns = f"{path}/manifest", live.schema.json()
+    rows = spark.createDataFrame([(p, n, columns) for p, n in sorted(live.items())], "period string, load int, columns string")
     _write_next(spark, rows.coalesce(1), base, "v=", writer="json")
     versions = [v for v in _folders(spark, base) if _committed(spark, base, v)]
     kept = versions[-KEEP_MANIFESTS:]
@@ -141,7 +146,7 @@ def upsert_periods(spark: SparkSession, path: str, updates: DataFrame, key, peri
     touched = {r[0] for r in changed.select(F.explode(F.array_compact(F.array(PERIOD, "_was")))).distinct().collect()}
     if touched:
         new = staged.filter(F.col(PERIOD).isin(*touched)).drop("_was", "_stored", "_known")
-        old = _read(spark, path, {p: n for p, n in live.items() if p in touched})
+        old = _read(spark, path, live, touched)
         if old is not None:
             gone = staged.select(*keys)
             cond = old[keys[0]].eqNullSafe(gone[keys[0]])
@@ -149,18 +154,30 @@ def upsert_periods(spark: SparkSession, path: str, updates: DataFrame, key, peri
                 cond = cond & old[k].eqNullSafe(gone[k])
             new = old.join(gone, cond, "left_anti").unionByName(new, allowMissingColumns=True)
         n, written = _write_data(spark, new, path)
-        _publish(spark, path, {p: m for p, m in live.items() if p not in touched} | {p: n for p in written})
+        after = _with_schema({p: m for p, m in live.items() if p not in touched} | {p: n for p in written}, live.schema, new.schema)
+        _publish(spark, path, after)
     fs.delete(spark, staged_path)
     return int(seen["all"] - seen["known"]), int(seen["known"])
 
 
+def _with_schema(live: dict, *schemas: T.StructType | None) -> Manifest:
+    out, fields = Manifest(live), {}
+    for schema in schemas:
+        for f in schema.fields if schema is not None else []:
+            if f.name != PERIOD:
+                fields.setdefault(f.name, T.StructField(f.name, f.dataType))
+    out.schema = T.StructType(list(fields.values()))
+    return out
+
+
 def _first_load(spark: SparkSession, path: str, tagged: DataFrame, keys: list) -> int:
     n, written = _write_data(spark, tagged, path)
     if not written:
         return 0
-    per_key = _read(spark, path, {p: n for p in written}).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    live = _with_schema({p: n for p in written}, tagged.schema)
+    per_key = _read(spark, path, live).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     seen = per_key.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("all")).first()
     if seen["most"] > 1:
         raise ValueError("updates are not unique on the key")
-    _publish(spark, path, {p: n for p in written})
+    _publish(spark, path, live)
     return int(seen["all"])

@@ -77,10 +77,13 @@ def current_version(spark: SparkSession, path: str) -> int | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest committed version, or all committed parts of an append-only table."""
+    """The newest committed version, a table of periods, or all committed parts of an append-only table."""
     v = current_version(spark, path)
     if v is not None:
         return spark.read.parquet(f"{path}/v={v}")
+    if fs.exists(spark, f"{path}/manifest"):
+        from cauce.sources.periods import read_periods
+        return read_periods(spark, path)
     parts = [f"{path}/part={p}" for p in _folders(spark, path, "part=") if _committed(spark, path, p, "part=")]
     return spark.read.option("mergeSchema", "true").parquet(*parts) if parts else None
 

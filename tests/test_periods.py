@@ -95,7 +95,7 @@ def test_a_killed_publish_leaves_the_old_table(spark, three_months, monkeypatch)
     # a manifest without its marker doesn't count either, and does not block the next load
     half = pathlib.Path(path.removeprefix("file:")) / "manifest" / f"v={version + 1}"
     half.mkdir()
-    (half / "part-0.json").write_text('{"period":"p2024-01","load":99}')
+    (half / "part-0.json").write_text('{"period":"p2024-01","load":99,"columns":"{}"}')
     assert content(spark, path) == want
     assert load(spark, path, rows(spark, (1, 2, 2, -1.0, None))) == (0, 1)
     assert (1, 2, -1.0, None) in content(spark, path)
