@@ -62,17 +62,70 @@ def absence_census(df: DataFrame, cols, marker: str = "__NULO__") -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def order_statistics(df: DataFrame, value: str, probs, group_cols=()) -> DataFrame:
+    """``group_cols``, ``q``: the exact quantiles of a column a group, by distributed selection.
+
+    Rows are first reduced to a histogram (value, count), with map-side
+    combining, so a value that a third of the rows share is one row.  The
+    histogram is range-partitioned by (group, value) and gets running totals
+    stitched over the partitions, so no task holds all values, not even of one
+    group.  A level p of a group of n values then needs two rows, those whose
+    totals cover the ranks below and above ``p * (n - 1)``; between them it is
+    interpolated as pandas and ``quantile_cont`` do.  Nulls and NaN don't
+    count; a group without values gives nulls.
+    """
+    from cauce.operators.sequential import running_totals
+    groups = list(group_cols)
+    keys = [f"_g{i}" for i in range(len(groups))]
+    named = df.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col(value).cast("double").alias("_v"))
+    present = F.col("_v").isNotNull() & ~F.isnan("_v")
+    hist = named.filter(present).groupBy(*keys, "_v").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    totals = running_totals(hist, [*keys, "_v"], ["_n"])
+    below = F.col("cum__n") - F.col("_n")
+    sizes = totals.groupBy(*keys).agg(F.min(below).alias("_start"), F.sum("_n").alias("_size"))
+    if keys:
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
+        rows = totals.alias("t").join(sizes.alias("s"), on).select("t.*", "s._start", "s._size")
+    else:
+        # one row: a scalar subquery, no join of everything with one key
+        one = sizes.select(F.struct("_start", "_size").alias("s")).scalar()
+        rows = totals.withColumns({"_start": one["_start"], "_size": one["_size"]})
+    lo, hi = F.col("cum__n") - F.col("_n") - F.col("_start"), F.col("cum__n") - F.col("_start")   # ranks lo <= r < hi
+    picks = []
+    for p in probs:
+        h = F.lit(float(p)) * (F.col("_size") - 1)
+        for r in (F.floor(h), F.ceil(h)):
+            picks.append(F.max(F.when((lo <= r) & (r < hi), F.col("_v"))))
+    agg = rows.groupBy(*keys).agg(F.max("_size").alias("_size"), F.array(*picks).alias("_x"))
+    level = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("_size") - 1)
+        x, y = F.col("_x")[2 * i], F.col("_x")[2 * i + 1]
+        level.append(x + (h - F.floor(h)) * (y - x))
+    out = agg.select(*keys, F.array(*level).alias("q"))
+    if keys:
+        # groups whose values are all null
+        every = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(f"e.{k}").eqNullSafe(F.col(f"o.{k}"))
+        out = every.alias("e").join(out.alias("o"), on, "left").select(*[f"e.{k}" for k in keys], "o.q")
+    return out.select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], "q")
+
+
 def quantiles(df: DataFrame, col, probs=(0.25, 0.5, 0.75, 0.9), group_cols=(),
               exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Quantiles with linear interpolation (pandas/DuckDB ``quantile_cont``).
 
-    ``exact=True`` uses ``percentile`` whose state is a value->count map: fine
-    for bounded domains (quantities, discounts, scores).  For high-cardinality
-    measures at scale pass ``exact=False`` (``percentile_approx``).
+    Exact ones by :func:`order_statistics`; ``exact=False`` takes ``percentile_approx``.
     """
-    f = (F.percentile(_c(col), list(probs)) if exact
-         else F.percentile_approx(_c(col), list(probs), accuracy))
-    agg = df.groupBy(*group_cols).agg(f.alias("_q")) if group_cols else df.agg(f.alias("_q"))
+    if exact:
+        agg = order_statistics(df.withColumn("_value", _c(col)), "_value", probs, group_cols).withColumnRenamed("q", "_q")
+    else:
+        f = F.percentile_approx(_c(col), list(probs), accuracy).alias("_q")
+        agg = df.groupBy(*group_cols).agg(f) if group_cols else df.agg(f)
     return agg.select(*group_cols, *[F.col("_q")[i].alias(f"p{int(round(p * 100))}")
                                      for i, p in enumerate(probs)])
 

@@ -64,7 +64,8 @@ def impute(df: DataFrame, col: str, strategy: str = "mean", name: str | None = N
     if strategy == "mean":
         v = df.agg(F.avg(col)).scalar()
     elif strategy == "median":
-        v = df.agg(F.percentile(col, 0.5)).scalar()
+        from cauce.operators.aggregates import quantiles
+        v = quantiles(df, col, [0.5]).scalar()
     elif strategy == "mode":
         g = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
         v = g.agg(F.min_by(col, F.struct(-F.col("_n"), F.col(col)))).scalar()
@@ -167,23 +168,11 @@ def knn_predict(spark, train: DataFrame, test: DataFrame, id_col: str, vec_col:
                 k: int = 5) -> DataFrame:
     """Inverse-distance weighted vote of the k nearest training rows (Euclidean).
 
-    Distances come from the exact top-k operator on ``-||x - y||²`` expressed as a
-    dot product over augmented vectors ``[x, 1, |x|²]·[2y, -|y|², -1]``.
+    Neighbours come from the exact cell index (:mod:`cauce.operators.dense`), whose score is ``-||x - y||²``.
     """
-    from cauce.operators.retrieval import topk_dense
+    from cauce.operators.dense import nearest
 
-    def aug_train(v):
-        sq = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-        return F.concat(F.transform(v, lambda x: x * 2.0), F.array(-sq, F.lit(-1.0)))
-
-    def aug_query(v):
-        sq = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-        return F.concat(v, F.array(F.lit(1.0), sq))
-
-    dv = lambda c: F.transform(c, lambda x: x.cast("double"))
-    items = train.select(F.col(id_col).alias("tid"), aug_train(dv(F.col(vec_col))).alias("v"))
-    qs = test.select(F.col(id_col).alias("qid"), aug_query(dv(F.col(vec_col))).alias("v"))
-    nn = topk_dense(spark, items, "tid", "v", qs, "qid", "v", k)
+    nn = nearest(spark, train, id_col, vec_col, test, id_col, vec_col, k, metric="euclidean")
     lab = train.select(F.col(id_col).alias("item_id"), F.col(label_col).alias("_lab"))
     votes = nn.join(lab, "item_id").withColumn("_w", 1.0 / (F.sqrt(F.greatest(-F.col("score"), F.lit(0.0))) + 1e-12))
     per = votes.groupBy("qid", "_lab").agg(F.sum("_w").alias("_s"))

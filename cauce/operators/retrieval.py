@@ -1,218 +1,28 @@
-"""Retrieval operators (J14, T13-T18, M21 building blocks).
+"""Retrieval operators.
 
-Exact top-k without all pairs
------------------------------
-Scoring every (query, item) pair and ranking is the reference's semantics.
-Here the query side is collected in bounded, size-checked chunks and
-broadcast; each task scores its Arrow batches with numpy and emits only the
-best ``k`` items per query and batch.  A final ranking over those candidates
-(at most ``k`` per batch and query) gives the exact global top-k.  Nothing
-proportional to ``queries x items`` is ever materialised or shuffled.
+Dense search (J14, T14, M21) is in :mod:`cauce.operators.dense`, lexical search
+(T13) in :mod:`cauce.operators.inverted`, containment (T08) in
+:mod:`cauce.operators.containment`.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cauce.functions import strings as S
-from cauce.operators.relational import sequence_id, sized_broadcast, top_n_per_group
-
-CANDIDATE_SCHEMA = "qid long, item_id long, score double"
-MAX_QUERIES_PER_CHUNK = 2048
-
-
-def _chunks(queries: DataFrame, qid: str, max_rows: int):
-    """Yield query chunks of at most ``max_rows`` rows (collected: bounded by construction)."""
-    n = queries.limit(max_rows + 1).count()
-    if n <= max_rows:
-        yield queries.collect()
-        return
-    ranked = sequence_id(queries, [qid], "_qrank").persist()
-    total = ranked.agg(F.max("_qrank")).first()[0]
-    for lo in range(1, int(total) + 1, max_rows):
-        yield ranked.filter(F.col("_qrank").between(lo, lo + max_rows - 1)).drop("_qrank").collect()
-    ranked.unpersist()
-
-
-RANK_DIGITS = 9
-
-
-def _topk_rows(scores: np.ndarray, item_ids: np.ndarray, qids, k: int):
-    """Per query column: the k best rows by (score desc, item id asc).
-
-    Scores are rounded to ``RANK_DIGITS`` before ranking so that items with
-    equal exact scores (duplicate texts) tie and fall back to the id order
-    instead of to floating-point summation noise.
-    """
-    out_q, out_i, out_s = [], [], []
-    scores = np.round(scores, RANK_DIGITS)
-    for j, q in enumerate(qids):
-        s = scores[:, j]
-        if len(s) > k:
-            # candidate superset: everything >= the k-th largest score (keeps ties)
-            kth = np.partition(s, len(s) - k)[len(s) - k]
-            idx = np.nonzero(s >= kth)[0]
-        else:
-            idx = np.arange(len(s))
-        order = np.lexsort((item_ids[idx], -s[idx]))[:k]
-        sel = idx[order]
-        out_q.extend([q] * len(sel))
-        out_i.extend(item_ids[sel].tolist())
-        out_s.extend(s[sel].tolist())
-    return pd.DataFrame({"qid": np.array(out_q, dtype="int64"), "item_id": np.array(out_i, dtype="int64"),
-                         "score": np.array(out_s, dtype="float64")})
-
-
-#: Scores (documents x queries) held at once by a task.
-SCORE_CELLS = 1 << 22
-
-
-def _best_of(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows of each query by (score desc, item id asc)."""
-    ordered = found.sort_values(["qid", "score", "item_id"], ascending=[True, False, True], kind="stable")
-    return ordered[ordered.groupby("qid").cumcount() < k]
-
-
-def topk_dense(spark: SparkSession, items: DataFrame, item_id: str, item_vec: str,
-               queries: DataFrame, qid: str, qvec: str, k: int,
-               max_queries: int = MAX_QUERIES_PER_CHUNK) -> DataFrame:
-    """Exact top-k items by dot product for every query vector.
-
-    Returns ``(qid, item_id, score, rank)``.  Pass unit vectors for cosine.
-    """
-    parts = []
-    src = items.select(F.col(item_id).cast("long").alias("_id"), F.col(item_vec).alias("_v"))
-    for rows in _chunks(queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("v")),
-                        "qid", max_queries):
-        if not rows:
-            continue
-        qids = [r["qid"] for r in rows]
-        qmat = np.array([np.asarray(r["v"], dtype="float64") for r in rows]).T  # d x q
-        bq = spark.sparkContext.broadcast((qids, qmat))
-
-        def score(it, bq=bq):
-            qids_, qm = bq.value
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                m = np.vstack(pdf["_v"].map(lambda v: np.asarray(v, dtype="float64")).to_numpy())
-                yield _topk_rows(m @ qm, pdf["_id"].to_numpy(), qids_, k)
-
-        parts.append(src.mapInPandas(score, CANDIDATE_SCHEMA))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    return top_n_per_group(cand, "qid", [F.desc("score"), F.asc("item_id")], k, rank_col="rank")
-
+from cauce.operators import inverted
+from cauce.operators.containment import containment_pairs  # noqa: F401  (T08)
 
 def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k: int,
-                max_queries: int = MAX_QUERIES_PER_CHUNK, max_postings: int = 2_000_000) -> DataFrame:
-    """Exact top-k by sparse dot product of ``(id, term, weight)`` tables.
-
-    Item postings are grouped per item (bounded by the item's size); query
-    postings are collected per chunk after a size check.  Returns
-    ``(qid, item_id, score, rank)``; items sharing no term with a query score 0.
-    """
-    docs = items_w.groupBy(F.col("id").cast("long").alias("_id")).agg(
-        F.collect_list("term").alias("_t"), F.collect_list("weight").alias("_w"))
-    # the query side is small and read several times (size check, chunking, collect)
-    queries_w = queries_w.persist()
-    qids_df = queries_w.select(F.col("id").cast("long").alias("qid")).distinct()
-    def bounded_groups(qids):
-        """Split a chunk until its postings fit ``max_postings`` (exact: every query is kept)."""
-        chunk = queries_w.filter(F.col("id").cast("long").isin(qids))
-        if len(qids) == 1 or chunk.limit(max_postings + 1).count() <= max_postings:
-            return [(qids, chunk)]
-        half = len(qids) // 2
-        return bounded_groups(qids[:half]) + bounded_groups(qids[half:])
-
-    groups = []
-    for rows in _chunks(qids_df, "qid", max_queries):
-        if rows:
-            groups += bounded_groups(sorted(r["qid"] for r in rows))
-    parts = []
-    for qids, chunk in groups:
-        # proven to hold at most max_postings rows (a single query is always taken whole)
-        qpost = chunk.select(F.col("id").cast("long").alias("q"), "term", "weight").collect()
-        # query postings by term: starts[i]..starts[i + 1] are the queries and weights of term i
-        qpos = {q: j for j, q in enumerate(qids)}
-        qpost = sorted((r["term"], qpos[r["q"]], r["weight"]) for r in qpost)
-        vocab, starts = {}, []
-        for i, (term, _, _) in enumerate(qpost):
-            if term not in vocab:
-                vocab[term] = len(vocab)
-                starts.append(i)
-        bq = spark.sparkContext.broadcast((qids, vocab, np.array([*starts, len(qpost)], dtype="int64"),
-                                           np.array([p[1] for p in qpost], dtype="int64"),
-                                           np.array([p[2] for p in qpost], dtype="float64")))
-
-        def score(it, bq=bq):
-            qids_, vocab_, starts_, qs, qw = bq.value
-            nq = len(qids_)
-            best = None
-            for pdf in it:
-                for lo in range(0, len(pdf), max(1, SCORE_CELLS // max(nq, 1))):
-                    part = pdf.iloc[lo:lo + max(1, SCORE_CELLS // max(nq, 1))]
-                    get = vocab_.get
-                    hits = [[(get(t), w) for t, w in zip(ts, ws) if t in vocab_] for ts, ws in zip(part["_t"], part["_w"])]
-                    rows_ = np.repeat(np.arange(len(part)), [len(h) for h in hits])
-                    terms = np.fromiter((t for h in hits for t, _ in h), "int64", len(rows_))
-                    ws = np.fromiter((w for h in hits for _, w in h), "float64", len(rows_))
-                    # each matched term adds its postings to the document's row of scores
-                    size = starts_[terms + 1] - starts_[terms]
-                    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts_[terms], size)
-                    cells = np.repeat(rows_, size) * nq + qs[at]
-                    scores = np.bincount(cells, np.repeat(ws, size) * qw[at], len(part) * nq).reshape(-1, nq)
-                    found = _topk_rows(scores, part["_id"].to_numpy(), qids_, k)
-                    best = found if best is None else _best_of(pd.concat([best, found]), k)
-            if best is not None:
-                yield best
-
-        parts.append(docs.mapInPandas(score, CANDIDATE_SCHEMA))
-    queries_w.unpersist()      # every chunk is collected; the final plan no longer reads it
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    return top_n_per_group(cand, "qid", [F.desc("score"), F.asc("item_id")], k, rank_col="rank")
-
-
-# ------------------------------------------------------------------ relevance
-def containment_pairs(docs: DataFrame, doc_id: str, doc_text: str,
-                      passages: DataFrame, pid: str, ptext: str,
-                      max_short: int = 100_000) -> DataFrame:
-    """Exact ``(passage, doc)`` pairs where the document text contains the passage.
-
-    A passage with three or more whitespace tokens has whole interior tokens
-    that must appear as whole tokens of any containing document.  Each
-    passage is anchored on its rarest interior token; candidates come from an
-    equi-join on that token and are verified with ``contains``.  Passages
-    shorter than three tokens are checked against every document through a
-    size-checked broadcast (they cannot be anchored).
-    """
-    ws = S.PY_WS + "+"
-    p = passages.select(F.col(pid).alias("pid"), F.col(ptext).alias("ptext")) \
-        .withColumn("_tok", F.filter(F.split("ptext", ws), lambda x: x != ""))
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("dtext"))
-    index = S.explode_nonnull(d, F.array_distinct(F.split("dtext", ws)), "token", "doc_id") \
-        .filter(F.col("token") != "")
-    dfreq = index.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    long_p = p.filter(F.size("_tok") >= 3)
-    interior = S.explode_nonnull(long_p, F.slice("_tok", 2, F.size("_tok") - 2), "token", "pid")
-    # token frequencies are vocabulary-sized: never broadcast on an explode-based estimate
-    anchors = interior.join(dfreq.hint("merge"), "token", "left") \
-        .withColumn("df", F.coalesce("df", F.lit(0))) \
-        .groupBy("pid").agg(F.min_by("token", F.struct("df", "token")).alias("token"))
-    cand = index.join(anchors, "token").select("doc_id", "pid").distinct()
-    verified = cand.join(d, "doc_id").join(p.select("pid", "ptext"), "pid") \
-        .filter(F.col("dtext").contains(F.col("ptext"))).select("pid", "doc_id")
-    short = p.filter(F.size("_tok") < 3).select("pid", "ptext")
-    short_b = sized_broadcast(short, max_short)
-    short_hits = d.join(short_b, F.col("dtext").contains(F.col("ptext"))).select("pid", "doc_id")
-    return verified.unionByName(short_hits)
+                max_queries: int | None = None, max_postings: int = inverted.BLOCK) -> DataFrame:
+    """Exact top-k by sparse dot product of ``(id, term, weight)`` tables; ``(qid, item_id, score, rank)``.
+
+    ``max_postings`` is the size of a posting block.  Queries are rows of joins and need no bound:
+    ``max_queries`` is there for earlier callers and changes nothing."""
+    queries = inverted.query_terms(queries_w, unit=False)
+    asked = queries.select("term").distinct().withColumn("asked", F.lit(True))
+    return inverted.search(items_w.join(asked.hint("merge"), "term", "left"), queries, k, block=max_postings, unit=False)
 
 
 # -------------------------------------------------------------------- metrics

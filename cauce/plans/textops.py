@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cauce.functions import numeric as N
 from cauce.functions import strings as S
 from cauce.functions import text as TX
-from cauce.operators import corpus as C
+from cauce.operators import corpus as C, dense, inverted
 from cauce.operators import retrieval as RT
 from cauce.operators.relational import top_n_per_group
 from cauce.plans.facts import t
@@ -252,16 +252,18 @@ def lexical_search(spark, sf, k=3):
 
     Document postings feed both the vocabulary (df) and the weights, so they
     are checkpointed once (shared folder, lineage cut) instead of being
-    re-tokenized per use.
+    re-tokenized per use.  The vocabulary carries which terms are asked for.
     """
     docs = t(spark, sf, "documents")
     post = C.term_counts(docs, "doc_id", "text", ngram_max=2).checkpoint(eager=True)
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = C.fit_idf(post, n)
-    dw = C.tfidf(post, idf)
     qpost = C.term_counts(t(spark, sf, "benchmark"), "item_id", "text", ngram_max=2)
-    qw = C.tfidf(qpost, idf)
-    return RT.topk_sparse(spark, dw, qw, k)
+    queries = inverted.query_terms(C.tfidf(qpost, idf, l2=False))
+    asked = queries.select("term").distinct().withColumn("asked", F.lit(True))
+    weights = post.join(idf.join(asked.hint("merge"), "term", "left").select("term", "idf", "asked").hint("merge"), "term")
+    weights = weights.select("id", "term", (F.col("tf") * F.col("idf")).alias("weight"), "asked")
+    return inverted.search(weights, queries, k, docs.select(F.col("doc_id").alias("item_id")))
 
 
 @query("t13_lexical_search", sql=f"""
@@ -317,7 +319,7 @@ def dense_search(spark, sf, k=5):
     emb = t(spark, sf, "embeddings")
     cen = label_centroids(emb).select(F.col("label").alias("qid"), unit(F.col("centroid")).alias("v"))
     items = emb.select("vec_id", unit(F.col("embedding")).alias("v"))
-    return RT.topk_dense(spark, items, "vec_id", "v", cen, "qid", "v", k)
+    return dense.nearest(spark, items, "vec_id", "v", cen, "qid", "v", k)
 
 
 @query("t14_dense_search", sql=f"""
