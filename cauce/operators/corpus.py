@@ -6,12 +6,15 @@ aggregate, so corpus size only changes the number of tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.functions import strings as S
 from cauce.functions import text as TX
 from cauce.operators.relational import sequence_id
+from cauce.session import scratch_path
 
 # Fixed values of the preparation policy.
 STATE_KEEP, STATE_QUARANTINE, STATE_DUPLICATE = "conservar", "cuarentena", "duplicado"
@@ -173,15 +176,30 @@ def ngram_terms(toks: Column, ngram_max: int) -> Column:
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 1,
                 min_len: int = 2) -> DataFrame:
-    """``(id, term, tf)`` postings (one hash aggregate)."""
+    """``(id, term, tf)`` postings (one hash aggregate).
+
+    Texts are dealt out by id before they are cut into terms: the counts of a
+    document are then complete in its task, and the many postings need no
+    shuffle of their own.
+    """
+    # an explicit number: the terms are many times the texts, so the exchange of the texts must not be coalesced
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_x")).repartition(parts, "id")
     # tokens first, in their own projection: the n-gram expression reads the
     # token column several times and must not re-run the tokenizer each time
-    tok = docs.select(F.col(id_col).alias("id"), S.words(F.col(text_col), min_len=min_len).alias("_w"))
+    tok = dealt.select("id", S.words(F.col("_x"), min_len=min_len).alias("_w"))
     t = tok.select("id", ngram_terms(F.col("_w"), ngram_max).alias("_t"))
     return S.explode_nonnull(t, F.col("_t"), "term", "id").groupBy("id", "term") \
         .agg(F.count(F.lit(1)).alias("tf"))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table in the shared scratch folder: read by column, lineage cut."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fit_idf(postings: DataFrame, n_docs) -> DataFrame:
     """Smoothed idf ``ln((1+n)/(1+df)) + 1`` per term (the fitted vocabulary)."""
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")) \

@@ -1,25 +1,25 @@
 """Lexical search on a distributed inverted index.
 
-Documents are unit TF-IDF vectors.  The index has two sides, both written once:
-
-* forward: one row a document, with its weights of the terms asked for;
-* inverted: the postings of a term in order of falling weight, cut into blocks
-  of at most ``BLOCK`` postings, each with its greatest weight.  Postings are
-  range-partitioned by (term, weight), so a term that nearly every document
-  holds is many blocks made by many tasks and never one row.
-
-A query is answered in two phases.  (1) The first blocks of its ``HEAD`` most
-promising terms give partial scores; weights are not negative, so the k-th best
-of them is a floor for the k-th best score.  (2) Max-score pruning: the terms
-whose greatest contributions together stay below the floor open no new
-document, and of the other terms only those blocks are read that could lift a
-document to the floor.  A document whose bound (seen contributions, greatest
-ones for terms not seen) reaches the floor is scored in full from its forward
-row.  Nothing is collected: queries, blocks and documents meet in joins.
-
-Scores and lengths are sums over sorted values, so that equal texts have equal
-scores to the last digit; ranks are by (score desc, item id asc) of the scores
-as they are.  Documents that share no term with a query score 0.
+Documents are unit TF-IDF vectors.  They are ordered by their length before
+scaling (short texts have few, heavy terms; long ones many light terms), and
+cut into shards of about ``SHARD`` documents of similar length.  The postings
+of a term within a shard are a block with its greatest weight, so a term that
+nearly every document holds is as many blocks as there are shards, and never
+one row or one task.  The blocks' maxima are a table of (shard, term).
+
+A query is answered in two phases.  Its weights times the maxima bound the
+score of any document of a shard.  (1) The query goes to its most promising
+shard, which gives a floor for its k-th score.  (2) It goes to the other shards
+whose bound reaches the floor.  Within a shard terms are taken in the order of
+their greatest contributions, and once those that are left can't lift a
+document that has none of the terms taken to the floor, only documents met so
+far go on (max-score).  Nothing is collected: queries, maxima and shards meet in
+joins, and (query, shard) pairs are dealt as rows.
+
+Scores are added up in the order of the terms and lengths are exact sums, so
+equal texts have equal scores to the last digit; ranks are by (score desc, item
+id asc) of the scores as they are.  Documents that share no term with a query
+score 0.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cauce.operators.relational import top_n_per_group
 from cauce.session import scratch_path
 
-BLOCK, HEAD = 256, 4
+SHARD, SLOT = 4096, 4096
 #: Bounds are compared with a floor lowered by more than sums of doubles can err.
 SLACK = 1 - 1e-9
 
@@ -45,105 +46,147 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ordered_sum(values: Column) -> Column:
-    """Sum of an array in the order of its values: the same for the same values however they came."""
-    return F.aggregate(F.sort_array(values), F.lit(0.0), lambda a, x: a + x)
-
-
-def forward_index(weighted: DataFrame, unit: bool = True) -> DataFrame:
-    """id, postings (term, w) of the asked terms, from (id, term, weight, asked) of all terms; ``unit`` divides by the length."""
-    w = F.col("weight").cast("double")
-    asked = F.collect_list(F.when(F.col("asked"), F.struct("term", w.alias("w")))).alias("postings")
-    rows = weighted.groupBy(F.col("id").cast("long").alias("id"))
-    if not unit:
-        return rows.agg(asked)
-    length = F.sqrt(ordered_sum(F.collect_list(w * w)))
-    rows = rows.agg(length.alias("_n"), asked).withColumn("_n", F.when(F.col("_n") > 0, F.col("_n")).otherwise(F.lit(1.0)))
-    return rows.select("id", F.transform("postings", lambda p: F.struct(p["term"].alias("term"), (p["w"] / F.col("_n")).alias("w"))).alias("postings"))
+def square_sum(w: Column) -> Column:
+    """Sum of squares that is the same for the same values in any order: whole parts and two limbs of 2^-40 are
+    added as integers."""
+    square, limb = w * w, float(1 << 40)
+    whole = F.floor(square)
+    first = F.floor((square - whole) * limb)
+    second = F.floor(((square - whole) * limb - first) * limb)
+    return F.sum(whole) + (F.sum(first) + F.sum(second) / limb) / limb
 
 
 def query_terms(queries_w: DataFrame, unit: bool = True) -> DataFrame:
     """qid, term, qw, written once, from (id, term, weight)."""
     q = queries_w.select(F.col("id").cast("long").alias("qid"), "term", F.col("weight").cast("double").alias("qw"))
     if unit:
-        length = q.groupBy("qid").agg(F.sqrt(ordered_sum(F.collect_list(F.col("qw") * F.col("qw")))).alias("_n"))
+        length = q.groupBy("qid").agg(F.sqrt(square_sum(F.col("qw"))).alias("_n"))
         q = q.join(length, "qid").select("qid", "term", F.when(F.col("_n") > 0, F.col("qw") / F.col("_n")).otherwise(0.0).alias("qw"))
     return _saved(q, "queries")
 
 
-def posting_blocks(forward: DataFrame, size: int = BLOCK) -> DataFrame:
-    """term, top (greatest weight), ids, ws: blocks of postings in order of falling weight."""
-    postings = forward.select("id", F.explode("postings").alias("p")).select(F.col("p.term").alias("term"), F.col("p.w").alias("w"), "id")
-    ordered = postings.repartitionByRange("term", F.desc("w"), "id").sortWithinPartitions("term", F.desc("w"), "id")
-    schema = "term string, top double, ids array<long>, ws array<double>"
+def shards(weighted: DataFrame, unit: bool = True, size: int = SHARD) -> DataFrame:
+    """shard, id, terms, ws of the asked terms, written, from (id, term, weight, asked) of all terms.
 
-    def cut(batches):
-        held = None                      # term and postings of the block that the last batch left open
-        for b in batches:
-            table = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            codes = table.column("term").combine_chunks().dictionary_encode()
-            codes = (codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes).indices.to_numpy()
-            n = len(codes)
-            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-            place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-            cuts = np.flatnonzero(place % size == 0)
-            held = table.slice(int(cuts[-1]))       # its term may go on
-            yield from blocks(table.slice(0, int(cuts[-1])), cuts)
-        if held is not None:
-            yield from blocks(held, np.array([0, held.num_rows]))
-
-    def blocks(table, cuts):
-        if table.num_rows:
-            table = table.combine_chunks()
-            edges, starts = pa.array(cuts.astype(np.int32)), pa.array(cuts[:-1])
-            ws, ids = (table.column(c).combine_chunks() for c in ("w", "id"))
-            yield pa.RecordBatch.from_arrays([table.column("term").combine_chunks().take(starts), ws.take(starts),
-                                              pa.ListArray.from_arrays(edges, ids), pa.ListArray.from_arrays(edges, ws)],
-                                             names=["term", "top", "ids", "ws"])
-
-    return ordered.mapInArrow(cut, schema)
-
-
-def topk(forward: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """``(qid, item_id, score, rank)`` of the k best documents of every query.
+    The weights are written once, terms only where asked for: the lengths need no others.  A shard is a class
+    of lengths (half powers of two) and one of its parts."""
+    rows = _saved(weighted.select(F.col("id").cast("long").alias("id"), F.when(F.col("asked"), F.col("term")).alias("term"),
+                                  F.col("weight").cast("double").alias("w")), "weights")
+    length = rows.groupBy("id").agg(F.sqrt(square_sum(F.col("w"))).alias("_n"), F.count("term").alias("_k")).filter("_k > 0") \
+        .withColumn("_class", F.when(F.col("_n") > 0, F.floor(2 * F.log2("_n"))).otherwise(-10000).cast("int"))
+    length = _saved(length, "lengths")
+    # one row a class: lengths of doubles have about 4000 at most
+    classes = length.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()
+    parts = F.create_map(*[F.lit(v) for c in classes for v in (c["_class"], -(-c["n"] // size))]) if classes else F.create_map(F.lit(0), F.lit(1))
+    part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("_class"))).cast("int")
+    scale = F.when(F.lit(unit) & (F.col("_n") > 0), F.col("_n")).otherwise(F.lit(1.0))
+    asked = rows.filter("term is not null").join(length, "id")
+    per_doc = asked.groupBy("id").agg(F.any_value("_class").alias("_class"), F.any_value(scale).alias("_s"),
+                                      F.collect_list(F.struct("term", "w")).alias("p"))
+    return _saved(per_doc.select(F.concat_ws(":", "_class", part).alias("shard"), "id", F.col("p.term").alias("terms"),
+                                 F.transform("p.w", lambda w: w / F.col("_s")).alias("ws")), "shards")
 
-    ``forward`` is a forward index that holds every term of ``queries`` (qid, term, qw; unique, weights not negative)."""
-    blocks = _saved(posting_blocks(forward, block), "blocks")
-    tops = blocks.groupBy("term").agg(F.max("top").alias("most"))
-    terms = _saved(queries.join(tops, "term").select("qid", "term", "qw", (F.col("qw") * F.col("most")).alias("most")), "query-terms")
-
-    # phase 1: floors from the first blocks of the most promising terms
-    by_promise = Window.partitionBy("qid").orderBy(F.desc("most"), "term")
-    head = terms.withColumn("_r", F.row_number().over(by_promise)).filter(F.col("_r") <= HEAD)
-    firsts = blocks.join(tops, "term").filter(F.col("top") == F.col("most")).drop("most")
-    # a term may have several blocks with its greatest weight; any one of them gives partial scores
-    firsts = firsts.groupBy("term").agg(F.min_by(F.struct("ids", "ws"), F.element_at("ids", 1)).alias("b")).select("term", "b.*")
-    partial = _contributions(head.join(firsts, "term")).groupBy("qid", "item_id").agg(F.sum("part").alias("score"))
-    best = top_n_per_group(partial, "qid", [F.desc("score"), F.asc("item_id")], k)
-    floors = best.groupBy("qid").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor"))
 
-    # phase 2: essential terms, then their blocks that can matter, then bounds of the documents in them
-    total = F.sum("most").over(Window.partitionBy("qid"))
-    upto = F.sum("most").over(Window.partitionBy("qid").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bounded = terms.withColumn("total", total).withColumn("upto", upto).join(floors, "qid", "left") \
-        .withColumn("floor", F.coalesce("floor", F.lit(0.0)) * SLACK)
-    essential = bounded.filter(F.col("upto") >= F.col("floor"))
-    opened = essential.join(blocks, "term").filter(F.col("total") - F.col("most") + F.col("qw") * F.col("top") >= F.col("floor"))
-    seen = _contributions(opened, "most", "total", "floor")
-    candidates = seen.groupBy("qid", "item_id").agg((F.sum(F.col("part") - F.col("most")) + F.max("total")).alias("_b"), F.max("floor").alias("_f")) \
-        .filter(F.col("_b") >= F.col("_f") - 1e-12).select("qid", "item_id")
+CANDIDATES = "qid long, item_id long, score double"
 
-    # full scores of the candidates, each a sum over sorted contributions
-    rows = candidates.join(forward, candidates["item_id"] == forward["id"]).select("qid", "item_id", F.explode("postings").alias("p"))
-    parts = rows.select("qid", "item_id", F.col("p.term").alias("term"), F.col("p.w").alias("w")).join(queries, ["qid", "term"])
-    scored = parts.groupBy("qid", "item_id").agg(ordered_sum(F.collect_list(F.col("w") * F.col("qw"))).alias("score"))
-    return top_n_per_group(scored, "qid", [F.desc("score"), F.asc("item_id")], k, rank_col="rank").select("qid", "item_id", "score", "rank")
 
+def topk(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """``(qid, item_id, score, rank)`` of the k best documents of every query.
 
-def _contributions(rows: DataFrame, *keep) -> DataFrame:
-    """qid, item_id, part (query weight times document weight) of every posting in the rows' blocks."""
-    pairs = rows.select("qid", "qw", *keep, F.explode(F.arrays_zip("ids", "ws")).alias("p"))
-    return pairs.select("qid", *keep, F.col("p.ids").alias("item_id"), (F.col("p.ws") * F.col("qw")).alias("part"))
+    ``index`` (of :func:`shards`) holds every term of ``queries`` (qid, term, qw; unique, weights not negative)."""
+    postings = index.select("shard", F.explode(F.arrays_zip("terms", "ws")).alias("p"))
+    tops = _saved(postings.groupBy("shard", F.col("p.terms").alias("term")).agg(F.max("p.ws").alias("most")), "maxima")
+    bounds = _saved(queries.join(tops, "term").groupBy("qid", "shard").agg(F.sum(F.col("qw") * F.col("most")).alias("bound")), "bounds")
+    vectors = queries.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("term", "qw"))).alias("q")) \
+        .select("qid", F.col("q.term").alias("terms"), F.col("q.qw").alias("ws"))
+    vectors = _saved(vectors, "vectors")
+    slots = max(1, -(-vectors.count() // SLOT))
+    first = bounds.groupBy("qid").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard"))
+    first = _saved(first, "first-shards")
+    found = _saved(_score(index, first.join(vectors, "qid").withColumn("floor", F.lit(0.0)), k, slots), "first-found")
+    best = top_n_per_group(found, "qid", [F.desc("score"), F.asc("item_id")], k)
+    floors = best.groupBy("qid").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor"))
+    others = bounds.join(first, ["qid", "shard"], "left_anti").join(floors, "qid", "left") \
+        .withColumn("floor", F.coalesce("floor", F.lit(0.0))).filter(F.col("bound") >= F.col("floor") * SLACK)
+    found = found.unionByName(_score(index, others.select("qid", "shard", "floor").join(vectors, "qid"), k, slots))
+    return top_n_per_group(found, "qid", [F.desc("score"), F.asc("item_id")], k, rank_col="rank").select("qid", "item_id", "score", "rank")
+
+
+def _score(index: DataFrame, dealt: DataFrame, k: int, slots: int) -> DataFrame:
+    """Candidates of ``dealt`` (qid, shard, floor, terms, ws): the k best of a shard at the floor or above, score over 0."""
+    items = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), F.lit(0).alias("kind"), "id",
+                         F.lit(0.0).alias("floor"), "terms", "ws")
+    asking = dealt.select("shard", F.pmod(F.xxhash64("qid"), F.lit(slots)).cast("int").alias("slot"), F.lit(1).alias("kind"),
+                          F.col("qid").alias("id"), "floor", "terms", "ws")
+    rows = items.unionByName(asking).repartition("shard", "slot").sortWithinPartitions("shard", "slot", "kind")
+
+    def run(batches):
+        cell, held, shard = None, [], None
+        for b in batches:
+            place = list(zip(b.column("shard").to_pylist(), b.column("slot").to_pylist(), b.column("kind").to_pylist()))
+            cuts = [0, *(i for i in range(1, len(place)) if place[i] != place[i - 1]), len(place)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if cell != place[lo][:2]:
+                    cell, held, shard = place[lo][:2], [], None
+                part = b.slice(lo, hi - lo)
+                if place[lo][2] == 0:
+                    held.append(part)
+                    continue
+                if shard is None and held:
+                    shard, held = Shard(pa.Table.from_batches(held)), []
+                if shard is not None:
+                    found = [shard.best(t, w, f, k) for t, w, f in zip(part.column("terms").to_pylist(), part.column("ws").to_pylist(),
+                                                                       part.column("floor").to_pylist())]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(part.column("id").to_numpy(), [len(i) for i, _ in found])),
+                        pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))],
+                        names=["qid", "item_id", "score"])
+
+    return rows.mapInArrow(run, T._parse_datatype_string(CANDIDATES))
+
+
+class Shard:
+    """Posting blocks of one shard: for every term the documents' places and weights, and the greatest weight."""
+
+    def __init__(self, docs: pa.Table):
+        docs = docs.combine_chunks()
+        self.ids = docs.column("id").to_numpy()
+        terms, ws = (docs.column(c).combine_chunks() for c in ("terms", "ws"))
+        doc = np.repeat(np.arange(len(self.ids)), np.diff(terms.offsets.to_numpy()))
+        named = terms.flatten().dictionary_encode()
+        code = named.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        self.docs, self.ws = doc[order], ws.flatten().to_numpy()[order]
+        self.at = {t: i for i, t in enumerate(named.dictionary.to_pylist())}
+        self.edges = np.searchsorted(code[order], np.arange(len(self.at) + 1))
+        self.tops = np.maximum.reduceat(self.ws, self.edges[:-1]) if len(self.at) else np.empty(0)
+
+    def best(self, terms: list, weights: list, floor: float, k: int):
+        """(ids, scores) of the k best at ``floor`` or above, by (score desc, id asc)."""
+        known = [(self.at[t], w) for t, w in zip(terms, weights) if t in self.at]
+        if not known:
+            return self.ids[:0], np.empty(0)
+        code, w = np.array([c for c, _ in known]), np.array([x for _, x in known])
+        most = w * self.tops[code]
+        order = np.argsort(-most, kind="stable")
+        left = most.sum() - np.cumsum(most[order])
+        # terms after the first one that leaves less than the floor open no document
+        opening = order[:1 + int(np.argmax(left < floor * SLACK))] if left[-1] < floor * SLACK else order
+        met = np.zeros(len(self.ids), bool)
+        for c in code[opening]:
+            met[self.docs[self.edges[c]:self.edges[c + 1]]] = True
+        # contributions in the order of the terms
+        at = np.concatenate([np.arange(self.edges[c], self.edges[c + 1]) for c in code])
+        size = self.edges[code + 1] - self.edges[code]
+        score = np.bincount(self.docs[at], self.ws[at] * np.repeat(w, size), len(self.ids))
+        some = np.flatnonzero(met & (score >= floor) & (score > 0))
+        if len(some) > k:
+            kth = np.partition(score[some], len(some) - k)[len(some) - k]
+            some = some[score[some] >= kth]
+        some = some[np.lexsort((self.ids[some], -score[some]))[:k]]
+        return self.ids[some], score[some]
 
 
 def with_zero_scores(found: DataFrame, item_ids: DataFrame, query_ids: DataFrame, k: int) -> DataFrame:
@@ -160,13 +203,12 @@ def with_zero_scores(found: DataFrame, item_ids: DataFrame, query_ids: DataFrame
     return found.unionByName(more)
 
 
-def search(weighted: DataFrame, queries: DataFrame, k: int, item_ids: DataFrame | None = None, block: int = BLOCK,
-           unit: bool = True) -> DataFrame:
+def search(weighted: DataFrame, queries: DataFrame, k: int, item_ids: DataFrame | None = None, unit: bool = True,
+           size: int = SHARD) -> DataFrame:
     """Exact top-k of documents (id, term, weight, asked) for ``queries`` (of :func:`query_terms`).
 
     ``asked`` marks terms that some query has.  ``item_ids`` (item_id) names all documents, also those without any
     term; by default those of ``weighted``."""
-    forward = _saved(forward_index(weighted, unit), "forward")
-    found = _saved(topk(forward, queries, k, block), "found")
-    ids = forward.select(F.col("id").alias("item_id")) if item_ids is None else item_ids
+    found = _saved(topk(shards(weighted, unit, size), queries, k), "found")
+    ids = weighted.select(F.col("id").alias("item_id")).distinct() if item_ids is None else item_ids
     return with_zero_scores(found, ids.select(F.col("item_id").cast("long").alias("item_id")), queries.select("qid").distinct(), k)

@@ -15,14 +15,14 @@ from cauce.operators import inverted
 from cauce.operators.containment import containment_pairs  # noqa: F401  (T08)
 
 def topk_sparse(spark: SparkSession, items_w: DataFrame, queries_w: DataFrame, k: int,
-                max_queries: int | None = None, max_postings: int = inverted.BLOCK) -> DataFrame:
+                max_queries: int | None = None, max_postings: int = inverted.SHARD) -> DataFrame:
     """Exact top-k by sparse dot product of ``(id, term, weight)`` tables; ``(qid, item_id, score, rank)``.
 
-    ``max_postings`` is the size of a posting block.  Queries are rows of joins and need no bound:
-    ``max_queries`` is there for earlier callers and changes nothing."""
+    ``max_postings`` bounds the documents of a shard, hence the postings of a block.  Queries are rows of joins
+    and need no bound: ``max_queries`` is there for earlier callers and changes nothing."""
     queries = inverted.query_terms(queries_w, unit=False)
     asked = queries.select("term").distinct().withColumn("asked", F.lit(True))
-    return inverted.search(items_w.join(asked.hint("merge"), "term", "left"), queries, k, block=max_postings, unit=False)
+    return inverted.search(items_w.join(asked, "term", "left"), queries, k, unit=False, size=max_postings)
 
 
 # -------------------------------------------------------------------- metrics

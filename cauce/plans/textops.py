@@ -176,7 +176,8 @@ def t09(spark, sf):
 
 
 def doc_tfidf(spark, sf, ngram_max=1):
-    post = doc_postings(spark, sf, ngram_max)
+    # read by the vocabulary and by the weights
+    post = C.written(doc_postings(spark, sf, ngram_max), "postings")
     n = t(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     idf = C.fit_idf(post, n)
     return C.tfidf(post, idf), idf, post
@@ -251,18 +252,23 @@ def lexical_search(spark, sf, k=3):
     """(1,2)-gram TF-IDF fitted on documents; benchmark items are the queries.
 
     Document postings feed both the vocabulary (df) and the weights, so they
-    are checkpointed once (shared folder, lineage cut) instead of being
-    re-tokenized per use.  The vocabulary carries which terms are asked for.
+    are written once (shared folder, lineage cut) instead of being re-tokenized
+    per use.  Terms are named by 128 bits; their text stays only where some
+    query asks for it, as the others count for frequencies and lengths alone.
     """
     docs = t(spark, sf, "documents")
-    post = C.term_counts(docs, "doc_id", "text", ngram_max=2).checkpoint(eager=True)
+    qpost = C.written(C.term_counts(t(spark, sf, "benchmark"), "item_id", "text", ngram_max=2), "query-postings")
+    asked = C.written(qpost.select("term").distinct().withColumn("asked", F.lit(True)), "asked")
+    post = C.term_counts(docs, "doc_id", "text", ngram_max=2).join(asked, "term", "left")
+    post = C.written(post.select("id", F.xxhash64("term").alias("k1"), F.xxhash64(F.lit(1), "term").alias("k2"), "tf",
+                                 F.when(F.col("asked"), F.col("term")).alias("term")), "postings")
     n = docs.agg(F.count(F.lit(1))).scalar()
-    idf = C.fit_idf(post, n)
-    qpost = C.term_counts(t(spark, sf, "benchmark"), "item_id", "text", ngram_max=2)
-    queries = inverted.query_terms(C.tfidf(qpost, idf, l2=False))
-    asked = queries.select("term").distinct().withColumn("asked", F.lit(True))
-    weights = post.join(idf.join(asked.hint("merge"), "term", "left").select("term", "idf", "asked").hint("merge"), "term")
-    weights = weights.select("id", "term", (F.col("tf") * F.col("idf")).alias("weight"), "asked")
+    named = post.filter("term is not null")
+    queries = inverted.query_terms(C.tfidf(qpost, C.fit_idf(named, n), l2=False))
+    idf = post.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("df"))
+    idf = idf.select("k1", "k2", (F.log((F.lit(1) + n) / (F.lit(1) + F.col("df"))) + 1).alias("idf"))
+    weights = post.join(idf.hint("merge"), ["k1", "k2"]).select(
+        "id", "term", (F.col("tf") * F.col("idf")).alias("weight"), F.col("term").isNotNull().alias("asked"))
     return inverted.search(weights, queries, k, docs.select(F.col("doc_id").alias("item_id")))
 
 
