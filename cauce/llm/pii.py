@@ -39,7 +39,7 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 ADDED = {
-    "email_spoken": (r"[A-Za-z0-9._%+-]+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]+(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z0-9-]+)+", r"[(\[]at[)\]]"),
+    "email_spoken": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++\x20?+(?:\(at\)|\[at\])\x20?+[A-Za-z0-9-]++(?:\x20?+(?:\(dot\)|\[dot\]|\.)\x20?+[A-Za-z0-9-]++)++", r"[(\[]at[)\]]"),
     "phone_local": (r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])", r"[0-9]{3}[\x20.-][0-9]{4}"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]"),
     "account": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cauce.llm.common import prepare, saved
-from cauce.llm.spans import SPANS, found, listed, none, overlaps
+from cauce.llm.spans import SPANS, found, let, listed, none, overlaps
 
 BASE = ("assign", "access", "hex")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -49,17 +49,16 @@ def base_matches(text: Column) -> Column:
 
 def bits(value: Column) -> Column:
     """Shannon entropy of a value's characters, in bits a character."""
-    letters = F.filter(F.split(value, ""), lambda c: c != "")
-    n = F.size(letters)
-    share = lambda c: F.size(F.filter(letters, lambda x: x == c)) / n
-    return F.aggregate(F.array_distinct(letters), F.lit(0.0), lambda a, c: a - share(c) * F.log2(share(c)))
+    letters = F.filter(F.array_distinct(F.split(value, "")), lambda c: c != "")
+    # one pass over the value for each distinct character
+    share = lambda c: (F.length(value) - F.length(F.replace(value, c, F.lit("")))) / F.length(value)
+    return F.aggregate(letters, F.lit(0.0), lambda a, c: let(share(c), lambda x: a - x * F.log2(x)))
 
 
 def random_looking(span: Column) -> Column:
     """Digits and letters mixed (for ``mixed`` of both cases), no filler words, and enough entropy; key blocks always."""
-    head = F.substring(span["value"], 1, 200)  # entropy of a long run settles early; the span itself stays whole
     return (span["kind"] == "block") | ((span["kind"] != "mixed") | span["value"].rlike("[a-z]") & span["value"].rlike("[A-Z]")) & (span["value"].rlike("[0-9]") & span["value"].rlike("[A-Za-z]")
-            & ~span["value"].rlike("(?i)example|sample|dummy|changeme|xxxx|placeholder|your") & (bits(head) >= MIN_BITS))
+            & ~span["value"].rlike("(?i)example|sample|dummy|changeme|xxxx|placeholder|your") & (bits(span["value"]) >= MIN_BITS))
 
 
 def candidates(docs: DataFrame) -> DataFrame:

@@ -90,3 +90,25 @@ def test_long_runs_do_not_stall(spark):
     got = {r.doc_id: r for r in pii.digest(pii.personal_data(docs)).collect()}
     assert got[2].n_email == 1 and got[4].n_ip == 2000 and got[1].n_card == 0
     assert secrets.digest(secrets.secrets(docs)).count() == 4
+
+
+def test_every_pattern_takes_long_texts(spark):
+    """Long texts of the pieces of each pattern: no deep recursion, no long backtracking, all spans."""
+    pieces = ["x (at) y" + ".z" * 100_000, "a" * 150_000 + " b (at) c.d", "b [at] c [dot] d " * 600, "m@n.oo " * 3_000, "(705) 555-6638 " * 600,
+              "123-45-6789 " * 600, "DE12 " + "ABCD " * 40_000, "Dr. Anna Lee " * 600, "+1 705 555 6638 " * 1_200, "4111 1111 1111 1111, " * 900]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(pieces)], "doc_id long, text string, source string").repartition(4)
+    got = {r.doc_id: r for r in pii.candidates(docs).select("doc_id", "base", "cand").collect()}
+    spoken = [(c.start, c.end) for c in got[0].cand if c.kind == "email_spoken"]
+    assert spoken == [(0, len(pieces[0]))] and [c.end for c in got[1].cand] == [len(pieces[1])]
+    assert [c.start for c in got[2].cand] == list(range(0, len(pieces[2]), 17))
+    assert [(s.start, s.end) for s in got[3].base] == [(7 * i, 7 * i + 6) for i in range(3_000)]
+    assert len(got[8].base) == 1_200 and len(got[9].base) == 900
+    assert secrets.digest(secrets.secrets(docs)).count() == len(pieces)
+
+
+def test_entropy_of_the_whole_value(spark):
+    rng = random.Random(3)
+    key = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(300))
+    rows = [(1, "use ghp_" + "A" * 220 + key, "o1"), (2, "use ghp_" + "A" * 230 + "1b", "o2")]
+    out = {r.doc_id: r for r in secrets.digest(secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()}
+    assert out[1].spans == "issued:4:528" and out[2].spans == ""
