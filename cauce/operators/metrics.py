@@ -84,6 +84,35 @@ def auc(points: DataFrame) -> DataFrame:
     return p.agg(F.sum(area).alias("auc"))
 
 
+def roc_points_by_class(df: DataFrame, cls: str, score: str, positive: str) -> DataFrame:
+    """M20 one-vs-rest: ``(class, threshold, fpr, tpr)`` at every distinct score of every class.
+
+    ``df`` has one row an item and class.  All classes share one range-partitioned
+    order on (class, falling score); the running totals restart at class borders
+    by taking off what the earlier classes add up to, inside a partition and
+    across partitions alike.  A class without positives (or negatives) has null rates.
+    """
+    from cauce.operators.sequential import running_totals
+    lv = df.groupBy(F.col(cls).alias("class"), F.col(score).alias("threshold")).agg(
+        F.count_if(F.col(positive)).cast("double").alias("tp"), F.count_if(~F.col(positive)).cast("double").alias("fp"))
+    cum = running_totals(lv.withColumn("_neg", -F.col("threshold")), ["class", "_neg"], ["tp", "fp"])
+    per = cum.groupBy("class").agg(F.sum("tp").alias("_p"), F.sum("fp").alias("_n"),
+                                   F.min(F.col("cum_tp") - F.col("tp")).alias("_tp0"), F.min(F.col("cum_fp") - F.col("fp")).alias("_fp0"))
+    joined = cum.alias("c").join(per.alias("k"), F.col("c.class").eqNullSafe(F.col("k.class")))
+    return joined.select("c.class", "threshold", F.try_divide(F.col("cum_fp") - F.col("_fp0"), F.col("_n")).alias("fpr"),
+                         F.try_divide(F.col("cum_tp") - F.col("_tp0"), F.col("_p")).alias("tpr"))
+
+
+def auc_by_class(points: DataFrame) -> DataFrame:
+    """Trapezoidal area a class; consecutive points are paired in one order on (class, fpr, tpr)."""
+    from cauce.operators.sequential import ordered_lag
+    p = points.select("class", "fpr", "tpr")
+    p = ordered_lag(p, ["class"], ["fpr", "tpr"], "fpr", "fpr_prev")
+    p = ordered_lag(p, ["class"], ["fpr", "tpr"], "tpr", "tpr_prev")
+    area = (F.col("fpr") - F.coalesce("fpr_prev", F.lit(0.0))) * (F.col("tpr") + F.coalesce("tpr_prev", F.lit(0.0))) / 2
+    return p.groupBy("class").agg(F.sum(area).alias("auc"))
+
+
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """MSE, RMSE, MAE and R² in one pass (R² uses the label's own mean)."""
     e = F.col(label) - F.col(pred)

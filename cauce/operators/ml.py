@@ -98,6 +98,17 @@ def standardize(df: DataFrame, cols, population: bool = True, suffix: str = "_z"
     return df.withColumns({c + suffix: (F.col(c) - s[f"m{i}"]) / s[f"s{i}"] for i, c in enumerate(cols)})
 
 
+def scale_of(df: DataFrame, col: str, population: bool = True):
+    """The mean and deviation of a column, as a scalar struct (m, s) for :func:`unscale`."""
+    std = F.stddev_pop if population else F.stddev_samp
+    return df.agg(F.struct(F.avg(col).alias("m"), std(col).alias("s")).alias("s")).scalar()
+
+
+def unscale(z, scale):
+    """Standardized values (such as predictions of a scaled target) in the target's own units."""
+    return z * scale["s"] + scale["m"]
+
+
 DRAW_BLOCK = 100_000
 
 

@@ -192,6 +192,47 @@ def m20b(spark, sf):
     return a.select(F.round("auc", 9).alias("auc"))
 
 
+OVR_SQL = """
+cen AS (SELECT label, list(m ORDER BY pos) AS c FROM (
+  SELECT label, pos, avg(x) AS m FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x,
+    generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY ALL) GROUP BY label),
+s AS (SELECT cen.label AS class, round(list_dot_product(CAST(e.embedding AS DOUBLE[]), cen.c), 6) AS score, e.label = cen.label AS pos
+      FROM cen, embeddings e),
+lv AS (SELECT class, score AS threshold, count(*) FILTER (WHERE pos) AS tp, count(*) FILTER (WHERE NOT pos) AS fp FROM s GROUP BY ALL),
+w AS (SELECT *, sum(tp) OVER (PARTITION BY class ORDER BY threshold DESC) AS ctp, sum(fp) OVER (PARTITION BY class ORDER BY threshold DESC) AS cfp,
+        sum(tp) OVER (PARTITION BY class) AS p, sum(fp) OVER (PARTITION BY class) AS n FROM lv),
+pts AS (SELECT class, threshold, cfp / n AS fpr, ctp / p AS tpr FROM w)"""
+
+
+def class_scores(spark, sf):
+    """One row an item and class: the dot product with the class's mean vector (a handful of classes)."""
+    from cauce.plans.textops import label_centroids
+    emb = t(spark, sf, "embeddings")
+    # one row a label, every item meets each: the labels are a fixed list
+    means = label_centroids(emb).agg(F.collect_list(F.struct("label", "centroid"))).scalar()
+    each = emb.withColumn("_m", F.explode(means)).withColumn("v", F.transform("embedding", lambda x: x.cast("double")))
+    dot = F.aggregate(F.zip_with("v", F.col("_m.centroid"), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    return each.select(F.col("_m.label").alias("class"), F.round(dot, 6).alias("score"), (F.col("label") == F.col("_m.label")).alias("positive"))
+
+
+@query("m20_one_vs_rest_roc", sql=f"""
+WITH {OVR_SQL} SELECT class, threshold, {R('fpr', 9)} AS fpr, {R('tpr', 9)} AS tpr FROM pts
+""")
+def m20c(spark, sf):
+    r = MT.roc_points_by_class(class_scores(spark, sf), "class", "score", "positive")
+    return r.select("class", "threshold", F.round("fpr", 9).alias("fpr"), F.round("tpr", 9).alias("tpr"))
+
+
+@query("m20_one_vs_rest_auc", sql=f"""
+WITH {OVR_SQL},
+l AS (SELECT *, lag(fpr) OVER (PARTITION BY class ORDER BY fpr, tpr) AS pf, lag(tpr) OVER (PARTITION BY class ORDER BY fpr, tpr) AS pt FROM pts)
+SELECT class, {R('sum((fpr - coalesce(pf, 0.0)) * (tpr + coalesce(pt, 0.0)) / 2)', 9)} AS auc FROM l GROUP BY class
+""")
+def m20d(spark, sf):
+    a = MT.auc_by_class(MT.roc_points_by_class(class_scores(spark, sf), "class", "score", "positive"))
+    return a.select("class", F.round("auc", 9).alias("auc"))
+
+
 @query("m29_adjusted_rand", sql=f"""
 WITH c AS (SELECT l_returnflag, l_linestatus, count(*) AS nij FROM lineitem GROUP BY ALL),
 s AS (SELECT sum(nij * (nij - 1) / 2) AS sij, (SELECT sum(a * (a - 1) / 2) FROM (SELECT sum(nij) AS a FROM c GROUP BY l_returnflag)) AS sa,
@@ -314,6 +355,17 @@ def m35(spark, sf):
                     F.round("std", 6).alias("std"))
 
 
+@query("m07_target_inverse", sql=f"""
+SELECT o_orderkey, {R('o_totalprice', 6)} AS back, {R('(o_totalprice - (SELECT avg(o_totalprice) FROM orders)) / (SELECT stddev_pop(o_totalprice) FROM orders)', 9)} AS z
+FROM orders
+""")
+def m07b(spark, sf):
+    """A target scaled for fitting and brought back to its own units."""
+    o = ML.standardize(t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice"])
+    scale = ML.scale_of(t(spark, sf, "orders"), "o_totalprice")
+    return o.select("o_orderkey", F.round(ML.unscale(F.col("o_totalprice_z"), scale), 6).alias("back"), F.round("o_totalprice_z", 9).alias("z"))
+
+
 # ------------------------------------------------------------- model fitting (rows)
 def regression_frame(spark, sf):
     li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount",
@@ -404,6 +456,29 @@ def m15(spark, sf):
     return spark.createDataFrame(rows, "model string, accuracy double, f1 double")
 
 
+@query("m15_gradient_boosting")
+def m15b(spark, sf):
+    """Softmax boosting on the embeddings: training deviance a round, and the held-out accuracy of the whole model."""
+    from cauce.operators.trees import SoftmaxBoosting
+    e = ML.hash_split(t(spark, sf, "embeddings").select("vec_id", "label", "embedding"), "vec_id", (0.8, 0.0))
+    model = SoftmaxBoosting(rounds=5, depth=3, rate=0.5, bins=16).fit(e.filter("split = 'train'"), "vec_id", "embedding", "label")
+    pred = model.predict(e.filter("split <> 'train'").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x")), "x")
+    accuracy = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    return spark.createDataFrame([(i + 1, d, accuracy) for i, d in enumerate(model.deviance)], "round int, deviance double, accuracy double")
+
+
+@query("m13_extra_trees")
+def m13b(spark, sf):
+    """Held-out error of extremely randomised trees on the regression frame."""
+    from cauce.operators.trees import ExtraTrees
+    d = regression_frame(spark, sf).withColumn("x", F.array(*[F.col(c).cast("double") for c in REG_FEATURES]))
+    d = d.select("rid", "split", "x", F.col("l_extendedprice").cast("double").alias("y"))
+    model = ExtraTrees(n_trees=16, depth=8, bins=64).fit(d.filter("split = 'train'"), "rid", "x", "y")
+    path = _registry(spark, "m13")
+    model.predict(d.filter("split <> 'train'").select("rid", "x", "y"), "x").select("y", "prediction").write.parquet(path)
+    return MT.regression_metrics(spark.read.parquet(path), "y", "prediction").select(F.lit("extra_trees").alias("model"), "rmse", "r2")
+
+
 @query("m16_cross_validation")
 def m16(spark, sf):
     from pyspark.ml.classification import LogisticRegression
@@ -505,10 +580,12 @@ def m27(spark, sf):
 
 @query("m27_kmeans_labels")
 def m27b(spark, sf):
-    """Final labels at the elbow sweep's best k."""
+    """Final labels at the k of the best silhouette (no cost curve is needed for it)."""
     from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
     d = embedding_frame(spark, sf)
-    k = m27(spark, sf).filter("best").first()["k"]
+    fits = [(ClusteringEvaluator().evaluate(KMeans(k=k, seed=42, maxIter=20).fit(d).transform(d)), -k) for k in range(2, 11)]
+    k = -max(fits)[1]
     return KMeans(k=k, seed=42, maxIter=20).fit(d).transform(d).select("vec_id", F.col("prediction").alias("cluster"))
 
 
@@ -522,23 +599,70 @@ def m28(spark, sf):
     return p.groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).withColumn("ari_vs_label", ari.scalar())
 
 
+def _registry(spark, name):
+    import uuid
+
+    from cauce.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 @query("m36_leaderboard")
 def m36(spark, sf):
-    from pyspark.sql import Window
-    lb = m13(spark, sf)   # a handful of rows: one per model
-    return lb.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("r2"), "model")))
+    """Several pipelines on the same data, registered with their metrics; the board is read back from the registry."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+    from cauce.sources import models
+    base, d = _registry(spark, "m36"), regression_frame(spark, sf)
+    train, test = d.filter("split = 'train'"), d.filter("split != 'train'")
+    for name, est in (("linear", LinearRegression(labelCol="l_extendedprice", maxIter=50)),
+                      ("decision_tree", DecisionTreeRegressor(labelCol="l_extendedprice", maxDepth=6, seed=42)),
+                      ("random_forest", RandomForestRegressor(labelCol="l_extendedprice", numTrees=20, maxDepth=6, seed=42))):
+        model = Pipeline(stages=[VectorAssembler(inputCols=REG_FEATURES, outputCol="features"), est]).fit(train)
+        pred, ev = model.transform(test), RegressionEvaluator(labelCol="l_extendedprice")
+        got = {m: ev.setMetricName(m).evaluate(pred) for m in ("r2", "rmse")}
+        models.register(spark, base, model, name, got)
+    r2 = models.leaderboard(spark, base, "r2")
+    rmse = models.leaderboard(spark, base, "rmse", smaller_is_better=True).select("version", F.col("value").alias("rmse"))
+    return r2.join(rmse, "version").select("model", "rmse", F.col("value").alias("r2"), "rank")
 
 
 @query("m37_batch_scoring")
 def m37(spark, sf):
+    """A model is fitted and stored once; the batch is scored from the stored version."""
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import LinearRegression
     from pyspark.ml.feature import VectorAssembler
-    d = regression_frame(spark, sf)
+    from cauce.sources import models
+    base, d = _registry(spark, "m37"), regression_frame(spark, sf)
     model = Pipeline(stages=[VectorAssembler(inputCols=REG_FEATURES, outputCol="features"),
                              LinearRegression(labelCol="l_extendedprice", maxIter=50)]).fit(d.filter("split = 'train'"))
-    return model.transform(d).select("l_orderkey", "l_linenumber", "prediction",
-                                     F.lit("linear-v1").alias("model_version"))
+    models.register(spark, base, model, "linear", {})
+    return models.score(spark, base, d, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", "prediction", F.concat_ws("-v", "model", F.col("model_version").cast("string")).alias("model_version"))
+
+
+RULE_SQL = "l_extendedprice * (1 - l_discount)"
+
+
+@query("s22_prediction_log", sql=f"""
+SELECT l_orderkey * 100 + l_linenumber AS rid, {R(RULE_SQL, 6)} AS prediction, 'net_price' AS model, 2 AS model_version,
+  CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 2 END AS batch
+FROM lineitem ORDER BY rid DESC LIMIT 20
+""")
+def s22b(spark, sf):
+    """Two batches scored by a stored version (a rule as a pipeline) and logged; the newest 20 rows of the log."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    from cauce.sources import models
+    base = _registry(spark, "s22")
+    for rule in ("l_extendedprice", RULE_SQL):
+        models.register(spark, base, PipelineModel([SQLTransformer(statement=f"SELECT *, {rule} AS prediction FROM __THIS__")]), "net_price", {})
+    li = t(spark, sf, "lineitem").withColumn("rid", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
+    for batch in ("l_orderkey % 2 = 0", "l_orderkey % 2 <> 0"):
+        models.score(spark, base, li.filter(batch), "rid")
+    return models.newest_predictions(spark, base, "rid", 20).select("rid", F.round("prediction", 6).alias("prediction"), "model", "model_version", "batch")
 
 
 # --------------------------------------------------------------- text models
