@@ -8,6 +8,7 @@ class-balanced weights, deterministic hash splits).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (OneHotEncoder, PolynomialExpansion, StringIndexer, VectorAssembler)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,6 +99,22 @@ def standardize(df: DataFrame, cols, population: bool = True, suffix: str = "_z"
     return df.withColumns({c + suffix: (F.col(c) - s[f"m{i}"]) / s[f"s{i}"] for i, c in enumerate(cols)})
 
 
+class BalancedAccuracy(Evaluator):
+    """The mean recall of the classes that occur, for Spark's own tuning."""
+
+    def __init__(self, label: str, prediction: str = "prediction"):
+        super().__init__()
+        self.label, self.prediction = label, prediction
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        hit = (F.col(self.label).cast("double") == F.col(self.prediction)).cast("double")
+        got = dataset.groupBy(self.label).agg(F.avg(hit).alias("recall")).agg(F.avg("recall")).first()[0]
+        return float(got) if got is not None else 0.0
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
 def scale_of(df: DataFrame, col: str, population: bool = True):
     """The mean and deviation of a column, as a scalar struct (m, s) for :func:`unscale`."""
     std = F.stddev_pop if population else F.stddev_samp

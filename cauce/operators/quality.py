@@ -125,3 +125,12 @@ def join_loss(steps) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def against_expected(census: DataFrame, expected: DataFrame) -> DataFrame:
+    """``(check, found, expected, ok)`` of a one-row census against expected counts ``(check, expected)``.
+
+    A check that only one side knows is not ok; its other count is null."""
+    found = census.unpivot([], list(census.columns), "check", "found")
+    both = found.join(expected, "check", "full_outer")
+    return both.select("check", "found", "expected", F.coalesce(F.col("found") == F.col("expected"), F.lit(False)).alias("ok"))

@@ -341,6 +341,22 @@ def z05(spark, sf):
                      F.round(F.col("p_retailprice") / F.col("p_size"), 6).alias("price_per_size"))
 
 
+@query("z05_homologated_clean", sql=f"""
+SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN NULL ELSE 'B-' || upper(trim(p_brand)) END AS brand, {R('p_retailprice / p_size', 6)} AS price_per_size
+FROM part WHERE p_size BETWEEN 1 AND 45 AND p_retailprice > 0
+""")
+def z05b(spark, sf):
+    """Z05 with J11: brands in several spellings go to one canonical name, those the catalogue lacks to none."""
+    from cauce.functions.strings import norm_key
+    p = t(spark, sf, "part")
+    ok, _ = RL.split_valid(p, F.col("p_size").between(1, 45) & (F.col("p_retailprice") > 0))
+    messy = F.when(F.col("p_size") % 7 == 0, F.lit("unknown brand")).when(F.col("p_size") % 3 == 0, F.concat(F.lit("  "), F.lower("p_brand"))) \
+        .when(F.col("p_size") % 3 == 1, F.concat(F.lit("'"), F.col("p_brand"), F.lit("'"))).otherwise(F.upper("p_brand"))
+    catalogue = p.select(norm_key(F.col("p_brand")).alias("alias_norm"), F.concat(F.lit("B-"), F.upper(F.trim("p_brand"))).alias("canonical")).distinct()
+    out = RL.homologate(ok.withColumn("_brand", messy), "_brand", catalogue, "brand")
+    return out.select("p_partkey", "brand", F.round(F.col("p_retailprice") / F.col("p_size"), 6).alias("price_per_size"))
+
+
 # ------------------------------------------------------------------- Z06
 def spark_etl(spark, sf, out_dir: str | None = None):
     """Read, validate, derive, checked-broadcast join, aggregate, partitioned write."""
@@ -368,6 +384,20 @@ def z06(spark, sf):
     return spark_etl(spark, sf, _run_dir(spark, "z06"))
 
 
+@query("s13_snapshots", sql="""
+SELECT n.n_name, count(*) AS n, avg(l.l_extendedprice) AS avg_price, count(*) AS curated_rows
+FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+WHERE l.l_extendedprice > 0 AND l.l_quantity BETWEEN 1 AND 50 AND l.l_discount <= 0.1 GROUP BY n.n_name
+""")
+def s13(spark, sf):
+    """Both snapshots of the job, the curated rows and their aggregate, written and read back."""
+    base = _run_dir(spark, "s13")
+    state.publish(spark, spark_etl(spark, sf, f"{base}/curated"), f"{base}/summary")
+    rows = spark.read.parquet(f"{base}/curated").groupBy("n_name").agg(F.count(F.lit(1)).alias("curated_rows"))
+    summary = state.read_table(spark, f"{base}/summary")
+    return summary.alias("s").join(rows.alias("r"), F.col("s.n_name").eqNullSafe(F.col("r.n_name"))).select("s.*", "curated_rows")
+
+
 # ------------------------------------------------------------------- Z07
 def _z07_sql():
     from cauce.plans.registry import _ORACLES

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cauce.functions.dates import month_key
 from cauce.operators.contracts import ColumnContract as C
 from cauce.operators.contracts import TableContract, apply_contract, split_by_contract, to_quarantine
-from cauce.operators.quality import (idempotency, join_loss, quality_gate, reason_histogram,
+from cauce.operators.quality import (against_expected, idempotency, join_loss, quality_gate, reason_histogram,
                                      reconcile, completeness)
 from cauce.operators.windows import top_share
 from cauce.plans.facts import t
@@ -349,6 +349,31 @@ def v16(spark, sf):
         F.count_if((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000)).alias("d7_impossible"))
 
 
+@query("v16_defects_expected", sql="""
+SELECT 'd1_orphan_fk' AS "check", count(*) AS found, count(*) AS expected, true AS ok FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+UNION ALL SELECT 'd2_invalid_amount', count(*), count(*), true FROM orders WHERE o_totalprice < 0 OR o_totalprice > 450000.0
+UNION ALL SELECT 'd3_relevant_null', count(*), count(*), true FROM orders WHERE o_totalprice IS NULL OR o_orderpriority IS NULL
+UNION ALL SELECT 'd4_duplicates', coalesce(sum(n), 0)::BIGINT, coalesce(sum(n), 0)::BIGINT, true
+  FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate, o_totalprice HAVING count(*) > 1)
+UNION ALL SELECT 'd5_spelling', count(*), count(*), true FROM orders WHERE o_orderpriority != upper(trim(o_orderpriority))
+UNION ALL SELECT 'd6_format', count(*), count(*), true FROM orders WHERE NOT regexp_full_match(o_orderpriority, '[1-5]-[A-Z ]+')
+UNION ALL SELECT 'd7_impossible', count(*), -1, false FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000
+UNION ALL SELECT 'd8_not_measured', NULL, 0, false
+""")
+def v16b(spark, sf):
+    """The census against counts that come from other operators (anti-join, grouping, filters); the last two must differ."""
+    o = t(spark, sf, "orders")
+    orphans = o.join(t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti").count()
+    copies = o.groupBy("o_custkey", "o_orderdate", "o_totalprice").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = [("d1_orphan_fk", orphans), ("d2_invalid_amount", o.filter("o_totalprice < 0 or o_totalprice > 450000.0").count()),
+            ("d3_relevant_null", o.filter("o_totalprice is null or o_orderpriority is null").count()),
+            ("d4_duplicates", copies.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]),
+            ("d5_spelling", o.filter("o_orderpriority <> upper(trim(o_orderpriority))").count()),
+            ("d6_format", o.filter(~F.col("o_orderpriority").rlike("^(?:[1-5]-[A-Z ]+)$")).count()), ("d7_impossible", -1), ("d8_not_measured", 0)]
+    return against_expected(v16(spark, sf), spark.createDataFrame(rows, "check string, expected long"))
+
+
 @query("v17_join_loss", sql="""
 SELECT 'lineitem_orders' AS step, count(*) AS rows_lost FROM lineitem l
   WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
