@@ -618,6 +618,17 @@ def m28(spark, sf):
     return p.groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).withColumn("ari_vs_label", ari.scalar())
 
 
+@query("m28_ward")
+def m28b(spark, sf):
+    """Ward clusters of the embeddings: sizes and agreement with the labels."""
+    from cauce.operators.ward import ward
+    path = _registry(spark, "m28")
+    ward(t(spark, sf, "embeddings").select("vec_id", "label", "embedding"), "embedding", 10).select("label", "cluster").write.parquet(path)
+    p = spark.read.parquet(path)
+    ari = MT.adjusted_rand_index(p, "label", "cluster").select("ari")
+    return p.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("ari_vs_label", ari.scalar())
+
+
 def _registry(spark, name):
     import uuid
 
