@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def same(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, SF)
