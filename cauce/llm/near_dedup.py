@@ -10,15 +10,16 @@ when their word edit distance is at most 0.2 times the longer length
 band of that width.
 
 Rows with one text are one node.  Each sketch value's smallest node is its
-representative and is aligned with the value's other members.  Of the members
-that are still in different classes every pair is then tested: the bags of
-words (counts by hashed word) bound the edit distance from below, and the
-pairs that the bound leaves open are aligned, first each member's closest
-one, then, as far as they are still in different classes, all of them.  The
-members of a value meet in cells of two parts of about CELL members each, so
-no task holds a whole value; a value whose m members are no copies costs up
-to m * m / 2 comparisons of bags, and m * m / CELL rows.  Classes are the
-connected components of the links.
+representative and is aligned with the value's other members.  The members
+that are still in different classes then meet, with their texts, in cells of
+two parts of about CELL members each, so no task holds a whole value.  In a
+cell every pair of different classes is tested: bags of words (counts by
+hashed word) bound the edit distance from below, and the pairs that the bound
+leaves open are aligned, the closest first, until their classes are joined.  Only
+links that join two classes leave a cell, fewer than it has members; a pair
+that shares several values is tested in one of them.  A value whose m members
+are no copies costs up to m * m / 2 comparisons of bags and m * m / CELL rows
+into the cells.  Classes are the connected components of the links.
 
 Cases: null and empty texts are equal; texts of under five words have one
 element, the whole text; a class's id is its smallest doc_id (null only if all
@@ -42,8 +43,8 @@ SKETCHES = 40
 SIMILARITY = 0.8
 #: Most cells of (sketches x elements) held at once; longer texts go sketch by sketch.
 CELLS = 1 << 21
-#: Members of a value in one part, counts of a bag, and pairs of bags compared at once.
-CELL, BUCKETS, PAIRS = 1024, 256, 4096
+#: Members of a value in one part, counts of a bag, and pairs compared at once.
+CELL, BUCKETS, PAIRS = 1024, 256, 2048
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -171,19 +172,11 @@ def near_classes(docs: DataFrame, found: DataFrame) -> DataFrame:
     tested = saved(aligned(texts, members.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()), "aligned")
     links = tested.where("near").select("a", "b")
     classes = saved(components(links), "classes")
-    members, bags = members.select("id", "value"), None
-    for closest in (True, False):
-        members = saved(open_members(members, classes), "values")
-        if not members.head(1):
-            break
-        bags = saved(bags_of(texts, members), "bags") if bags is None else bags
-        pairs = saved(crossing(members, bags, closest), "pairs").distinct().join(tested.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        checked = saved(aligned(texts, pairs), "aligned")
-        new = checked.where("near").select("a", "b")
+    members = saved(open_members(members.select("id", "value"), classes), "values")
+    if members.head(1):
+        new = saved(linked(texts, members), "links")
         if new.head(1):
-            links = links.unionByName(new)
-            classes = saved(components(links), "classes")
-        tested = tested.unionByName(checked)
+            classes = saved(components(links.unionByName(new)), "classes")
     return classes
 
 
@@ -201,79 +194,98 @@ def bag(words: list[bytes]) -> bytes:
     return np.minimum(np.bincount(at, minlength=BUCKETS), 255).astype(np.uint8).tobytes()
 
 
-def bags_of(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """id, n (words), bag of the members' texts."""
-
-    def run(parts):
-        for p in parts:
-            words = [t.encode("utf-8", "surrogatepass").split() for t in p["text"]]
-            yield {"id": p["id"], "n": list(map(len, words)), "bag": list(map(bag, words))}
-
-    return map_rows(texts.join(members.select("id").distinct(), "id", "left_semi"), run, "id long, n long, bag binary")
-
-
-def crossing(members: DataFrame, bags: DataFrame, closest: bool) -> DataFrame:
-    """a, b: pairs of members of a value that are in different classes and may be near by their bags.
-
-    ``closest`` keeps each member's closest such pair in a cell only."""
-    parts = F.ceil(F.col("m") / CELL)
-    rows = members.join(bags, "id").withColumn("part", F.pmod(F.xxhash64("id"), parts))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+def linked(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """a, b: near pairs of members of a value that join the classes of its cells; texts go into the cells, links come out."""
+    each = members.groupBy("id").agg(F.any_value("class").alias("class"), F.collect_set(F.struct("value", "m")).alias("vs"))
+    rows = each.join(texts.hint("merge"), "id").select("id", "class", "text", F.col("vs.value").alias("all"), F.explode("vs").alias("v"))
+    parts = F.ceil(F.col("v.m") / CELL)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     cell = ["value", "lo", "hi"]
-    rows = rows.select("value", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "id", "class", "part", "n", "bag")
+    rows = rows.select(F.col("v.value").alias("value"), F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
+                       "id", "class", "part", "all", "text")
 
     def run(batches):
-        out = []
-        for rows in cells(batches):
-            out.append(cross(rows, closest))
-            if sum(map(len, out)) >= PAIRS:
-                yield dict(zip("ab", np.concatenate(out).T.tolist()))
-                out = []
-        if out:
-            yield dict(zip("ab", np.concatenate(out).T.tolist()))
+        for value, rows in cells(batches):
+            out = cell_links(value, rows)
+            if out:
+                yield dict(zip("ab", map(list, zip(*out))))
 
-    return map_rows(rows.repartition(*cell).sortWithinPartitions(*cell), run, "a long, b long")
+    return map_rows(rows.repartition(*cell).sortWithinPartitions(*cell), run, "a long, b long").distinct()
 
 
 def cells(batches):
-    """Lists of (id, class, part, n, bag): the rows of one cell, which follow one another."""
+    """Value and list of (id, class, part, all, text): the rows of one cell, which follow one another."""
     key, rows = None, []
     for p in batches:
-        for row in zip(*(p[c] for c in ("value", "lo", "hi", "id", "class", "part", "n", "bag"))):
+        for row in zip(*(p[c] for c in ("value", "lo", "hi", "id", "class", "part", "all", "text"))):
             if row[:3] != key:
                 if rows:
-                    yield rows
+                    yield key[0], rows
                 key, rows = row[:3], []
             rows.append(row[3:])
     if rows:
-        yield rows
+        yield key[0], rows
+
+
+def cell_links(value: int, rows: list) -> list[tuple[int, int]]:
+    """Near pairs (larger id, smaller id) that join classes: at most one less than the cell has members.
+
+    Every pair that may be near by its bags (:func:`open_pairs`) is aligned, the closest ones first, unless its
+    two classes have been joined in this cell; a pair that meets in several values is left to the smallest."""
+    words = [t.encode("utf-8", "surrogatepass").split() for *_, t in rows]
+    ids, root = [r[0] for r in rows], {r[1]: r[1] for r in rows}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for i, j in open_pairs(value, rows, words):
+        a, b = top(rows[i][1]), top(rows[j][1])
+        if a == b:
+            continue
+        x, y = words[i], words[j]
+        if edit_distance(x, y, int((1 - SIMILARITY) * max(len(x), len(y)) + 1e-9)) is not None:
+            root[max(a, b)] = min(a, b)
+            out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+    return out
 
 
-def cross(rows: list, closest: bool) -> np.ndarray:
-    """Pairs (larger id, smaller id) of a cell's rows: of different classes, and of different parts if it has two.
+def open_pairs(value: int, rows: list, words: list) -> list[list[int]]:
+    """Pairs of a cell's rows, closest first by their bags: of different classes, of different parts if the cell has
+    two, not met in a smaller value, and not too far apart by their bags.
 
     A word that one text has more often than the other must be edited, so the
     larger of the two surpluses of the bags is at most the edit distance."""
-    ids, classes, part, n = (np.array(x, np.int64) for x in list(zip(*rows))[:4])
-    bags = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+    classes, part = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
+    n = np.array([len(w) for w in words], np.int64)
+    bags = np.frombuffer(b"".join(map(bag, words)), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
     total = bags.sum(axis=1, dtype=np.int64)
     longer = np.maximum(n[:, None], n)
     apart = (classes[:, None] != classes) & (longer - np.minimum(n[:, None], n) <= (1 - SIMILARITY) * longer + 1e-9)
     if part.min() != part.max():
         apart &= part[:, None] != part
     i, j = np.nonzero(np.triu(apart, 1))
-    bound = np.empty(len(i), np.int64)
+    # the smaller values of each row, filled up with numbers that no other row has
+    width = max(len(r[3]) for r in rows)
+    smaller = np.full((len(rows), width), -1, np.int64)
+    held = np.zeros((len(rows), width), bool)
+    for k, r in enumerate(rows):
+        less = [v for v in r[3] if v < value]
+        smaller[k, :len(less)], held[k, :len(less)] = less, True
+    bound, first = np.empty(len(i), np.int64), np.empty(len(i), bool)
     for at in range(0, len(i), PAIRS):
         x, y = i[at:at + PAIRS], j[at:at + PAIRS]
         bound[at:at + PAIRS] = (np.abs(bags[x] - bags[y]).sum(axis=1, dtype=np.int64) + np.abs(total[x] - total[y])) // 2
-    open_ = bound <= (1 - SIMILARITY) * np.maximum(n[i], n[j]) + 1e-9
-    i, j, bound = i[open_], j[open_], bound[open_]
-    if closest:
-        order = np.argsort(np.concatenate([bound, bound]), kind="stable")
-        first = np.unique(np.concatenate([i, j])[order], return_index=True)[1]
-        kept = np.unique(order[first] % max(len(i), 1))
-        i, j = i[kept], j[kept]
-    return np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])], axis=1)
+        keep = bound[at:at + PAIRS] <= (1 - SIMILARITY) * np.maximum(n[x], n[y]) + 1e-9
+        first[at:at + PAIRS] = keep
+        x, y, some = x[keep], y[keep], np.flatnonzero(keep) + at
+        met = ((smaller[x][:, :, None] == smaller[y][:, None, :]) & held[x][:, :, None] & held[y][:, None, :]).any(axis=(1, 2))
+        first[some[met]] = False
+    i, j, bound = i[first], j[first], bound[first]
+    order = np.argsort(bound, kind="stable")
+    return np.stack([i[order], j[order]], axis=1).tolist()
 
 
 def texts_of(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:

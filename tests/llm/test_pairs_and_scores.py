@@ -119,11 +119,30 @@ def test_bags_bound_the_distance():
     rng = random.Random(12)
     texts = [[b"%d" % rng.randrange(30) for _ in range(rng.randint(0, 25))] for _ in range(61)]
     texts += [[w for w in t if rng.random() < 0.9] for t in texts]
-    rows = [(i, i, i % 2, len(t), near_dedup.bag(t)) for i, t in enumerate(texts)]
-    got = {tuple(p) for p in near_dedup.cross(rows, False).tolist()}
+    rows = [(i, i, i % 2, [7], b" ".join(t).decode()) for i, t in enumerate(texts)]
+    got = {(max(p), min(p)) for p in near_dedup.open_pairs(7, rows, texts)}
     near = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if i % 2 != j % 2
             and near_dedup.edit_distance(a, b, int(0.2 * max(len(a), len(b)) + 1e-9)) is not None}
-    assert near and near <= got and {tuple(p) for p in near_dedup.cross(rows, True).tolist()} <= got
+    assert near and near <= got
+    # links join the same classes as all near pairs, and are fewer than the members
+    links = near_dedup.cell_links(7, rows)
+    assert set(links) <= near and len(links) < len(rows) and joined(links) == joined(near)
+    # a pair that shares a smaller value is tested there
+    both = [(*r[:3], [3, 7] if r[0] < 10 else [7], r[4]) for r in rows]
+    left = {(max(p), min(p)) for p in near_dedup.open_pairs(7, both, texts)}
+    assert left == {p for p in got if p[0] >= 10}
+
+
+def joined(pairs):
+    """Classes of the ids in ``pairs``."""
+    root = {}
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for a, b in pairs:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    return {x: top(x) for x in list(root)}
 
 
 def test_near_cases(small, empty):
