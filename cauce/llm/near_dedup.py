@@ -4,7 +4,9 @@ A text is its sequence of words ([^\\x20\\x09-\\x0D]+).  Its elements are the
 runs of K = 5 words, each labelled with its occurrence number.  A sketch keeps
 the ELL = 2 elements of smallest hash and hashes them in text order, so two
 texts share a sketch with a probability that falls with their edit distance;
-SKETCHES independent sketches a text give the candidates.  Two texts are near
+SKETCHES independent sketches a text give the candidates.  Texts of at most
+SHORT words have too few runs for that; their candidates share what is left
+when the allowed number of words is deleted, which loses none.  Two texts are near
 when their word edit distance is at most 0.2 times the longer length
 (similarity 0.8 or more), measured by bit-parallel alignment in a diagonal
 band of that width.
@@ -21,8 +23,8 @@ that shares several values is tested in one of them.  A value whose m members
 are no copies costs up to m * m / 2 comparisons of bags and m * m / CELL rows
 into the cells.  Classes are the connected components of the links.
 
-Cases: null and empty texts are equal; texts of under five words have one
-element, the whole text; a class's id is its smallest doc_id (null only if all
+Cases: null and empty texts are equal; texts of at most SHORT words are found
+exactly among each other (one of under four words is near its equals only); a class's id is its smallest doc_id (null only if all
 its ids are null); every input row gives one output row; empty tables give
 empty results.
 """
@@ -30,6 +32,7 @@ empty results.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import xxhash
@@ -39,8 +42,10 @@ from cauce.llm.common import NULL_ID, id_or_last, map_rows, prepare, saved, text
 
 K = 5
 ELL = 2
-SKETCHES = 40
+SKETCHES = 64
 SIMILARITY = 0.8
+#: Texts of at most so many words have keys that near ones always share.
+SHORT = 14
 #: Most cells of (sketches x elements) held at once; longer texts go sketch by sketch.
 CELLS = 1 << 21
 #: Members of a value in one part, counts of a bag, and pairs compared at once.
@@ -98,6 +103,32 @@ def sketches(words: list[bytes], multipliers: np.ndarray = MULTIPLIERS) -> np.nd
     return value
 
 
+def allowed(n: int) -> int:
+    """Most word edits between near texts, the longer of n words."""
+    return int((1 - SIMILARITY) * n + 1e-9)
+
+
+def short_keys(words: list[bytes]) -> np.ndarray:
+    """Hashes of what is left of a text of at most SHORT words when some are deleted, in order.
+
+    Near texts, the longer of n words, have n - allowed(n) words in common in
+    order, so a text leaves out words down to that number for every n that it
+    may meet: near texts of at most SHORT words always share a key."""
+    left = {n - allowed(n) for n in range(len(words), SHORT + 1)}
+    kept = {b" ".join(some) for size in left if size <= len(words) for some in combinations(words, size)}
+    return np.array([xxhash.xxh3_64_intdigest(k, seed=SHORT) for k in sorted(kept)], np.uint64)
+
+
+def candidate_values(words: list[bytes]) -> np.ndarray:
+    """Values that candidates share: deletion keys of short texts, sketches of those that may be near a longer one."""
+    if len(words) > SHORT:
+        return sketches(words)
+    keys = short_keys(words)
+    if len(words) + allowed(SHORT + 1) <= SHORT:
+        return keys
+    return np.concatenate([keys, sketches(words)])
+
+
 def edit_distance(a: list, b: list, most: int) -> int | None:
     """Edit distance of two sequences if at most ``most``, else None.
 
@@ -142,7 +173,7 @@ def edit_distance(a: list, b: list, most: int) -> int | None:
 
 def is_near(a: str | None, b: str | None) -> bool:
     x, y = ((t or "").encode("utf-8", "surrogatepass").split() for t in (a, b))
-    return edit_distance(x, y, int((1 - SIMILARITY) * max(len(x), len(y)) + 1e-9)) is not None
+    return edit_distance(x, y, allowed(max(len(x), len(y)))) is not None
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -153,7 +184,7 @@ def nodes(docs: DataFrame) -> DataFrame:
     def run(parts):
         for p in parts:
             words = ((t or "").encode("utf-8", "surrogatepass").split() for t in p["text"])
-            yield {"node": p["node"], "owner": p["owner"], "sketches": [sketches(w).view(np.int64) for w in words]}
+            yield {"node": p["node"], "owner": p["owner"], "sketches": [candidate_values(w).view(np.int64) for w in words]}
 
     rows = map_rows(docs.select(text_hash().alias("node"), id_or_last().alias("owner"), F.col("text").cast("string")), run,
                     "node binary, owner long, sketches array<long>")
@@ -246,7 +277,7 @@ def cell_links(value: int, rows: list) -> list[tuple[int, int]]:
         if a == b:
             continue
         x, y = words[i], words[j]
-        if edit_distance(x, y, int((1 - SIMILARITY) * max(len(x), len(y)) + 1e-9)) is not None:
+        if edit_distance(x, y, allowed(max(len(x), len(y)))) is not None:
             root[max(a, b)] = min(a, b)
             out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
     return out

@@ -89,6 +89,38 @@ def test_classes_against_brute_force(spark):
     assert kept == set(want.values())
 
 
+def test_short_texts_against_brute_force(spark):
+    """Among texts of at most SHORT words no near pair is lost."""
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(150):
+        base = [rng.choice(words) for _ in range(rng.randint(1, near_dedup.SHORT))]
+        copy = list(base)
+        for _ in range(near_dedup.allowed(len(base))):
+            at = rng.randrange(len(copy))
+            copy[at:at + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 1)
+        texts += [" ".join(base), " ".join(copy[:near_dedup.SHORT])]
+    texts += ["a b c d", "a b c d e", "a b c", "", "  "]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.class_id for r in near_dedup.labelled(docs).collect()} == brute_classes(rows)
+
+
+@pytest.mark.parametrize("n, edits, least", [(6, 0.19, 1.0), (12, 0.19, 1.0), (30, 0.1, 0.97), (100, 0.15, 0.95), (100, 0.19, 0.8), (300, 0.19, 0.85)])
+def test_recall_of_candidates(n, edits, least):
+    rng = random.Random(n)
+    words = [b"w%d" % i for i in range(3000)]
+    found = 0
+    for _ in range(100):
+        a = [rng.choice(words) for _ in range(n)]
+        b = list(a)
+        for at in rng.sample(range(n), int(edits * n)):
+            b[at] = rng.choice(words)
+        found += not set(near_dedup.candidate_values(a).tolist()).isdisjoint(near_dedup.candidate_values(b).tolist())
+    assert found >= least * 100
+
+
 def template_pairs(rng, words, n, shared, own, edits):
     passage = [rng.choice(words) for _ in range(shared)]
     out = []
