@@ -14,13 +14,13 @@ q AS (SELECT r, i, CASE WHEN win IS NOT NULL AND count(*) OVER (PARTITION BY r,
 s AS (SELECT r, max(twice) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS inside FROM q),
 rep AS (SELECT r, sum(inside) AS n_repeat_words FROM s GROUP BY r),
 l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
-dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) AS n_word_lines FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
 m AS (SELECT d.r, doc_id, source, len(ws)::BIGINT AS n_words,
         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-        coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+        coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_word_lines, 0)::BIGINT AS n_word_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN dup USING (r)),
-f AS (SELECT *, n_words < 20 AS r1, 100 * n_repeat_words > 30 * n_words AS r2, n_symbols > n_words AS r3, n_dup_lines > 0.5 * n_words AS r4 FROM m),
+f AS (SELECT *, n_words < 20 AS r1, 100 * n_repeat_words > 30 * n_words AS r2, n_symbols > n_words AS r3, n_dup_lines > 0.5 * n_word_lines AS r4 FROM m),
 h AS (SELECT source, rule, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM (
         SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([r1::INT, r2::INT, r3::INT, r4::INT]) AS bad FROM f) GROUP BY source, rule),
 g AS (SELECT rule, count(*) AS hosts, sum(bad) / sum(n) AS mean, sum((bad / n) * (bad / n)) / count(*) - (sum(bad / n) / count(*)) ** 2 AS seen,

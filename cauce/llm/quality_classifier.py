@@ -39,7 +39,7 @@ def statistics(text: str | None) -> list[float]:
     """The numbers of one text: sizes, word and line shapes, shares of character classes, repetition."""
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
-    n_words, word_chars, symbols, dup_lines, repeat = measures(text)
+    n_words, word_chars, symbols, dup_lines, repeat, _ = measures(text)
     words = raw.split()
     n = max(n_words, 1)
     chars = max(len(text), 1)

@@ -1,7 +1,7 @@
 r"""Quality rules with host verdicts.
 
 Per document: words ``[^\x20\x09-\x0D]+``, characters in words, symbol
-characters, repeated lines and words inside repeated 8-word windows.  A
+characters, lines with a word, repeated ones among them and words inside repeated 8-word windows.  A
 document fails the base rules when it has under 20 words or over 30 % of its
 words lie in repeated windows.  Per host (``source``) the failures of each
 rule are summed, the host's failure rate is shrunk towards the rate of all
@@ -26,9 +26,9 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-#: A symbol to a word, and half of the lines repeated: counted for the host only.
+#: A symbol to a word, and half of the lines with a word repeated: counted for the host only.
 MAX_SYMBOLS_PER_WORD = 1.0
-MAX_DUP_LINES_PER_WORD = 0.5
+MAX_DUP_LINES_PER_LINE = 0.5
 HOST_MAX_RATE = 0.5
 RULES = ("short", "repetitive", "symbolic", "relined")
 
@@ -54,10 +54,10 @@ def repeat_words(ids: np.ndarray, window: int = WINDOW) -> int:
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
-def measures(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one text."""
+def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_word_lines of one text."""
     if not text:
-        return 0, 0, 0, 0, 0
+        return 0, 0, 0, 0, 0, 0
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()  # bytes.split knows exactly the six characters of WHITE
     white = len(raw) - len(raw.translate(None, WHITE))
@@ -66,27 +66,27 @@ def measures(text: str | None) -> tuple[int, int, int, int, int]:
     number: dict[bytes, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
     again = repeat_words(ids) if len(number) < len(words) else 0
-    return len(words), len(text) - white, symbols, len(lines) - len(set(lines)), again
+    return len(words), len(text) - white, symbols, len(lines) - len(set(lines)), again, len(lines)
 
 
-def failures(w: Column, symbols: Column, lines: Column, again: Column) -> dict[str, Column]:
+def failures(w: Column, symbols: Column, repeated: Column, again: Column, lines: Column) -> dict[str, Column]:
     return {"short": w < MIN_WORDS, "repetitive": 100 * again > MAX_REPEAT_PERCENT * w,
-            "symbolic": symbols > MAX_SYMBOLS_PER_WORD * w, "relined": lines > MAX_DUP_LINES_PER_WORD * w}
+            "symbolic": symbols > MAX_SYMBOLS_PER_WORD * w, "relined": repeated > MAX_DUP_LINES_PER_LINE * lines}
 
 
 def document_measures(docs: DataFrame) -> DataFrame:
-    """doc_id, source and the five measures of every document row."""
+    """doc_id, source and the six measures of every document row."""
     prepare(docs.sparkSession)
 
     def run(parts):
         for p in parts:
             m = [measures(t) for t in p["text"]]
-            cols = list(zip(*m)) if m else [()] * 5
+            cols = list(zip(*m)) if m else [()] * 6
             yield {"doc_id": p["doc_id"], "source": p["source"], "n_words": cols[0], "word_chars": cols[1],
-                   "n_symbols": cols[2], "n_dup_lines": cols[3], "n_repeat_words": cols[4]}
+                   "n_symbols": cols[2], "n_dup_lines": cols[3], "n_repeat_words": cols[4], "n_word_lines": cols[5]}
 
     return map_rows(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")), run,
-                    "doc_id long, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+                    "doc_id long, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_word_lines long")
 
 
 def host_verdicts(measured: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
     variance that the hosts' rates show beyond sampling (method of moments).
     Only four sums a rule reach the driver, whatever the number of hosts.
     """
-    fails = failures(*(F.col(c) for c in ("n_words", "n_symbols", "n_dup_lines", "n_repeat_words")))
+    fails = failures(*(F.col(c) for c in ("n_words", "n_symbols", "n_dup_lines", "n_repeat_words", "n_word_lines")))
     hosts = measured.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_docs"), *[F.sum(fails[r].cast("long")).alias(f"fail_{r}") for r in RULES])
     sums = hosts.agg(
@@ -129,7 +129,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """Measures, ``base_failed``, the host's rates and ``kept`` of every document row."""
     measured = saved(document_measures(docs), "measures")
     hosts = host_verdicts(measured).withColumnRenamed("source", "host")
-    fails = failures(*(F.col(c) for c in ("n_words", "n_symbols", "n_dup_lines", "n_repeat_words")))
+    fails = failures(*(F.col(c) for c in ("n_words", "n_symbols", "n_dup_lines", "n_repeat_words", "n_word_lines")))
     base = fails["short"] | fails["repetitive"]
     return (measured.join(hosts, F.col("source").eqNullSafe(F.col("host")))
             .withColumn("base_failed", base)
@@ -144,7 +144,7 @@ def keep(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("boolean")
     def passes(text: pd.Series) -> pd.Series:
         found = (measures(t) for t in text)
-        return pd.Series([w >= MIN_WORDS and 100 * a <= MAX_REPEAT_PERCENT * w for w, _, _, _, a in found], dtype=bool)
+        return pd.Series([w >= MIN_WORDS and 100 * a <= MAX_REPEAT_PERCENT * w for w, _, _, _, a, _ in found], dtype=bool)
 
     # a struct keeps the documents' own column names apart from the verdicts'
     rows = docs.where(passes(F.col("text").cast("string"))).select(F.struct("*").alias("row"), F.col("source").cast("string").alias("own"))

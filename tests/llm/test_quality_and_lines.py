@@ -61,6 +61,17 @@ def test_bad_host_takes_its_good_documents(spark):
     assert sorted(r.doc_id for r in quality_rules.keep(docs).collect()) == [1000 + i for i in range(200)]
 
 
+def test_host_of_repeated_lines(spark):
+    """Lines of two words that come again and again fail a host, though every text has enough words and no repeated window."""
+    text = lambda i: "\n".join(x for j in range(12) for x in (f"only {i}x{j}", *["read more"] * (2 if j % 3 else 1)))
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, text(i), "lists") for i in range(60)] + [(1000 + i, good + str(i), f"host{i % 5}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].host_rejected and not got[i].kept and got[1000 + i].kept for i in range(60))
+
+
 def test_prior_follows_the_hosts():
     a, b = quality_rules.beta_prior(4, 400, 0.04, 200, 2.0, 1.0)
     assert a == pytest.approx(b) and a + b > 1000  # equal hosts: a strong prior
