@@ -7,6 +7,7 @@ class-balanced weights, deterministic hash splits).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (OneHotEncoder, PolynomialExpansion, StringIndexer, VectorAssembler)
@@ -91,12 +92,12 @@ def one_hot(df: DataFrame, col: str, out: str, drop_last: bool = True) -> DataFr
 
 
 def standardize(df: DataFrame, cols, population: bool = True, suffix: str = "_z") -> DataFrame:
-    """(x - mean) / std; population std like scikit-learn, sample std like Spark ML."""
+    """(x - mean) / std; population std like scikit-learn, sample std like Spark ML; 0 in a constant column."""
     std = F.stddev_pop if population else F.stddev_samp
     # one scan for all statistics
     s = df.agg(F.struct(*[x for i, c in enumerate(cols) for x in (F.avg(c).alias(f"m{i}"), std(c).alias(f"s{i}"))])
                .alias("s")).scalar()
-    return df.withColumns({c + suffix: (F.col(c) - s[f"m{i}"]) / s[f"s{i}"] for i, c in enumerate(cols)})
+    return df.withColumns({c + suffix: (F.col(c) - s[f"m{i}"]) / F.when(s[f"s{i}"] == 0, 1.0).otherwise(s[f"s{i}"]) for i, c in enumerate(cols)})
 
 
 class BalancedAccuracy(Evaluator):
@@ -205,3 +206,55 @@ def knn_predict(spark, train: DataFrame, test: DataFrame, id_col: str, vec_col:
     votes = nn.join(lab, "item_id").withColumn("_w", 1.0 / (F.sqrt(F.greatest(-F.col("score"), F.lit(0.0))) + 1e-12))
     per = votes.groupBy("qid", "_lab").agg(F.sum("_w").alias("_s"))
     return per.groupBy("qid").agg(F.max_by("_lab", F.struct("_s", -F.col("_lab"))).alias("prediction"))
+
+
+# ------------------------------------------------------------------- M26
+def principal_components(df: DataFrame, cols):
+    """(shares of variance, vectors by column) of the correlation matrix, largest share first.
+
+    One distributed aggregate gives the k x k matrix; its decomposition does not
+    depend on the number of rows.  A vector's greatest entry is positive."""
+    from cauce.operators.stats import pairwise_corr
+
+    at, m = {c: i for i, c in enumerate(cols)}, np.eye(len(cols))
+    for r in pairwise_corr(df, cols).collect():
+        m[at[r["col_a"]], at[r["col_b"]]] = m[at[r["col_b"]], at[r["col_a"]]] = r["corr"] or 0.0
+    values, vectors = np.linalg.eigh(m)
+    order = np.argsort(-values, kind="stable")
+    values, vectors = np.maximum(values[order], 0.0), vectors[:, order]
+    top = np.abs(vectors).round(9).argmax(axis=0)
+    return values / values.sum(), vectors * np.sign(vectors[top, range(len(cols))])
+
+
+def component_scores(df: DataFrame, cols, vectors: np.ndarray, k: int, prefix: str = "pc") -> DataFrame:
+    """``df`` with the scores on the first k components of its standardised columns."""
+    z = standardize(df, cols, suffix="_pcz")
+    for j in range(k):
+        total = F.lit(0.0)
+        for i, c in enumerate(cols):
+            total = total + F.col(f"{c}_pcz") * float(vectors[i, j])
+        z = z.withColumn(f"{prefix}{j + 1}", total)
+    return z.drop(*[f"{c}_pcz" for c in cols])
+
+
+def components_for(shares, least: float) -> int:
+    """The smallest number of components that explain that share."""
+    return int(np.searchsorted(np.cumsum(shares), least - 1e-12) + 1)
+
+
+def pca_report(df: DataFrame, cols) -> DataFrame:
+    """Per component and feature the loading, with explained and cumulative share, the numbers of components
+    for 90 and 95 %, and the component's greatest absolute correlation with another one's scores (0 if they work)."""
+    from cauce.operators.stats import pairwise_corr
+
+    shares, vectors = principal_components(df, cols)
+    names = [f"pc{j + 1}" for j in range(len(cols))]
+    left = dict.fromkeys(names, 0.0)
+    for r in pairwise_corr(component_scores(df, cols, vectors, len(cols)), names).collect():
+        a, b = r["col_a"], r["col_b"]
+        if min(shares[names.index(a)], shares[names.index(b)]) > 1e-12:  # the scores of an empty component are noise
+            left[a], left[b] = (max(left[c], abs(r["corr"] or 0.0)) for c in (a, b))
+    rows = [(j + 1, c, float(vectors[i, j]), float(shares[j]), float(shares[:j + 1].sum()), components_for(shares, 0.9),
+             components_for(shares, 0.95), left[names[j]]) for j in range(len(cols)) for i, c in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "component int, feature string, loading double, explained double, cumulative double, "
+                                                 "k90 int, k95 int, score_corr double")

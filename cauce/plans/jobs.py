@@ -526,13 +526,20 @@ _Z11_ROWS = [
     "SELECT 'value_counts', l_returnflag, CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY l_returnflag",
     "SELECT 'crosstab', l_returnflag || '~' || l_linestatus, CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY l_returnflag, l_linestatus",
     "SELECT 'duplicates', 'rows', CAST(coalesce(sum(c - 1), 0) AS DOUBLE) FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)",
+    # description, kinds of absence and the Lorenz curve
+    *[f"SELECT 'describe_{c}', '{m}', {R(f'{f}({c})', 4)} FROM lineitem" for c in ("l_quantity", "l_extendedprice")
+      for m, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))],
+    *[f"SELECT 'absent_{c}', '{m}', CAST(count(*) FILTER (WHERE {p}) AS DOUBLE) FROM documents" for c in ("text", "lang")
+      for m, p in (("n_null", f"{c} IS NULL"), ("n_empty", f"{c} = ''"), ("n_blank", f"regexp_full_match({c}, '\\s+')"), ("n_marker", f"{c} = '__NULO__'"))],
+    f"""SELECT 'lorenz', CAST(cnt AS VARCHAR), {R('sum(cnt * n) OVER (ORDER BY cnt DESC) * 1.0 / (SELECT count(*) FROM orders)', 9)}
+      FROM (SELECT cnt, count(*) AS n FROM (SELECT count(*) AS cnt FROM orders GROUP BY o_custkey) GROUP BY cnt)""",
 ]
 
 
 @query("z11_eda_report", sql=" UNION ALL ".join(_Z11_ROWS))
 def z11(spark, sf):
     from cauce.operators import stats as ST
-    from cauce.operators.windows import top_share
+    from cauce.operators.windows import lorenz_levels, top_share
     li = t(spark, sf, "lineitem")
     parts = [
         A.distinct_counts(li, ["l_returnflag", "l_linestatus", "l_suppkey"]).select(
@@ -554,6 +561,13 @@ def z11(spark, sf):
         li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("c")).agg(
             F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("double").alias("value")).select(
             F.lit("duplicates").alias("section"), F.lit("rows"), "value"),
+        A.describe_long(li, ["l_quantity", "l_extendedprice"]).unpivot("column", ["mean", "std", "min", "max"], "metric", "value").select(
+            F.concat(F.lit("describe_"), "column"), "metric", F.round("value", 4)),
+        A.absence_census(t(spark, sf, "documents"), ["text", "lang"]).unpivot(
+            "column", ["n_null", "n_empty", "n_blank", "n_marker"], "metric", "value").select(
+            F.concat(F.lit("absent_"), "column"), "metric", F.col("value").cast("double")),
+        lorenz_levels(t(spark, sf, "orders"), "o_custkey").select(
+            F.lit("lorenz"), F.col("cnt").cast("string"), F.round("cum_row_share", 9)),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -577,3 +591,40 @@ def z12(spark, sf):
     prof = A.group_profile(p, "prediction", ["l_quantity", "l_extendedprice", "l_discount"])
     ari = MT.adjusted_rand_index(p, "prediction", "l_returnflag").select("ari")
     return prof.withColumn("ari_vs_returnflag", ari.scalar())
+
+
+@query("z12_segmentation_report")
+def z12b(spark, sf):
+    """The choices of a segmentation in long form: correlated pairs, inflation, components for 90 and 95 %, the number of
+    clusters by silhouette on the scores, and how far k-means, bisecting k-means and Ward agree with the flag."""
+    import uuid
+
+    from pyspark.ml.clustering import BisectingKMeans, KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import vector_to_array
+    from cauce.operators import metrics as MT
+    from cauce.operators import ml as ML
+    from cauce.operators import stats as ST
+    from cauce.operators.ward import ward
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = ML.impute(t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *cols, "l_returnflag"), "l_tax", "mean")
+    corr = ST.pairwise_corr(li, cols)
+    shares, vectors = ML.principal_components(li, cols)
+    k90 = ML.components_for(shares, 0.9)
+    rows = [("vif", c, v) for c, v in ST.vif(li, cols)] + [
+        ("components", "k90", float(k90)), ("components", "k95", float(ML.components_for(shares, 0.95)))]
+    scores = ML.component_scores(li, cols, vectors, k90)
+    base = _run_dir(spark, "z12")
+    ML.assemble(scores, [f"pc{j + 1}" for j in range(k90)]).withColumn("point", vector_to_array("features")).select(
+        "l_returnflag", "features", "point").write.parquet(f"{base}/scores-{uuid.uuid4().hex}")
+    d = spark.read.parquet(f"{base}/scores-*")
+    fits = {k: KMeans(k=k, seed=42, maxIter=20).fit(d) for k in range(2, 7)}
+    silhouettes = {k: ClusteringEvaluator().evaluate(m.transform(d)) for k, m in fits.items()}
+    best = max(silhouettes, key=lambda k: (silhouettes[k], -k))
+    rows += [("silhouette", f"k{k}", float(v)) for k, v in silhouettes.items()] + [("clusters", "best_k", float(best))]
+    labelled = {"kmeans": fits[best].transform(d).withColumnRenamed("prediction", "cluster"),
+                "bisecting": BisectingKMeans(k=best, seed=42).fit(d).transform(d).withColumnRenamed("prediction", "cluster"),
+                "ward": ward(d.select("l_returnflag", "point"), "point", best)}
+    rows += [("ari_vs_returnflag", n, float(MT.adjusted_rand_index(p, "cluster", "l_returnflag").first()["ari"])) for n, p in labelled.items()]
+    return spark.createDataFrame(rows, "section string, metric string, value double").unionByName(
+        ST.high_corr_pairs(corr, 0.8).select(F.lit("high_corr").alias("section"), F.concat_ws("~", "col_a", "col_b").alias("metric"), F.col("corr").alias("value")))

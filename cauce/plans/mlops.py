@@ -355,6 +355,21 @@ def m35(spark, sf):
                     F.round("std", 6).alias("std"))
 
 
+@query("m35_normal_tail", sql=f"""
+WITH m AS (SELECT avg(value) AS mu, stddev_samp(value) AS sd, avg(CASE WHEN value < {LSL} OR value > {USL} THEN 1.0 ELSE 0.0 END) AS rate FROM events),
+z AS (SELECT *, ({LSL} - mu) / sd AS a, ({USL} - mu) / sd AS b FROM m),
+s AS (SELECT sum((b - a) / 4000 / 3 * (CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+        * exp(-0.5 * (a + i * (b - a) / 4000) * (a + i * (b - a) / 4000)) / sqrt(2 * pi())) AS inside FROM z, range(4001) AS r(i))
+SELECT {R('rate', 9)} AS defect_rate, {R('1 - inside', 8)} AS normal_rate FROM m, s
+""")
+def m35b(spark, sf):
+    """The observed share outside the limits beside the one of a normal distribution."""
+    d = ST.defect_rate(t(spark, sf, "events"), "value", LSL, USL)
+    r = d.first()
+    tail = ST.normal_tail_rate(r["mean"], r["std"], LSL, USL) if r["std"] else None
+    return d.select(F.round("defect_rate", 9).alias("defect_rate"), F.round(F.lit(tail).cast("double"), 8).alias("normal_rate"))
+
+
 @query("m07_target_inverse", sql=f"""
 SELECT o_orderkey, {R('o_totalprice', 6)} AS back, {R('(o_totalprice - (SELECT avg(o_totalprice) FROM orders)) / (SELECT stddev_pop(o_totalprice) FROM orders)', 9)} AS z
 FROM orders
@@ -580,6 +595,23 @@ def m26(spark, sf):
     return spark.createDataFrame(rows, "component int, explained double, cumulative double")
 
 
+_PAIR = ("l_quantity", "l_extendedprice")
+
+
+@query("m26_pca_report", sql=f"""
+WITH c AS (SELECT corr({_PAIR[0]}, {_PAIR[1]}) AS r FROM lineitem),
+k AS (SELECT unnest([1, 2]) AS component, unnest([(1 + abs(r)) / 2, (1 - abs(r)) / 2]) AS explained, unnest([(1 + abs(r)) / 2, 1.0]) AS cumulative,
+        unnest([sign(r), -sign(r)]) AS side, (1 + abs(r)) / 2 AS first FROM c)
+SELECT component, feature, {R("(CASE WHEN feature = '" + _PAIR[0] + "' THEN 1 ELSE side END) / sqrt(2)", 9)} AS loading, {R('explained', 9)} AS explained,
+  {R('cumulative', 9)} AS cumulative, CASE WHEN first >= 0.9 THEN 1 ELSE 2 END AS k90, CASE WHEN first >= 0.95 THEN 1 ELSE 2 END AS k95, 0.0 AS score_corr
+FROM k, (SELECT unnest(['{_PAIR[0]}', '{_PAIR[1]}']) AS feature)
+""")
+def m26b(spark, sf):
+    r = ML.pca_report(t(spark, sf, "lineitem"), list(_PAIR))
+    return r.select("component", "feature", *[F.round(c, 9).alias(c) for c in ("loading", "explained", "cumulative")], "k90", "k95",
+                    F.round("score_corr", 6).alias("score_corr"))
+
+
 @query("m27_kmeans_elbow")
 def m27(spark, sf):
     from pyspark.ml.clustering import KMeans

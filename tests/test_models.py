@@ -86,3 +86,28 @@ def test_one_vs_rest_roc(spark):
     for c in range(4):
         pos, neg = ([s for k, s, y in rows if k == c and y == want] for want in (True, False))
         assert auc[c] == pytest.approx(sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / len(pos) / len(neg))
+
+
+def test_pca_report_against_plain_decomposition(spark):
+    import numpy as np
+    from cauce.operators import ml as ML
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4))
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(3)
+    rows = ML.pca_report(df, cols).collect()
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    want = np.linalg.svd(z, compute_uv=False) ** 2
+    want /= want.sum()
+    by = {r["component"]: r for r in rows}
+    assert np.allclose([by[j + 1]["explained"] for j in range(4)], want)
+    assert by[4]["cumulative"] == 1.0 or abs(by[4]["cumulative"] - 1) < 1e-9
+    assert by[1]["k90"] == int((np.cumsum(want) < 0.9).sum() + 1) and by[1]["k95"] == int((np.cumsum(want) < 0.95).sum() + 1)
+    assert all(r["score_corr"] < 1e-8 for r in rows)
+    v = np.array([[r["loading"] for r in rows if r["component"] == j + 1] for j in range(4)])
+    assert np.allclose(v @ v.T, np.eye(4)) and all(max(r, key=abs) > 0 for r in v)
+    flat = df.selectExpr("a", "1.0D AS b")
+    assert [r["explained"] for r in ML.pca_report(flat, ["a", "b"]).collect()] == [0.5] * 4  # a constant column
+    twice = ML.pca_report(df.selectExpr("a", "a AS b"), ["a", "b"]).collect()
+    assert [round(r["explained"], 9) for r in twice] == [1, 1, 0, 0] and all(r["score_corr"] == 0 and r["k95"] == 1 for r in twice)
