@@ -44,15 +44,20 @@ def summary_scores(report: DataFrame, df: DataFrame, label: str, pred: str) -> D
     pp = df.groupBy(F.col(pred).alias("c")).agg(F.count(F.lit(1)).alias("p_k"))
     tp = df.filter(F.col(label) == F.col(pred)).agg(F.count(F.lit(1)).alias("c_")).select("c_")
     k = per.join(pp, "c", "full_outer").fillna(0)
-    sums = k.agg(F.sum(F.col("t_k") * F.col("p_k")).alias("tp_sum"),
-                 F.sum(F.col("t_k") * F.col("t_k")).alias("t2"), F.sum(F.col("p_k") * F.col("p_k")).alias("p2"))
-    c = tp.scalar()
+
+    def times(a, b):
+        # exact: products of counts outgrow a long
+        return a.cast("decimal(19,0)") * b.cast("decimal(19,0)")
+
+    sums = k.agg(F.sum(times(F.col("t_k"), F.col("p_k"))).alias("tp_sum"),
+                 F.sum(times(F.col("t_k"), F.col("t_k"))).alias("t2"), F.sum(times(F.col("p_k"), F.col("p_k"))).alias("p2"))
+    c, n2 = tp.scalar(), times(F.lit(n), F.lit(n))
     rep = report.agg(F.avg("f1").alias("macro_f1"),
                      F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("weighted_f1"),
                      F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"))
-    mcc_num = F.lit(c) * F.lit(n) - F.col("tp_sum")
-    mcc_den = F.sqrt((F.lit(n) * F.lit(n) - F.col("p2")) * (F.lit(n) * F.lit(n) - F.col("t2")))
-    pe = F.col("tp_sum") / (F.lit(n) * F.lit(n))
+    mcc_num = (times(F.lit(c), F.lit(n)) - F.col("tp_sum")).cast("double")
+    mcc_den = F.sqrt((n2 - F.col("p2")).cast("double") * (n2 - F.col("t2")).cast("double"))
+    pe = F.try_divide(F.col("tp_sum").cast("double"), n2.cast("double"))
     s = sums.select(F.try_divide(mcc_num, mcc_den).alias("mcc"),
                     F.try_divide(F.lit(acc) - pe, F.lit(1.0) - pe).alias("kappa"))
     return rep.withColumn("accuracy", acc).withColumn("mcc", s.select("mcc").scalar()) \

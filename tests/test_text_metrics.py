@@ -126,6 +126,16 @@ def test_confusion_toy(spark):
     assert s["accuracy"] == pytest.approx(0.70) and s["macro_f1"] == pytest.approx(0.696970, abs=1e-6)
 
 
+def test_summary_scores_of_counts_whose_products_outgrow_a_long(spark):
+    n = 200_000
+    df = spark.range(n).select((F.col("id") % 2).cast("int").alias("actual"),
+                               F.when(F.col("id") % 10 == 0, 1 - F.col("id") % 2).otherwise(F.col("id") % 2).cast("int").alias("predicted"))
+    s = MT.summary_scores(MT.class_report(df, "actual", "predicted"), df, "actual", "predicted").first()
+    # even ids are wrong where they end in 0: 80,000 of 100,000 zeros and all ones are right
+    assert s["accuracy"] == pytest.approx(0.9) and s["kappa"] == pytest.approx(0.8)
+    assert s["mcc"] == pytest.approx((0.9 * n * n - 0.5 * n * n) / math.sqrt((n * n - (0.16 + 0.36) * n * n) * 0.5 * n * n))
+
+
 def test_confusion_zero_fills_missing_class(spark):
     df = spark.createDataFrame([(0, 0), (0, 1)], "actual int, predicted int")
     cm = {r["actual"]: (r["0"], r["1"]) for r in MT.confusion(df, "actual", "predicted", [0, 1]).collect()}
