@@ -398,15 +398,22 @@ def t24(spark, sf):
 
 
 # ------------------------------------------------------------ window pairs
-def window_pairs(words, max_dist: int = 2):
-    """(centre, context) pairs at distance 1..max_dist in both directions, linear per document."""
-    pairs = []
-    for d in range(1, max_dist + 1):
-        m = F.greatest(F.size(words) - d, F.lit(0))
-        z = F.arrays_zip(F.slice(words, 1, m).alias("a"), F.slice(words, d + 1, m).alias("b"))
-        pairs.append(F.transform(z, lambda s: F.struct(s["a"].alias("center"), s["b"].alias("context"))))
-        pairs.append(F.transform(z, lambda s: F.struct(s["b"].alias("center"), s["a"].alias("context"))))
-    return F.flatten(F.array(*pairs))
+def window_pair_counts(docs, text_col: str, max_dist: int = 2):
+    """(center, context, n).  Either word of a pair is the other's context, so unordered pairs are counted and
+    then turned both ways; a word beside itself counts twice."""
+    w = docs.select(S.words(text_col).alias("ws"))
+    met = F.flatten(F.array(*[_unordered(F.col("ws"), d) for d in range(1, max_dist + 1)]))
+    n = S.explode_nonnull(w, met, "p").groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    same = F.array(F.struct(F.col("a").alias("center"), F.col("b").alias("context"), (2 * F.col("n")).alias("n")))
+    both = F.array(F.struct(F.col("a").alias("center"), F.col("b").alias("context"), "n"),
+                   F.struct(F.col("b").alias("center"), F.col("a").alias("context"), "n"))
+    return n.select(F.inline(F.when(F.col("a") == F.col("b"), same).otherwise(both)))
+
+
+def _unordered(words, d: int):
+    m = F.greatest(F.size(words) - d, F.lit(0))
+    z = F.arrays_zip(F.slice(words, 1, m).alias("a"), F.slice(words, d + 1, m).alias("b"))
+    return F.transform(z, lambda s: F.struct(F.least(s["a"], s["b"]).alias("a"), F.greatest(s["a"], s["b"]).alias("b")))
 
 
 @query("j13_window_pairs", sql=f"""
@@ -416,9 +423,7 @@ SELECT a.tok AS center, b.tok AS context, count(*) AS n
 FROM t a JOIN t b ON a.doc_id = b.doc_id AND abs(a.i - b.i) BETWEEN 1 AND 2 GROUP BY ALL
 """)
 def j13(spark, sf):
-    d = t(spark, sf, "documents").select(S.words("text").alias("ws"))
-    p = S.explode_nonnull(d, window_pairs(F.col("ws")), "p").select("p.center", "p.context")
-    return p.groupBy("center", "context").agg(F.count(F.lit(1)).alias("n"))
+    return window_pair_counts(t(spark, sf, "documents"), "text")
 
 
 # ------------------------------------------------------------- set operations (U)
