@@ -160,3 +160,40 @@ def test_blank_texts_of_any_white_space(spark):
     d = spark.createDataFrame([(1, "\n\t", 1), (2, " \u00a0abc\n\n\n\n\n\n\n\n", 1), (3, "long enough text", 1)], "id long, text string, label int")
     got = {r.id: r.reason for r in C.prepare(d, "id", "text", "label").collect()}
     assert got[1] == C.REASON_NO_TEXT and got[2] == C.REASON_SHORT and got[3] == C.REASON_OK
+
+
+def test_window_pairs_are_counted_once_and_turned_both_ways(spark):
+    from collections import Counter
+
+    from cauce.plans.textops import window_pair_counts
+    texts = ["a b a a c b", "x", None, "", "b a", "B"]
+    want = Counter()
+    for ws in (s.lower().split() for s in texts if s):
+        want.update((ws[i], ws[j]) for i in range(len(ws)) for j in range(len(ws)) if 1 <= abs(i - j) <= 2)
+    df = window_pair_counts(spark.createDataFrame([(x,) for x in texts], "text string"), "text")
+    rows = [tuple(r) for r in df.collect()]
+    assert {(a, b): n for a, b, n in rows} == dict(want) and len(rows) == len(want)
+    # each pair goes into the count once, not once a direction
+    exploded = df.sparkSession.createDataFrame([("p q r",)], "text string")
+    assert sum(n for _, _, n in window_pair_counts(exploded, "text").collect()) == 6
+
+
+def test_models_of_one_query_read_a_written_frame(spark):
+    from cauce.plans import mlops
+    d = mlops.written_frame(spark, "/root/testdata/sf0.001")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "regression-" in d.inputFiles()[0]
+    key = ["l_orderkey", "l_linenumber"]
+    assert d.orderBy(*key).collect() == mlops.regression_frame(spark, "/root/testdata/sf0.001").orderBy(*key).select(*d.columns).collect()
+
+
+def test_word_vectors_are_trained_on_shares(spark, tmp_table_dir, monkeypatch):
+    from cauce.plans import mlops
+    rows = [(i, f"red{i % 3} green blue{i % 5} green red{i % 3}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_table_dir}/documents.parquet")
+    asked, real = [], mlops.word2vec_shares
+    monkeypatch.setattr(mlops, "word2vec_shares", lambda d: asked.append(real(d)) or asked[-1])
+    monkeypatch.setattr(mlops, "WORD2VEC_SHARE", 2000)
+    got = mlops.t22(spark, tmp_table_dir).collect()
+    assert asked[0] > 1 and {r.word for r in got} == {"green", *(f"red{i}" for i in range(3)), *(f"blue{i}" for i in range(5))}
+    assert all(len(r.vector) == 32 and all(x == x and abs(x) < 1e6 for x in r.vector) for r in got)

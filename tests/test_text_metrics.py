@@ -190,3 +190,20 @@ def test_topk_sparse_chunking_is_exact(spark):
     split = RT.topk_sparse(spark, dw, qw, 3, max_queries=2, max_postings=4)
     key = lambda d: sorted((r["qid"], r["rank"], r["item_id"], round(r["score"], 9)) for r in d.collect())
     assert key(whole) == key(split) and len(key(whole)) == 18
+
+
+def test_text_helpers_build_arrays_part_by_part(spark, monkeypatch):
+    import pyarrow as pa
+    texts = [None, "", "cafe\u0301 a@b.com", "plain words", "\U0001F600 x\u0303 y", None, "1234567812345678 end"] * 5
+    seen = []
+    out = TX._in_parts(pa.array(texts + ["z" * TX.PART_BYTES] * 3), lambda p: seen.append(len(p)) or TX._nfc_part(p))
+    assert len(seen) > 2 and max(seen) < len(texts) + 3
+    assert out.to_pylist() == [x if x is None else unicodedata.normalize("NFC", x) for x in texts] + ["z" * TX.PART_BYTES] * 3
+    d = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rules = (("MAIL", r"\w+@\w+[.]com"), ("CARD", r"\b\d{16}\b"))
+    got = {r.id: r for r in d.select("id", TX.nfc("text").alias("n"), TX.regex_spans("text", rules).alias("s"),
+                                     TX.token_offsets("text").alias("t"), TX.chunk_offsets("text", 1, 0).alias("c")).collect()}
+    assert got[0].n is None and got[0].s is None and got[0].t is None and got[0].c is None
+    assert got[1].n == "" and got[1].s == [] and got[1].t == [] and got[1].c == []
+    assert [tuple(x) for x in got[2].s] == [(6, 13, "MAIL")] and [tuple(x) for x in got[6].s] == [(0, 16, "CARD")]
+    assert [x.token for x in got[3].t] == ["plain", "words"] and [tuple(x) for x in got[3].c] == [(0, 0, 5), (1, 6, 11)]
