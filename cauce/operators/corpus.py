@@ -202,8 +202,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def fit_idf(postings: DataFrame, n_docs) -> DataFrame:
     """Smoothed idf ``ln((1+n)/(1+df)) + 1`` per term (the fitted vocabulary)."""
-    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")) \
-        .withColumn("idf", F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1)
+    return with_idf(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), n_docs)
+
+
+def with_idf(frequencies: DataFrame, n_docs) -> DataFrame:
+    """``idf`` beside the ``df`` of each term."""
+    return frequencies.withColumn("idf", F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1)
 
 
 def tfidf(postings: DataFrame, idf: DataFrame, l2: bool = True) -> DataFrame:

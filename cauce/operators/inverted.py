@@ -72,19 +72,22 @@ def shards(weighted: DataFrame, unit: bool = True, size: int = SHARD) -> DataFra
     of lengths (half powers of two) and one of its parts."""
     rows = _saved(weighted.select(F.col("id").cast("long").alias("id"), F.when(F.col("asked"), F.col("term")).alias("term"),
                                   F.col("weight").cast("double").alias("w")), "weights")
-    length = rows.groupBy("id").agg(F.sqrt(square_sum(F.col("w"))).alias("_n"), F.count("term").alias("_k")).filter("_k > 0") \
-        .withColumn("_class", F.when(F.col("_n") > 0, F.floor(2 * F.log2("_n"))).otherwise(-10000).cast("int"))
-    length = _saved(length, "lengths")
+    length = rows.groupBy("id").agg(F.sqrt(square_sum(F.col("w"))).alias("length"), F.count("term").alias("_k")).filter("_k > 0")
+    per_doc = rows.filter("term is not null").join(length, "id").groupBy("id").agg(
+        F.any_value("length").alias("length"), F.collect_list(F.struct("term", "w")).alias("p"))
+    return cut_shards(_saved(per_doc.select("id", "length", F.col("p.term").alias("terms"), F.col("p.w").alias("ws")), "asked-weights"), unit, size)
+
+
+def cut_shards(docs: DataFrame, unit: bool = True, size: int = SHARD) -> DataFrame:
+    """shard, id, terms, ws, from written documents (id, length, terms, ws) with the length over all their terms."""
+    docs = docs.withColumn("_class", F.when(F.col("length") > 0, F.floor(2 * F.log2("length"))).otherwise(-10000).cast("int"))
     # one row a class: lengths of doubles have about 4000 at most
-    classes = length.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()
+    classes = docs.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()
     parts = F.create_map(*[F.lit(v) for c in classes for v in (c["_class"], -(-c["n"] // size))]) if classes else F.create_map(F.lit(0), F.lit(1))
     part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("_class"))).cast("int")
-    scale = F.when(F.lit(unit) & (F.col("_n") > 0), F.col("_n")).otherwise(F.lit(1.0))
-    asked = rows.filter("term is not null").join(length, "id")
-    per_doc = asked.groupBy("id").agg(F.any_value("_class").alias("_class"), F.any_value(scale).alias("_s"),
-                                      F.collect_list(F.struct("term", "w")).alias("p"))
-    return _saved(per_doc.select(F.concat_ws(":", "_class", part).alias("shard"), "id", F.col("p.term").alias("terms"),
-                                 F.transform("p.w", lambda w: w / F.col("_s")).alias("ws")), "shards")
+    scale = F.when(F.lit(unit) & (F.col("length") > 0), F.col("length")).otherwise(F.lit(1.0))
+    return docs.withColumn("_s", scale).select(F.concat_ws(":", "_class", part).alias("shard"), "id", "terms",
+                                               F.transform("ws", lambda w: w / F.col("_s")).alias("ws"))
 
 
 CANDIDATES = "qid long, item_id long, score double"
@@ -209,6 +212,11 @@ def search(weighted: DataFrame, queries: DataFrame, k: int, item_ids: DataFrame
 
     ``asked`` marks terms that some query has.  ``item_ids`` (item_id) names all documents, also those without any
     term; by default those of ``weighted``."""
-    found = _saved(topk(shards(weighted, unit, size), queries, k), "found")
     ids = weighted.select(F.col("id").alias("item_id")).distinct() if item_ids is None else item_ids
+    return search_index(shards(weighted, unit, size), queries, k, ids)
+
+
+def search_index(index: DataFrame, queries: DataFrame, k: int, ids: DataFrame) -> DataFrame:
+    """T13 on an index of :func:`shards` or :func:`cut_shards`; ``ids`` (item_id) names all documents."""
+    found = _saved(topk(index, queries, k), "found")
     return with_zero_scores(found, ids.select(F.col("item_id").cast("long").alias("item_id")), queries.select("qid").distinct(), k)

@@ -9,6 +9,7 @@ from cauce.functions import strings as S
 from cauce.functions import text as TX
 from cauce.operators import corpus as C, dense, inverted
 from cauce.operators import retrieval as RT
+from cauce.operators import term_blocks as TB
 from cauce.operators.relational import top_n_per_group
 from cauce.plans.facts import t
 from cauce.plans.registry import query
@@ -251,25 +252,19 @@ rk AS (SELECT qid, item_id, score, row_number() OVER (PARTITION BY qid ORDER BY
 def lexical_search(spark, sf, k=3):
     """(1,2)-gram TF-IDF fitted on documents; benchmark items are the queries.
 
-    Document postings feed both the vocabulary (df) and the weights, so they
-    are written once (shared folder, lineage cut) instead of being re-tokenized
-    per use.  Terms are named by 128 bits; their text stays only where some
-    query asks for it, as the others count for frequencies and lengths alone.
+    Documents are held in blocks (:mod:`cauce.operators.term_blocks`): a term's frequency is added up
+    over blocks and goes back once a block, and a block gives its documents' lengths over all their
+    terms.  Terms leave a block with their weights only where some query asks for them, as the others
+    count for frequencies and lengths alone.
     """
     docs = t(spark, sf, "documents")
     qpost = C.written(C.term_counts(t(spark, sf, "benchmark"), "item_id", "text", ngram_max=2), "query-postings")
-    asked = C.written(qpost.select("term").distinct().withColumn("asked", F.lit(True)), "asked")
-    post = C.term_counts(docs, "doc_id", "text", ngram_max=2).join(asked, "term", "left")
-    post = C.written(post.select("id", F.xxhash64("term").alias("k1"), F.xxhash64(F.lit(1), "term").alias("k2"), "tf",
-                                 F.when(F.col("asked"), F.col("term")).alias("term")), "postings")
-    n = docs.agg(F.count(F.lit(1))).scalar()
-    named = post.filter("term is not null")
-    queries = inverted.query_terms(C.tfidf(qpost, C.fit_idf(named, n), l2=False))
-    idf = post.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("df"))
-    idf = idf.select("k1", "k2", (F.log((F.lit(1) + n) / (F.lit(1) + F.col("df"))) + 1).alias("idf"))
-    weights = post.join(idf.hint("merge"), ["k1", "k2"]).select(
-        "id", "term", (F.col("tf") * F.col("idf")).alias("weight"), F.col("term").isNotNull().alias("asked"))
-    return inverted.search(weights, queries, k, docs.select(F.col("doc_id").alias("item_id")))
+    n = docs.agg(F.count(F.lit(1))).first()[0]
+    blocks = TB.term_blocks(docs, "doc_id", "text", ngram_max=2)
+    stats = TB.term_stats(blocks, qpost.select("term").distinct())
+    queries = inverted.query_terms(C.tfidf(qpost, C.with_idf(TB.frequencies(stats), n), l2=False))
+    index = inverted.cut_shards(TB.asked_weights(blocks, stats, n))
+    return inverted.search_index(index, queries, k, docs.select(F.col("doc_id").alias("item_id")))
 
 
 @query("t13_lexical_search", sql=f"""
