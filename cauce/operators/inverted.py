@@ -106,20 +106,24 @@ def topk(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     slots = max(1, -(-vectors.count() // SLOT))
     first = bounds.groupBy("qid").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard"))
     first = _saved(first, "first-shards")
-    found = _saved(_score(index, first.join(vectors, "qid").withColumn("floor", F.lit(0.0)), k, slots), "first-found")
+    found = _saved(_score(index, first.withColumn("floor", F.lit(0.0)), vectors, k, slots), "first-found")
     best = top_n_per_group(found, "qid", [F.desc("score"), F.asc("item_id")], k)
     floors = best.groupBy("qid").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor"))
     others = bounds.join(first, ["qid", "shard"], "left_anti").join(floors, "qid", "left") \
         .withColumn("floor", F.coalesce("floor", F.lit(0.0))).filter(F.col("bound") >= F.col("floor") * SLACK)
-    found = found.unionByName(_score(index, others.select("qid", "shard", "floor").join(vectors, "qid"), k, slots))
+    others = _saved(others.select("qid", "shard", "floor"), "other-shards")
+    found = found.unionByName(_score(index, others, vectors, k, slots))
     return top_n_per_group(found, "qid", [F.desc("score"), F.asc("item_id")], k, rank_col="rank").select("qid", "item_id", "score", "rank")
 
 
-def _score(index: DataFrame, dealt: DataFrame, k: int, slots: int) -> DataFrame:
-    """Candidates of ``dealt`` (qid, shard, floor, terms, ws): the k best of a shard at the floor or above, score over 0."""
-    items = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), F.lit(0).alias("kind"), "id",
+def _score(index: DataFrame, dealt: DataFrame, vectors: DataFrame, k: int, slots: int) -> DataFrame:
+    """Candidates of ``dealt`` (qid, shard, floor) for ``vectors`` (qid, terms, ws): the k best of a shard at the floor or
+    above, score over 0."""
+    # written, as Spark then knows that it is small (one row a shard): only documents of shards that are asked move
+    asked = _saved(dealt.select("shard").distinct(), "asked-shards")
+    items = index.join(asked, "shard", "left_semi").select("shard", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), F.lit(0).alias("kind"), "id",
                          F.lit(0.0).alias("floor"), "terms", "ws")
-    asking = dealt.select("shard", F.pmod(F.xxhash64("qid"), F.lit(slots)).cast("int").alias("slot"), F.lit(1).alias("kind"),
+    asking = dealt.join(vectors, "qid").select("shard", F.pmod(F.xxhash64("qid"), F.lit(slots)).cast("int").alias("slot"), F.lit(1).alias("kind"),
                           F.col("qid").alias("id"), "floor", "terms", "ws")
     rows = items.unionByName(asking).repartition("shard", "slot").sortWithinPartitions("shard", "slot", "kind")
 

@@ -31,25 +31,26 @@ BLOCK, BUCKET = 16 << 20, 8 << 20
 #: Postings of a row of a block.
 PIECE = 1 << 18
 
-ROWS = ("block int, bucket int, ids array<long>, sizes array<int>, codes array<int>, tfs array<int>, "
-        "terms array<string>, dfs array<int>")
+#: ``codes`` and ``tfs`` as by :func:`planes`, ``joined`` as by :func:`joined_terms`: what blocks hold most of, in few bytes.
+ROWS = "block int, bucket int, ids array<long>, sizes array<int>, codes binary, tfs binary, joined string, dfs array<int>"
 STATS = "block int, bucket int, dfs array<int>, at array<int>, terms array<string>"
-_ARROW = {"block": pa.int32(), "bucket": pa.int32(), "ids": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
+_ARROW = {"joined": pa.string(), "block": pa.int32(), "bucket": pa.int32(), "ids": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
           "codes": pa.list_(pa.int32()), "tfs": pa.list_(pa.int32()), "terms": pa.list_(pa.string()), "dfs": pa.list_(pa.int32()),
-          "at": pa.list_(pa.int32())}
+          "at": pa.list_(pa.int32()), "piece": pa.int32(), "ws": pa.list_(pa.float64()), "hs": pa.list_(pa.float64()),
+          "gram": pa.list_(pa.float64()), "n": pa.int64(), "s": pa.float64(), "q": pa.float64()}
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_rows(schema: str, rows: list[dict]) -> pa.Table:
+def arrow_rows(schema: str, rows: list[dict], ids: pa.DataType = pa.int64()) -> pa.Table:
     """Rows of the block tables' columns; columns that a row lacks are null."""
     out = {}
-    for name in (c.strip().split(" ")[0] for c in schema.split(",")):
-        values, kind = [r.get(name) for r in rows], _ARROW[name]
+    for name, said in (c.strip().split(" ")[:2] for c in schema.split(",")):
+        values, kind = [r.get(name) for r in rows], pa.list_(ids) if name == "ids" else pa.binary() if said == "binary" else _ARROW[name]
         if not pa.types.is_list(kind):
             out[name] = pa.array(values, kind)
             continue
@@ -67,6 +68,43 @@ def flat(column: pa.ChunkedArray) -> pa.Array:
     return column.flatten() if isinstance(column, pa.Array) else pa.concat_arrays([c.flatten() for c in column.chunks])
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Integers as their lowest bytes, then the next ones and so on: small ones leave long stretches of zeros."""
+    return x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(x: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _steps(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ascending numbers of neighbouring stretches as differences; a stretch begins with its first number."""
+    steps = np.diff(codes, prepend=codes.dtype.type(0))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    steps[first] = codes[first]
+    return steps
+
+
+def postings(rows: pa.Table, i: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """ids, terms a document, numbers of the terms and counts of a row of postings."""
+    ids, sizes = (rows.column(c)[i].values for c in ("ids", "sizes"))
+    sizes, steps = sizes.to_numpy(), from_planes(rows.column("codes")[i]).astype(np.int64)
+    total = np.cumsum(steps)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    return ids, sizes, total - np.repeat(total[first] - steps[first], sizes[sizes > 0]), from_planes(rows.column("tfs")[i])
+
+
+def joined_terms(terms: pa.Array) -> str:
+    # words hold no line ends
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms), "\n")[0].as_py()
+
+
+def split_terms(rows: pa.Table) -> pa.Table:
+    """``terms`` as lists in place of ``joined``."""
+    at = rows.schema.get_field_index("joined")
+    return rows.set_column(at, "terms", pc.split_pattern(rows.column("joined"), "\n"))
+
+
 def list_sizes(column: pa.ChunkedArray) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(column), 0).to_numpy()
 
@@ -101,9 +139,10 @@ def block_rows(block: int, ids: pa.Array, words: pa.ChunkedArray, ngram_max: int
     doc_of_row, docs = named.indices.to_numpy().astype(np.int64), named.dictionary
     row = np.repeat(np.arange(len(ids)), list_sizes(words))
     places, codes, terms = numbered_terms(flat(words), row, ngram_max)
-    # numbers in the order of the buckets, so that a bucket's terms are neighbours
+    # numbers in the order of the buckets, so that a bucket's terms are neighbours; in order of their texts they take less room
     bucket = buckets_of(terms, buckets).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = pc.sort_indices(terms).to_numpy()
+    order = order[np.argsort(bucket[order], kind="stable")]
     number = np.empty(len(terms), np.int64)
     number[order] = np.arange(len(terms))
     keys = np.concatenate([doc_of_row[row[p]] * len(terms) + number[c] for p, c in zip(places, codes)])
@@ -118,21 +157,22 @@ def block_rows(block: int, ids: pa.Array, words: pa.ChunkedArray, ngram_max: int
     while lo < len(docs):
         hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE, side="right")))
         a, b = ends[lo] - sizes[lo], ends[hi - 1]
-        out.append({"block": block, "ids": docs.slice(lo, hi - lo), "sizes": sizes[lo:hi], "codes": code[a:b], "tfs": tfs[a:b]})
+        out.append({"block": block, "ids": docs.slice(lo, hi - lo), "sizes": sizes[lo:hi],
+                    "codes": planes(_steps(code[a:b], sizes[lo:hi])), "tfs": planes(tfs[a:b])})
         lo = hi
     cuts, terms = np.searchsorted(bucket[order], np.arange(buckets + 1)), terms.take(pa.array(order))
-    out += [{"block": block, "bucket": i, "terms": terms.slice(a, b - a), "dfs": dfs[a:b]}
+    out += [{"block": block, "bucket": i, "joined": joined_terms(terms.slice(a, b - a)), "dfs": dfs[a:b]}
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
     return arrow_rows(ROWS, out)
 
 
 class TermBlocks:
-    """``postings``: block, ids, sizes, codes, tfs; ``terms``: block, bucket, terms, dfs; both of one written table."""
+    """``postings``: block, ids, sizes, codes, tfs; ``terms``: block, bucket, joined, dfs; both of one written table."""
 
     def __init__(self, rows: DataFrame, blocks: int, buckets: int):
         self.blocks, self.buckets = blocks, buckets
         self.postings = rows.filter("bucket is null").select("block", "ids", "sizes", "codes", "tfs")
-        self.terms = rows.filter("bucket is not null").select("block", "bucket", "terms", "dfs")
+        self.terms = rows.filter("bucket is not null").select("block", "bucket", "joined", "dfs")
 
     def by_bucket(self, rows: DataFrame, run: Callable, schema: str) -> DataFrame:
         return rows.repartition(self.buckets, "bucket").groupBy("bucket").applyInArrow(run, schema)
@@ -141,13 +181,14 @@ class TermBlocks:
         return rows.repartition(self.blocks, "block").groupBy("block").applyInArrow(run, schema)
 
 
-def term_blocks(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 1, min_len: int = 2, stop_words=()) -> TermBlocks:
+def term_blocks(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 1, min_len: int = 2, stop_words=(),
+                block: int = BLOCK, bucket: int = BUCKET) -> TermBlocks:
     """T09 in blocks: the lower-cased words and n-grams of :func:`cauce.operators.corpus.term_counts`.
 
-    ``stop_words`` are left out of the words (for ``ngram_max`` 1)."""
+    ``stop_words`` are left out of the words (for ``ngram_max`` 1).  ``block`` and ``bucket``: characters of a block, and for each bucket."""
     size = docs.agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0))).first()[0]
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    blocks, buckets = max(cores, -(-size // BLOCK)), max(cores, -(-size // BUCKET))
+    blocks, buckets = max(cores, -(-size // block)), max(cores, -(-size // bucket))
     # texts are dealt, not words: they are shorter
     dealt = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_x")).repartition(blocks, "id")
     toks = dealt.select("id", F.spark_partition_id().alias("block"), S.words(F.col("_x"), min_len=min_len).alias("words"))
@@ -181,10 +222,12 @@ def term_stats(tb: TermBlocks, asked: DataFrame) -> DataFrame:
     def bucket(term: pd.Series) -> pd.Series:
         return pd.Series(buckets_of(pa.array(term, pa.string()), buckets).astype(np.int32))
 
-    asking = asked.select(bucket("term").alias("bucket"), "term").groupBy("bucket").agg(F.collect_set("term").alias("terms")) \
-        .select(F.lit(-1).alias("block"), "bucket", "terms", F.lit(None).cast("array<int>").alias("dfs"))
+    asking = asked.select(bucket("term").alias("bucket"), "term").filter(~F.contains("term", F.lit("\n"))) \
+        .groupBy("bucket").agg(F.array_join(F.collect_set("term"), "\n").alias("joined")) \
+        .select(F.lit(-1).alias("block"), "bucket", "joined", F.lit(None).cast("array<int>").alias("dfs"))
 
     def run(t: pa.Table) -> pa.Table:
+        t = split_terms(t)
         block, size = t.column("block").to_numpy(), list_sizes(t.column("terms"))
         named = flat(t.column("terms")).dictionary_encode()
         code, ends = named.indices.to_numpy(), np.cumsum(size)
@@ -242,9 +285,8 @@ def asked_weights(tb: TermBlocks, stats: DataFrame, n_docs: int) -> DataFrame:
         named[np.repeat(base, list_sizes(st.column("at"))) + flat(st.column("at")).to_numpy()] = np.arange(len(names))
         parts, ps = [], t.filter(pc.invert(kind))
         for i in range(ps.num_rows):
-            ids, sizes, codes, tfs = (ps.column(c)[i].values for c in ("ids", "sizes", "codes", "tfs"))
-            sizes, codes = sizes.to_numpy(), codes.to_numpy()
-            w, name = tfs.to_numpy() * idf[codes], named[codes]
+            ids, sizes, codes, tfs = postings(ps, i)
+            w, name = tfs * idf[codes], named[codes]
             row, has = np.repeat(np.arange(len(sizes)), sizes), name >= 0
             held = np.bincount(row[has], minlength=len(sizes))
             offsets = pa.array(np.r_[0, np.cumsum(held)].astype(np.int32))
@@ -257,6 +299,6 @@ def asked_weights(tb: TermBlocks, stats: DataFrame, n_docs: int) -> DataFrame:
 
     null = lambda *cs: [F.lit(None).cast(ty).alias(c) for c, ty in cs]
     own = tb.postings.select("block", "ids", "sizes", "codes", "tfs", *null(("bucket", "int"), ("dfs", "array<int>"), ("at", "array<int>"), ("terms", "array<string>")))
-    learnt = stats.filter("block >= 0").select("block", *null(("ids", "array<long>"), ("sizes", "array<int>"), ("codes", "array<int>"), ("tfs", "array<int>")),
+    learnt = stats.filter("block >= 0").select("block", *null(("ids", "array<long>"), ("sizes", "array<int>"), ("codes", "binary"), ("tfs", "binary")),
                                                "bucket", "dfs", "at", "terms")
     return saved(tb.by_block(own.unionByName(learnt), run, "id long, length double, terms array<string>, ws array<double>"), "asked-weights")

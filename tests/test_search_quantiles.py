@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cauce.operators import aggregates as A
 from cauce.operators import containment, dense, inverted, ml, stats
+from cauce.operators import term_blocks as TB
 
 
 def plan(df):
@@ -193,3 +195,22 @@ def test_median_and_iqr_use_no_value_map(spark):
     filled = ml.impute(df, "b", "median")
     assert "percentile" not in plan(filled).lower()
     assert filled.where("a = 1").first().b == pytest.approx(np.median([i * i for i in range(0, 100, 3)] + [5.0]))
+
+
+def test_postings_are_packed_by_bytes_and_come_back():
+    sizes, codes, tfs = np.array([3, 0, 2, 1, 0]), np.array([4, 70000, 70001, 0, 9, 5]), np.array([1, 300, 1, 2, 1, 1])
+    rows = TB.arrow_rows(TB.ROWS, [{"block": 0, "ids": np.arange(5), "sizes": sizes, "codes": TB.planes(TB._steps(codes, sizes)), "tfs": TB.planes(tfs)}])
+    ids, got_sizes, got_codes, got_tfs = TB.postings(rows, 0)
+    assert [list(x) for x in (got_sizes, got_codes, got_tfs)] == [list(x) for x in (sizes, codes, tfs)] and ids.to_pylist() == [0, 1, 2, 3, 4]
+    named = TB.arrow_rows(TB.ROWS, [{"bucket": 0, "joined": TB.joined_terms(pa.array(["a b", "c"]))}])
+    assert TB.split_terms(named).column("terms").to_pylist() == [["a b", "c"]]
+
+
+def test_only_documents_of_asked_shards_move(spark):
+    rows = [(f"s{i % 4}", i, ["x"], [float(i)]) for i in range(40)]
+    index = spark.createDataFrame(rows, "shard string, id long, terms array<string>, ws array<double>")
+    dealt = spark.createDataFrame([(7, "s1", 0.0)], "qid long, shard string, floor double")
+    vectors = spark.createDataFrame([(7, ["x"], [1.0])], "qid long, terms array<string>, ws array<double>")
+    found = inverted._score(index, dealt, vectors, 2, 1)
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.item_id, r.score) for r in found.collect()) == [(33, 33.0), (37, 37.0)]
