@@ -828,13 +828,11 @@ def t21(spark, sf):
 @query("t21_nmf_topics")
 def t21b(spark, sf):
     """Four topics with six terms each, by non-negative factors of the TF-IDF table (stop words and terms of one document left out)."""
-    from cauce.operators import corpus as C
-    from cauce.operators.nmf import factorise
+    from cauce.operators import nmf, term_blocks as TB
     d = t(spark, sf, "documents")
-    n = d.agg(F.count(F.lit(1))).scalar()
-    post = C.written(C.term_counts(d, "doc_id", "text").filter(~F.col("term").isin(TOPIC_STOP_WORDS)), "topic-postings")
-    idf = C.fit_idf(post, n).filter((F.col("df") >= 2) & (F.col("df") <= 0.95 * n))
-    topics = factorise(C.tfidf(post, idf), 4, rounds=6)
+    n = d.agg(F.count(F.lit(1))).first()[0]
+    blocks = TB.term_blocks(d, "doc_id", "text", stop_words=TOPIC_STOP_WORDS, block=4 * TB.BLOCK, bucket=8 * TB.BUCKET)
+    topics = nmf.factorise_blocks(*nmf.tfidf_blocks(blocks, n, 2, 0.95 * n), 4, rounds=6)
     return topics.top_terms(6).select("topic", "rank", "term", F.round("weight", 9).alias("weight"))
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from cauce.operators import nmf
+from cauce.operators import corpus as C, nmf, term_blocks as TB
 
 
 def table(spark, v):
@@ -46,3 +46,43 @@ def test_one_round_equals_numpy(spark):
 def test_nothing_to_factorise(spark):
     out = nmf.factorise(spark.createDataFrame([], "id long, term string, weight double"), 2, rounds=1)
     assert out.documents.count() == 0 and out.top_terms().count() == 0
+
+
+def test_many_blocks_and_buckets_give_the_same_factors(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    v = rng.uniform(0, 1, size=(40, 25)) * (rng.uniform(size=(40, 25)) < 0.4)
+    v[:, 0] += 0.1
+    df = table(spark, v).union(spark.createDataFrame([(None, "t00", 0.5)], "id long, term string, weight double"))
+    whole = nmf.factorise(df, 3, rounds=3)
+    for name, size in (("BLOCK", 40), ("BUCKET", 30), ("PIECE", 5)):
+        monkeypatch.setattr(nmf, name, size)
+    *_, blocks, buckets = nmf.weight_blocks(df)
+    assert blocks > 4 and buckets > 4
+    cut = nmf.factorise(df, 3, rounds=3)
+    assert cut.loss == pytest.approx(whole.loss)
+    for a, b, key in ((cut.documents, whole.documents, "id"), (cut.terms, whole.terms, "term")):
+        a, b = ({r[key]: list(r)[1:] for r in d.collect()} for d in (a, b))
+        assert set(a) == set(b) and None not in a and all(a[x] == pytest.approx(b[x]) for x in b)
+    assert set(range(40)) == {r.id for r in cut.documents.select("id").collect()}
+
+
+def test_blocks_of_texts_have_the_tfidf_weights(spark):
+    texts = [(1, "the cat sat on the mat"), (2, "the cat ran"), (2, "a cat again, ran ran"), (3, None), (4, ""), (None, "the mat ran"), (5, "only once here"),
+             (6, "mat mat cat")]
+    docs = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    post = C.term_counts(docs, "id", "text").filter("term != 'on'")
+    idf = C.fit_idf(post, 8).filter("df >= 2 AND df <= 4")
+    old = {(r.id, r.term): r.weight for r in C.tfidf(post, idf).collect()}
+    cells, names, blocks, buckets = nmf.tfidf_blocks(TB.term_blocks(docs, "id", "text", stop_words=["on"], block=10, bucket=10), 8, 2, 4)
+    place = {(r.block, r.bucket): r["at"] for r in names.filter("block >= 0").collect()}
+    kept = {r.bucket: r.terms for r in names.filter("block = -1").collect()}
+    got, rows = {}, cells.collect()
+    for r in rows:
+        terms = [kept[u][i] for b, u in sorted(place) if b == r.block for i in place[b, u] if i >= 0]
+        ends = np.cumsum(r.sizes)
+        got |= {(d, terms[c]): w for d, n, e in zip(r.ids, r.sizes, ends) for c, w in zip(r.codes[e - n:e], r.ws[e - n:e])}
+    assert got == pytest.approx({k: w for k, w in old.items() if k[0] is not None}) and len(got) == 8
+    assert sum(r.n for r in rows) == len(old) and sum(r.s for r in rows) == pytest.approx(sum(old.values()))
+    left = nmf.factorise_blocks(cells, names, blocks, buckets, 2, rounds=2)
+    assert {r.id for r in left.documents.collect()} == {1, 2, 6}
+    assert left.loss == pytest.approx(nmf.factorise(C.tfidf(post, idf), 2, rounds=2).loss)
