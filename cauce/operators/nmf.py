@@ -75,10 +75,11 @@ class Factors:
             .select("topic", "rank", "term", (-F.col("w")).alias("weight"))
 
 
-def _pieces(block: int, ids: pa.Array, sizes: np.ndarray, codes: np.ndarray, ws: np.ndarray, first: int = 0) -> list[dict]:
-    """Rows of some documents (neighbouring weights); those without id or without weights are only counted."""
+def _pieces(block: int, ids: pa.Array, sizes: np.ndarray, codes: np.ndarray, ws: np.ndarray, first: int = 0,
+            bare: bool = False) -> list[dict]:
+    """Rows of some documents (neighbouring weights); those without id or (unless ``bare``) without weights are only counted."""
     out, ends, lo = [], np.cumsum(sizes), 0
-    named = ids.is_valid().to_numpy(zero_copy_only=False) & (sizes > 0)
+    named = ids.is_valid().to_numpy(zero_copy_only=False) & ((sizes > 0) | bare)
     while lo < len(sizes):
         hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE, side="right")))
         a, b, own = ends[lo] - sizes[lo], ends[hi - 1], named[lo:hi]
@@ -144,8 +145,8 @@ def weight_blocks(weights: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
     return rows.filter("bucket is null").drop("bucket", "terms"), names, blocks, buckets
 
 
-def tfidf_blocks(tb: TermBlocks, n_docs: int, least: float, most: float) -> tuple[DataFrame, DataFrame, int, int]:
-    """Cells and names of the unit TF-IDF rows over the terms that ``least`` to ``most`` documents hold."""
+def tfidf_blocks(tb: TermBlocks, n_docs: int, least: float, most: float, bare: bool = False) -> tuple[DataFrame, DataFrame, int, int]:
+    """Cells and names of the unit TF-IDF rows over the terms that ``least`` to ``most`` documents hold; with ``bare`` also empty rows."""
     names = _numbered(tb.terms, tb.buckets, least, most)
 
     def run(t: pa.Table) -> pa.Table:
@@ -161,7 +162,7 @@ def tfidf_blocks(tb: TermBlocks, n_docs: int, least: float, most: float) -> tupl
             sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[has], minlength=len(sizes))
             w = (tfs * idf[codes])[has]
             norm = np.repeat(np.sqrt(square_sums(w, sizes)), sizes)
-            out += _pieces(t.column("block")[0].as_py(), ids, sizes, place[codes[has]], w / norm, len(out))
+            out += _pieces(t.column("block")[0].as_py(), ids, sizes, place[codes[has]], w / norm, len(out), bare)
         held = np.bincount(np.repeat(np.arange(len(size)), size)[kept], minlength=len(size))
         out[:1] = [{**p, "at": learnt.column("bucket").to_numpy(), "dfs": held} for p in out[:1]]
         return arrow_rows(cells, out)

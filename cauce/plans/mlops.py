@@ -759,34 +759,10 @@ def tfidf_model(train, min_df: float = 1.0, max_df: float = float(1 << 62), stop
     return PipelineModel([tok, stop, counts, scale, Normalizer(inputCol="w", outputCol="features")])
 
 
-class TextPipeline:
-    """T10 features and a classifier, fitted together on the training rows."""
-
-    def __init__(self, classifier):
-        self.classifier = classifier
-
-    def fit(self, train):
-        from pyspark.ml import PipelineModel
-        features = tfidf_model(train)
-        return PipelineModel([features, self.classifier.fit(features.transform(train))])
-
-
-def text_pipeline(classifier):
-    return TextPipeline(classifier)
-
-
 @query("t19_text_classifiers")
 def t19(spark, sf):
-    from pyspark.ml.classification import LogisticRegression, NaiveBayes
-    d = text_frame(spark, sf).withColumn("label", F.col("label").cast("double"))
-    train, rest = d.filter("split = 'train'"), d.filter("split != 'train'")
-    out = None
-    for name, clf in (("naive_bayes", NaiveBayes(smoothing=1.0, modelType="multinomial")),
-                      ("logistic", LogisticRegression(maxIter=50))):
-        pred = text_pipeline(clf).fit(train).transform(rest).select(
-            "doc_id", "split", "label", "prediction", F.lit(name).alias("model"))
-        out = pred if out is None else out.unionByName(pred)
-    return out
+    from cauce.operators.text_models import classify
+    return classify(text_frame(spark, sf))
 
 
 @query("t20_model_selection")
