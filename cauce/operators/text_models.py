@@ -357,7 +357,7 @@ def minimise(fit: _Fit, rounds: int, tolerance: float) -> np.ndarray:
 
 def classify(docs: DataFrame, rounds: int = 50, tolerance: float = 1e-6) -> DataFrame:
     """(doc_id, split, label, prediction, model) of the rows of ``docs`` (doc_id, text, label 0 or 1, split) outside
-    ``train``, by both models, which learn from the rows of ``train``."""
+    ``train``, by both models, which learn from the rows of ``train``.  A text of null has no terms."""
     # numbers of their own, as ids may repeat; their last bits tell training rows and labels
     number = F.monotonically_increasing_id() * 4 + F.when(F.col("split") == "train", 2).otherwise(0) + F.col("label").cast("long")
     docs = saved(docs.select("doc_id", "split", F.col("label").cast("double").alias("label"), "text", number.alias("id")), "text-rows")
@@ -377,7 +377,9 @@ def classify(docs: DataFrame, rounds: int = 50, tolerance: float = 1e-6) -> Data
     terms = saved(met(names.repartition(buckets, "bucket"), moments.repartition(buckets, "bucket"), "bucket", _terms_model(sum(counts))), "text-moments")
     means = terms.filter("block < 0")
     rows = saved(met(cells.repartition(blocks, "block"), terms.filter("block >= 0").repartition(blocks, "block"), "block", _scaled, ROWS), "text-scaled")
-    size = np.sum([r["gram"] for r in means.select("gram").collect()], axis=0)
+    size = np.sum([[0.0] * 3, *[r["gram"] for r in means.select("gram").collect()]], axis=0)
+    if not size[2]:
+        raise ValueError("no terms in the training rows")
     n = np.array(counts, float)
     prior, under = np.log(n + 1) - math.log(n.sum() + 2), np.log(size[:2] + size[2])
 

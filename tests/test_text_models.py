@@ -61,11 +61,14 @@ def test_few_rounds_and_small_blocks(spark, monkeypatch):
 def test_one_label_alone_and_no_training_rows(spark):
     rows = [(1, "some words", 1, "train"), (2, "more words", 1, "train"), (3, "words", 0, "test")]
     d = spark.createDataFrame(rows, SCHEMA)
+    null = spark.createDataFrame([(4, None, 0, "test")], SCHEMA)
+    assert [r.prediction for r in TM.classify(d.union(null)).filter("doc_id = 4").collect()] == [0.0, 1.0]
     assert sorted(map(tuple, TM.classify(d).collect())) == of_spark(d, 50) == [(3, "test", 0.0, 0.0, "naive_bayes"), (3, "test", 0.0, 1.0, "logistic")]
     with pytest.raises(ValueError):
         TM.classify(d.filter("split = 'test'"))
-    with pytest.raises(ValueError):
-        TM.classify(d.withColumn("label", F.lit(2)))
+    for wrong in (d.withColumn("label", F.lit(2)), d.withColumn("text", F.lit("!"))):
+        with pytest.raises(ValueError):
+            TM.classify(wrong)
 
 
 def test_wolfe_step_and_direction():
