@@ -367,16 +367,17 @@ def classify(docs: DataFrame, rounds: int = 50, tolerance: float = 1e-6) -> Data
         raise ValueError("labels must be 0 or 1")
     if not sum(counts):
         raise ValueError("no training rows")
-    tb = term_blocks(docs, "id", "text", block=4 * BLOCK, bucket=8 * BUCKET)
+    tb = term_blocks(docs, "id", "text", block=2 * BLOCK, bucket=8 * BUCKET)
     tb.terms = _train_terms(tb)
     cells, names, blocks, buckets = nmf.tfidf_blocks(tb, sum(counts), 1, math.inf, bare=True)
-    cells = saved(cells, "text-cells")
+    # kept, not written: Spark's Parquet reader would hold all rows of a file, arrays and all, in one batch
+    cells = cells.repartition(blocks, "block").persist()
     met = lambda left, right, key, run, schema=nmf.STATE: left.groupBy(key).cogroup(
         right.groupBy(key)).applyInArrow(run, schema)
-    moments = cells.repartition(blocks, "block").groupBy("block").applyInArrow(_moments, nmf.STATE)
+    moments = cells.groupBy("block").applyInArrow(_moments, nmf.STATE)
     terms = saved(met(names.repartition(buckets, "bucket"), moments.repartition(buckets, "bucket"), "bucket", _terms_model(sum(counts))), "text-moments")
     means = terms.filter("block < 0")
-    rows = saved(met(cells.repartition(blocks, "block"), terms.filter("block >= 0").repartition(blocks, "block"), "block", _scaled, ROWS), "text-scaled")
+    rows = met(cells, terms.filter("block >= 0").repartition(blocks, "block"), "block", _scaled, ROWS)
     size = np.sum([[0.0] * 3, *[r["gram"] for r in means.select("gram").collect()]], axis=0)
     if not size[2]:
         raise ValueError("no terms in the training rows")
@@ -395,6 +396,7 @@ def classify(docs: DataFrame, rounds: int = 50, tolerance: float = 1e-6) -> Data
     else:
         only = float(counts[1] > 0)
         got = docs.filter("id & 2 = 0").select("id", F.lit(0.0).alias("naive_bayes"), F.lit(only).alias("logistic"))
+    cells.unpersist()
     named = docs.drop("text").join(got, "id")
     return named.select("doc_id", "split", "label", F.explode(F.array(*[
         F.struct(F.col(m).alias("prediction"), F.lit(m).alias("model")) for m in ("naive_bayes", "logistic")])).alias("p")).select("doc_id", "split", "label", "p.*")
