@@ -37,7 +37,8 @@ STATS = "block int, bucket int, dfs array<int>, at array<int>, terms array<strin
 _ARROW = {"joined": pa.string(), "block": pa.int32(), "bucket": pa.int32(), "ids": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
           "codes": pa.list_(pa.int32()), "tfs": pa.list_(pa.int32()), "terms": pa.list_(pa.string()), "dfs": pa.list_(pa.int32()),
           "at": pa.list_(pa.int32()), "piece": pa.int32(), "ws": pa.list_(pa.float64()), "hs": pa.list_(pa.float64()),
-          "gram": pa.list_(pa.float64()), "n": pa.int64(), "s": pa.float64(), "q": pa.float64()}
+          "gram": pa.list_(pa.float64()), "counts": pa.list_(pa.int64()), "ranks": pa.list_(pa.int32()), "trained": pa.list_(pa.int32()),
+          "n": pa.int64(), "s": pa.float64(), "q": pa.float64()}
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
