@@ -24,6 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,7 +155,7 @@ def tfidf_blocks(tb: TermBlocks, n_docs: int, least: float, most: float, bare: b
         learnt = t.filter(kind).sort_by("bucket")
         df, size = flat(learnt.column("dfs")).to_numpy(), list_sizes(learnt.column("dfs"))
         kept = (df >= least) & (df <= most)
-        idf, place = smoothed_idf(n_docs, df.astype(np.float64)), np.cumsum(kept) - 1
+        idf, place = smoothed_idf(n_docs, df.astype(np.float64)), (np.cumsum(kept) - 1).astype(np.int32)
         out, ps = [], t.filter(pc.invert(kind))
         for i in range(ps.num_rows):
             ids, sizes, codes, tfs = postings(ps, i)
@@ -258,9 +259,9 @@ def _factor_rows(keys: str, name: str, k: int):
 
 def factorise_blocks(cells: DataFrame, names: DataFrame, blocks: int, buckets: int, k: int = 4, rounds: int = 10) -> Factors:
     """``k`` non-negative factors of the weights in blocks, of :func:`weight_blocks` or :func:`tfidf_blocks`."""
-    # dealt once, so that an update shuffles the other side only
-    dealt = cells.repartition(blocks, "block").persist()
-    terms = names.drop("dfs").repartition(buckets, "bucket").persist()
+    # dealt once, so that an update shuffles the other side only; on disk, as in memory they would fill the executors' heaps
+    dealt = cells.repartition(blocks, "block").persist(StorageLevel.DISK_ONLY)
+    terms = names.drop("dfs").repartition(buckets, "bucket").persist(StorageLevel.DISK_ONLY)
     seen = dealt.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
     scale = ((seen["s"] or 0.0) / max(seen["n"] or 0, 1) / k) ** 0.5 or 1.0
 

@@ -15,7 +15,7 @@ Documents of one id count as one, texts of null have no terms.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -115,10 +115,9 @@ def buckets_of(terms: pa.Array, buckets: int) -> np.ndarray:
     return (pd.util.hash_array(terms.to_numpy(zero_copy_only=False).astype(object), categorize=False) >> np.uint64(32)) % np.uint64(buckets)
 
 
-def numbered_terms(words: pa.Array, row: np.ndarray, ngram_max: int) -> tuple[list[np.ndarray], list[np.ndarray], pa.Array]:
+def numbered_terms(words: np.ndarray, texts: pa.Array, row: np.ndarray, ngram_max: int) -> tuple[list[np.ndarray], list[np.ndarray], pa.Array]:
     """Places and numbers of the 1- to n-grams of a row's words, and the terms by number."""
-    named = words.dictionary_encode()
-    base, texts, first = named.indices.to_numpy().astype(np.int64), named.dictionary, 0
+    base, first = words.astype(np.int64), 0
     places, codes, terms, gram, gram_texts = [np.arange(len(row))], [base], [texts], base, texts
     for n in range(2, ngram_max + 1):
         first += len(gram_texts)
@@ -134,37 +133,80 @@ def numbered_terms(words: pa.Array, row: np.ndarray, ngram_max: int) -> tuple[li
     return places, codes, pa.concat_arrays(terms)
 
 
-def block_rows(block: int, ids: pa.Array, words: pa.ChunkedArray, ngram_max: int, buckets: int) -> pa.Table:
+def word_batches(batches, dropped: pa.Array) -> tuple[int, pa.Array, np.ndarray, np.ndarray, pa.Array] | None:
+    """Of all rows of a block: its number, the ids, words a row, the words' numbers, and the words by number; a batch's texts
+    go as soon as its words are numbered."""
+    block, ids, sizes, codes, texts = None, [], [], [], pa.array([], pa.string())
+    for b in batches:
+        if not b.num_rows:
+            continue
+        words = b.column("words")
+        size, one = pc.fill_null(pc.list_value_length(words), 0).to_numpy(), words.flatten()
+        if len(dropped):
+            keep = pc.invert(pc.is_in(one, dropped))
+            size = np.bincount(np.repeat(np.arange(len(size)), size)[keep.to_numpy(zero_copy_only=False)], minlength=len(size))
+            one = one.filter(keep)
+        block = b.column("block")[0].as_py()
+        ids.append(b.column("id"))
+        sizes.append(size)
+        named = one.dictionary_encode()
+        at = pc.index_in(named.dictionary, texts)
+        new = at.is_null()
+        number = pc.fill_null(at, 0).to_numpy().astype(np.int32)
+        number[new.to_numpy(zero_copy_only=False)] = len(texts) + np.arange(pc.sum(new).as_py() or 0)
+        texts = pa.concat_arrays([texts, named.dictionary.filter(new)])
+        codes.append(number[named.indices.to_numpy()])
+        del b, words, one, named, at, new
+        pa.default_memory_pool().release_unused()
+    if block is None:
+        return None
+    return block, pa.concat_arrays(ids), np.concatenate(sizes).astype(np.int64), np.concatenate(codes), texts
+
+
+def block_rows(block: int, ids: pa.Array, row_sizes: np.ndarray, words: np.ndarray, texts: pa.Array, ngram_max: int, buckets: int) -> Iterator[pa.Table]:
     """One block: rows of postings (ids, terms a document, numbers, counts) and one row a bucket (terms, documents that hold them)."""
     named = ids.dictionary_encode(null_encoding="encode")
     doc_of_row, docs = named.indices.to_numpy().astype(np.int64), named.dictionary
-    row = np.repeat(np.arange(len(ids)), list_sizes(words))
-    places, codes, terms = numbered_terms(flat(words), row, ngram_max)
+    row_ends, by_doc = np.cumsum(row_sizes), np.argsort(doc_of_row, kind="stable")
+    row_at = np.searchsorted(doc_of_row[by_doc], np.arange(len(docs) + 1))
+    if ngram_max > 1:
+        row = np.repeat(np.arange(len(ids)), row_sizes)
+        places, codes, terms = numbered_terms(words, texts, row, ngram_max)
+        rows = [row[p] for p in places]
+    else:
+        codes, terms, rows = [words], texts, []
     # numbers in the order of the buckets, so that a bucket's terms are neighbours; in order of their texts they take less room
     bucket = buckets_of(terms, buckets).astype(np.int64)
     order = pc.sort_indices(terms).to_numpy()
     order = order[np.argsort(bucket[order], kind="stable")]
-    number = np.empty(len(terms), np.int64)
+    number = np.empty(len(terms), np.int32)
     number[order] = np.arange(len(terms))
-    keys = np.concatenate([doc_of_row[row[p]] * len(terms) + number[c] for p, c in zip(places, codes)])
-    del places, codes, row
-    keys.sort()
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
-    tfs = np.diff(np.r_[starts, len(keys)]).astype(np.int32)
-    keys = keys[starts]
-    doc, code = np.divmod(keys, max(len(terms), 1))
-    sizes, dfs = np.bincount(doc, minlength=len(docs)), np.bincount(code, minlength=len(terms)).astype(np.int32)
-    code, ends, out, lo = code.astype(np.int32), np.cumsum(sizes), [], 0
+    # terms of a row: of each length they are neighbours
+    cuts = [np.searchsorted(r, np.arange(len(ids) + 1)) for r in rows] or [np.r_[0, row_ends]]
+    words_of_doc = np.bincount(doc_of_row, sum(np.diff(c) for c in cuts), len(docs))
+    ends, dfs = np.cumsum(words_of_doc), np.zeros(len(terms), np.int32)
+    lo, done, sizes, code, tfs = 0, 0, np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
     while lo < len(docs):
         hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE, side="right")))
-        a, b = ends[lo] - sizes[lo], ends[hi - 1]
-        out.append({"block": block, "ids": docs.slice(lo, hi - lo), "sizes": sizes[lo:hi],
-                    "codes": planes(_steps(code[a:b], sizes[lo:hi])), "tfs": planes(tfs[a:b])})
+        some = by_doc[row_at[lo]:row_at[hi]]
+        keys = np.concatenate([np.repeat(doc_of_row[some] - lo, c[some + 1] - c[some]) * len(terms) + number[np.concatenate([x[c[r]:c[r + 1]] for r in some])]
+                               for c, x in zip(cuts, codes)])
+        keys.sort()
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+        doc, found = np.divmod(keys[starts], max(len(terms), 1))
+        sizes, code = np.r_[sizes, np.bincount(doc, minlength=hi - lo)], np.r_[code, found.astype(np.int32)]
+        tfs = np.r_[tfs, np.diff(np.r_[starts, len(keys)]).astype(np.int32)]
+        dfs += np.bincount(found, minlength=len(terms)).astype(np.int32)
         lo = hi
-    cuts, terms = np.searchsorted(bucket[order], np.arange(buckets + 1)), terms.take(pa.array(order))
-    out += [{"block": block, "bucket": i, "joined": joined_terms(terms.slice(a, b - a)), "dfs": dfs[a:b]}
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-    return arrow_rows(ROWS, out)
+        # the rest waits for the next documents
+        while len(sizes) and (len(code) > PIECE or lo == len(docs)):
+            n = max(1, int(np.searchsorted(np.cumsum(sizes), PIECE, side="right")))
+            a = int(sizes[:n].sum())
+            yield arrow_rows(ROWS, [{"block": block, "ids": docs.slice(done, n), "sizes": sizes[:n], "codes": planes(_steps(code[:a], sizes[:n])), "tfs": planes(tfs[:a])}])
+            done, sizes, code, tfs = done + n, sizes[n:], code[a:], tfs[a:]
+    edges, terms = np.searchsorted(bucket[order], np.arange(buckets + 1)), terms.take(pa.array(order))
+    yield arrow_rows(ROWS, [{"block": block, "bucket": i, "joined": joined_terms(terms.slice(a, b - a)), "dfs": dfs[a:b]}
+                            for i, (a, b) in enumerate(zip(edges, edges[1:])) if b > a])
 
 
 class TermBlocks:
@@ -196,18 +238,10 @@ def term_blocks(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 1,
     dropped = pa.array(list(stop_words), pa.string())
 
     def run(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        words = t.column("words")
-        if len(dropped):
-            lists, one = list_sizes(words), flat(words)
-            keep = pc.invert(pc.is_in(one, dropped))
-            row = np.repeat(np.arange(len(lists)), lists)[keep.to_numpy(zero_copy_only=False)]
-            offsets = np.r_[0, np.cumsum(np.bincount(row, minlength=len(lists)))]
-            words = pa.chunked_array([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), one.filter(keep))])
-        yield from block_rows(t.column("block")[0].as_py(), t.column("id").combine_chunks(), words, ngram_max, buckets).to_batches()
+        got = word_batches(batches, dropped)
+        if got:
+            for rows in block_rows(*got, ngram_max, buckets):
+                yield from rows.to_batches()
 
     return TermBlocks(saved(toks.mapInArrow(run, ROWS), "term-blocks"), blocks, buckets)
 
