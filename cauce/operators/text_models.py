@@ -19,6 +19,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,15 +64,24 @@ def _moments(cells: pa.Table) -> pa.Table:
     """For each term of a block: training rows that hold it, their mean and squared deviations, and the sum of either label."""
     cells = cells.sort_by("piece")
     buckets, size = (cells.column(c)[0].values.to_numpy() for c in ("at", "dfs"))
-    n, parts = int(size.sum()), []
-    for i in range(cells.num_rows):
-        sizes, code, x = (cells.column(c)[i].values.to_numpy() for c in ("sizes", "codes", "ws"))
-        train, label = (np.repeat(f, sizes) for f in _flags(cells.column("ids")[i].values))
-        parts.append((code[train], x[train], label[train]))
-    code, x, label = (np.concatenate(p) for p in zip(*parts))
-    held = np.bincount(code, minlength=n)
-    mean = np.bincount(code, x, n) / np.maximum(held, 1)
-    got = np.stack([held, mean, np.bincount(code, (x - mean[code]) ** 2, n), np.bincount(code, x * (label == 0), n), np.bincount(code, x * (label == 1), n)], axis=1)
+    n = int(size.sum())
+
+    def rows():
+        for i in range(cells.num_rows):
+            sizes, code, x = (cells.column(c)[i].values.to_numpy() for c in ("sizes", "codes", "ws"))
+            train, label = (np.repeat(f, sizes) for f in _flags(cells.column("ids")[i].values))
+            yield code[train], x[train], label[train]
+    # a row of the block at a time
+    held, total, spread, own = np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros((n, 2))
+    for code, x, label in rows():
+        held += np.bincount(code, minlength=n)
+        total += np.bincount(code, x, n)
+        for y in (0, 1):
+            own[:, y] += np.bincount(code, x * (label == y), n)
+    mean = total / np.maximum(held, 1)
+    for code, x, _ in rows():
+        spread += np.bincount(code, (x - mean[code]) ** 2, n)
+    got = np.c_[held, mean, spread, own]
     ends, block = np.cumsum(size), cells.column("block")[0].as_py()
     return arrow_rows(nmf.STATE, [{"block": block, "bucket": b, "hs": got[e - m:e].ravel()} for b, e, m in zip(buckets, ends, size) if m])
 
@@ -136,9 +146,9 @@ class _Fit:
     def __init__(self, rows: DataFrame, names: DataFrame, means: DataFrame, blocks: int, buckets: int, counts: tuple[int, int]):
         self.blocks, self.buckets, self.n = blocks, buckets, sum(counts)
         self.start = math.log(counts[1] / counts[0])
-        self.rows = rows.filter("piece >= 0").drop("hs").repartition(blocks, "block").persist()
+        self.rows = rows.filter("piece >= 0").drop("hs").repartition(blocks, "block").persist(StorageLevel.DISK_ONLY)
         self.others = rows.filter("piece < 0")
-        self.names = names.drop("dfs").repartition(buckets, "bucket").persist()
+        self.names = names.drop("dfs").repartition(buckets, "bucket").persist(StorageLevel.DISK_ONLY)
         #: where each gradient was taken, its part for the intercept, and their inner products
         self.means, self.points, self.sums, self.gram = means, [], np.empty(0), np.empty((0, 0))
 
@@ -371,7 +381,7 @@ def classify(docs: DataFrame, rounds: int = 50, tolerance: float = 1e-6) -> Data
     tb.terms = _train_terms(tb)
     cells, names, blocks, buckets = nmf.tfidf_blocks(tb, sum(counts), 1, math.inf, bare=True)
     # kept, not written: Spark's Parquet reader would hold all rows of a file, arrays and all, in one batch
-    cells = cells.repartition(blocks, "block").persist()
+    cells = cells.repartition(blocks, "block").persist(StorageLevel.DISK_ONLY)
     met = lambda left, right, key, run, schema=nmf.STATE: left.groupBy(key).cogroup(
         right.groupBy(key)).applyInArrow(run, schema)
     moments = cells.groupBy("block").applyInArrow(_moments, nmf.STATE)
